@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The warehouse is batch, full refresh only: every load truncates and rebuilds
+its layer.  No operator of the source model reads a stream, keeps state across
+batches or handles late data, so nothing here is needed; incremental loads
+would be a new feature, not part of the model.
+"""
