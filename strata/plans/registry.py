@@ -201,3 +201,80 @@ for _name in DQ_QUERIES:
 def dq_summary(layers: Layers) -> DataFrame:
     """Violations per row-level rule, all rules of a table counted in one pass."""
     return quality.summary(layers)
+
+
+# ---------------------------------------------------------------- sources and sinks
+def _extracts(layers: Layers) -> str:
+    """Write the six extracts as their source systems deliver them; returns the folder."""
+    from strata.session import scratch_path
+    from strata.sources import csv_ingest
+
+    folder = scratch_path(layers.spark, "sources")
+    for name in csv_ingest.SOURCES:
+        csv_ingest.write_source_csv(layers.bronze(name), folder, name)
+    return folder
+
+
+def _roundtrip(layers: Layers, name: str) -> DataFrame:
+    from strata.session import scratch_path
+    from strata.sources import csv_ingest
+
+    folder = scratch_path(layers.spark, "sources")
+    csv_ingest.write_source_csv(layers.bronze(name), folder, name)
+    return csv_ingest.read_bronze(layers.spark, folder, name)
+
+
+@query
+def csv_ingest_roundtrip(layers: Layers) -> DataFrame:
+    """Sales extract written as CSV and loaded back into bronze."""
+    return _roundtrip(layers, "crm_sales_details")
+
+
+@query
+def bronze_empty_to_null(layers: Layers) -> DataFrame:
+    """Customer extract: empty text stays '', ``\\N`` is NULL, empty dates become NULL."""
+    return _roundtrip(layers, "crm_cust_info")
+
+
+@query
+def bronze_parse_dmy_date(layers: Layers) -> DataFrame:
+    """ERP customer extract with birth dates delivered as DD/MM/YYYY."""
+    return _roundtrip(layers, "erp_cust_az12")
+
+
+@query
+def full_refresh_idempotent(layers: Layers) -> DataFrame:
+    """Bronze loaded twice into the same warehouse: counts equal one load."""
+    from strata.plans import pipeline
+    from strata.session import scratch_path
+
+    src = _extracts(layers)
+    wh = scratch_path(layers.spark, "warehouse")
+    pipeline.load_bronze(layers.spark, src, wh)
+    pipeline.load_bronze(layers.spark, src, wh)
+    return pipeline.row_counts(layers.spark, wh, "bronze")
+
+
+def _pipeline_silver(layers: Layers) -> tuple[str, object]:
+    from strata.plans import pipeline
+    from strata.session import scratch_path
+
+    src = _extracts(layers)
+    wh = scratch_path(layers.spark, "warehouse")
+    pipeline.load_bronze(layers.spark, src, wh)
+    pipeline.load_silver(layers.spark, wh, layers.as_of)
+    return wh, pipeline
+
+
+@query
+def silver_write_read_back(layers: Layers) -> DataFrame:
+    """Product history after CSV -> bronze -> silver, read back from the written table."""
+    wh, pipeline = _pipeline_silver(layers)
+    return pipeline.read_layer(layers.spark, wh, "silver", "crm_prd_info").drop("dwh_create_date")
+
+
+@query
+def silver_audit_column(layers: Layers) -> DataFrame:
+    """Silver customers as written, with the load timestamp (not comparable: rows only)."""
+    wh, pipeline = _pipeline_silver(layers)
+    return pipeline.read_layer(layers.spark, wh, "silver", "crm_cust_info")
