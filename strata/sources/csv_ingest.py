@@ -9,7 +9,10 @@ Field semantics follow a MySQL ``LOAD DATA`` load:
 * the ERP birth date arrives as ``DD/MM/YYYY`` (one or two digit day/month);
 * CRM sales dates stay integers ``yyyymmdd`` in bronze;
 * a value that does not convert to its column type becomes NULL; the
-  conversions that failed are counted per column by ``conversion_failures``.
+  conversions that failed are counted per column by ``conversion_failures``;
+* fields missing from a short row are read like empty fields (Spark's CSV
+  reader does not tell the two apart), so a missing text field is ``''``
+  where MySQL would store the column default (NULL).
 
 Reading is split by file blocks (``spark.sql.files.maxPartitionBytes``) and
 is a single narrow stage per table: no shuffle.
