@@ -9,9 +9,10 @@ unique tie-breaker, so a hot leading value is still split), every row records
 its bucket, and the table is written to the shared checkpoint folder so bucket
 ids are stable for the later passes and survive executor loss.
 
-* ``dense_surrogate_key``: count per bucket (one row per bucket), prefix sums
-  over those counts (bounded by the bucket count, hence broadcast), then a
-  ``row_number`` inside each bucket plus the bucket's offset.
+* ``dense_surrogate_key``: every bucket is sorted before it is written and
+  each row keeps its position in the bucket; count per bucket (one row per
+  bucket), prefix sums over those counts (bounded by the bucket count, hence
+  broadcast), then key = position + offset, a narrow projection.
 * ``lead_within_key``: ``lead`` inside each (bucket, key) slice; the last row of
   a slice takes the first value of the same key's next bucket, found on a
   table with one row per (bucket, key).
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from strata.session import scratch_path
 
 BUCKET = "_bucket"
+LOCAL = "_local"
+_LOW_33_BITS = (1 << 33) - 1
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -40,16 +43,25 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def range_buckets(df: DataFrame, order_cols: Sequence[str], n_buckets: int | None = None) -> DataFrame:
+def range_buckets(df: DataFrame, order_cols: Sequence[str], n_buckets: int | None = None,
+                  with_position: bool = False) -> DataFrame:
     """Append ``_bucket``: ascending, contiguous ranges of ``order_cols`` (NULLS FIRST).
 
     Spark samples the full composite key to place the range bounds, so the
     buckets are balanced whenever the composite key is (nearly) unique.
+    With ``with_position`` each bucket is also sorted and ``_local`` holds the
+    row's 0-based position in it: the low 33 bits of
+    ``monotonically_increasing_id`` are the record index within the partition.
     The result is materialised, so bucket ids do not change between passes.
     """
     n = n_buckets or default_buckets(df)
-    bucketed = df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order_cols]) \
-        .withColumn(BUCKET, F.spark_partition_id())
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    bucketed = df.repartitionByRange(n, *order)
+    if with_position:
+        bucketed = bucketed.sortWithinPartitions(*order)
+    bucketed = bucketed.withColumn(BUCKET, F.spark_partition_id())
+    if with_position:
+        bucketed = bucketed.withColumn(LOCAL, F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_33_BITS)))
     return materialise(bucketed, "range-buckets")
 
 
@@ -58,17 +70,17 @@ def dense_surrogate_key(df: DataFrame, order_by: Sequence[str], name: str,
     """``ROW_NUMBER() OVER (ORDER BY order_by, tie_breaker)`` as BIGINT, without a single-task stage.
 
     Ascending, NULLS FIRST on every column.  Name the tie-breaker columns so
-    the order is total; then the numbering is deterministic.
+    the order is total; then the numbering is deterministic.  One range
+    shuffle and one write; the numbering itself is a narrow projection.
     """
     cols = list(dict.fromkeys([*order_by, *tie_breaker]))
-    b = range_buckets(df, cols, n_buckets)
+    b = range_buckets(df, cols, n_buckets, with_position=True)
     counts = b.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))
     # one row per bucket: the bucket count bounds this window and the broadcast
     before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint").alias("_offset"))
-    within = Window.partitionBy(BUCKET).orderBy(*[F.col(c).asc_nulls_first() for c in cols])
     numbered = b.join(F.broadcast(offsets), BUCKET, "inner") \
-        .withColumn(name, (F.row_number().over(within) + F.col("_offset")).cast("bigint"))
+        .withColumn(name, F.col(LOCAL) + F.col("_offset") + F.lit(1))
     return numbered.select(name, *df.columns)
 
 
@@ -77,21 +89,28 @@ def lead_within_key(df: DataFrame, key: str, order_col: str, out: str,
     """``LEAD(order_col) OVER (PARTITION BY key ORDER BY order_col, tie_breaker)`` as ``out``.
 
     NULL keys form one partition, as in SQL.  Hot keys span several buckets
-    and are processed by several tasks.
+    and are processed by several tasks.  The value that follows the last row
+    of a (bucket, key) slice is the first value of the key's next slice; it is
+    appended to the slice as a marker row that sorts after every real row, so
+    one ``lead`` over the slices gives every answer and the large side is
+    shuffled exactly once (no join back).
     """
     tb = [c for c in dict.fromkeys(tie_breaker) if c not in (key, order_col)]
     b = range_buckets(df, [key, order_col, *tb], n_buckets)
-    slice_order = [F.col(order_col).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in tb]
-    # lead of a struct is NULL only past the slice's last row, even if the next value is NULL
-    local = b.withColumn("_next", F.lead(F.struct(F.col(order_col).alias("v")))
-                         .over(Window.partitionBy(BUCKET, key).orderBy(*slice_order)))
-    # first row of every (bucket, key) slice, then the first row of the key's next slice
-    first = F.min(F.struct(F.col(order_col).alias("v"), *[F.col(c) for c in tb])).getField("v")
+    # first value of every (bucket, key) slice (NULLs sort first); fixed-width
+    # aggregates, so a hash aggregate with map-side partial aggregation
+    v = F.col(order_col)
+    first = F.when(F.max(v.isNull()), F.lit(None)).otherwise(F.min(v))
     firsts = b.groupBy(BUCKET, key).agg(first.alias("_first"))
-    nxt = firsts.select(
-        F.col(BUCKET).alias("_nb"), F.col(key).alias("_nk"),
-        F.lead("_first").over(Window.partitionBy(key).orderBy(BUCKET)).alias("_next_first"))
-    joined = local.join(nxt, (local[BUCKET] == nxt["_nb"]) & local[key].eqNullSafe(nxt["_nk"]), "left")
-    return joined.withColumn(out, F.when(F.col("_next").isNotNull(), F.col("_next.v"))
-                             .otherwise(F.col("_next_first"))) \
-        .select(*df.columns, out)
+    # at most one row per bucket for any key, so this window is bounded by the bucket count
+    markers = firsts.select(
+        F.lag(BUCKET).over(Window.partitionBy(key).orderBy(BUCKET)).alias(BUCKET), F.col(key),
+        F.col("_first").alias(order_col), F.lit(True).alias("_marker")).where(F.col(BUCKET).isNotNull())
+    rows = b.select(*df.columns, BUCKET, F.lit(False).alias("_marker"))
+    both = rows.unionByName(markers, allowMissingColumns=True)
+    slice_order = [F.col("_marker").asc(), F.col(order_col).asc_nulls_first()] + \
+        [F.col(c).asc_nulls_first() for c in tb]
+    # lead of a struct is NULL only past the slice's end, even when the next value is NULL
+    nxt = F.lead(F.struct(F.col(order_col).alias("v"))).over(Window.partitionBy(BUCKET, key).orderBy(*slice_order))
+    return both.withColumn("_next", nxt).where(~F.col("_marker")) \
+        .select(*df.columns, F.col("_next.v").alias(out))
