@@ -1,11 +1,12 @@
 """Keep one row per key.
 
 ``dedup_latest`` keeps, for every key, the row that sorts first under an
-ORDER BY (the ``ROW_NUMBER() ... = 1`` idiom).  It is written as a hash
-aggregate over a struct of the order columns followed by the payload, so the
-map side keeps one candidate per key per partition before anything is
-shuffled: a key holding a third of all rows (the NULL key, say) costs one row
-per map task in the exchange, never a hot task.  Ties on the order columns are
+ORDER BY (the ``ROW_NUMBER() ... = 1`` idiom).  It is written as an aggregate
+of ``max(struct(order columns..., payload...))`` (planned as a sort aggregate,
+since the buffer holds strings) with partial aggregation, so the map side
+keeps one candidate per key per partition before anything is shuffled: a key
+holding a third of all rows (the NULL key, say) costs one row per map task in
+the exchange, never a hot task.  Ties on the order columns are
 broken by the remaining columns, so the result is a deterministic function of
 the input multiset.
 """

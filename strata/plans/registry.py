@@ -1,7 +1,7 @@
 """Named queries: every operator of the warehouse as a DataFrame over the driver's tables.
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame; the matching
-DuckDB statement lives in ``strata.oracle_queries``.  Queries run over whole
+DuckDB statement lives in ``strata.oracle``.  Queries run over whole
 tables; the only ordering is the one the audit itself asks for.
 """
 
