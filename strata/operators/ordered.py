@@ -32,10 +32,6 @@ LOCAL = "_local"
 _LOW_33_BITS = (1 << 33) - 1
 
 
-def default_buckets(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back."""
     path = scratch_path(df.sparkSession, label)
@@ -54,9 +50,10 @@ def range_buckets(df: DataFrame, order_cols: Sequence[str], n_buckets: int | Non
     ``monotonically_increasing_id`` are the record index within the partition.
     The result is materialised, so bucket ids do not change between passes.
     """
-    n = n_buckets or default_buckets(df)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    bucketed = df.repartitionByRange(n, *order)
+    # without an explicit count, AQE sizes the buckets: coalescing merges only
+    # adjacent ranges, so coalesced partitions are still ordered buckets
+    bucketed = df.repartitionByRange(n_buckets, *order) if n_buckets else df.repartitionByRange(*order)
     if with_position:
         bucketed = bucketed.sortWithinPartitions(*order)
     bucketed = bucketed.withColumn(BUCKET, F.spark_partition_id())
@@ -114,3 +111,14 @@ def lead_within_key(df: DataFrame, key: str, order_col: str, out: str,
     nxt = F.lead(F.struct(F.col(order_col).alias("v"))).over(Window.partitionBy(BUCKET, key).orderBy(*slice_order))
     return both.withColumn("_next", nxt).where(~F.col("_marker")) \
         .select(*df.columns, F.col("_next.v").alias(out))
+
+
+def scd2_end_date(df: DataFrame, key: str, start: str, out: str = "end_date",
+                  tie_breaker: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
+    """Type-2 history: ``out`` = next version's ``start`` of the same ``key`` minus one day (DATE).
+
+    The open (latest) version gets NULL.  Ties on ``start`` are ordered by
+    ``tie_breaker``.
+    """
+    nxt = lead_within_key(df, key, start, "_next_start", tie_breaker, n_buckets)
+    return nxt.withColumn(out, F.date_sub(F.col("_next_start").cast("date"), 1)).drop("_next_start")

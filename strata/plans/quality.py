@@ -270,13 +270,15 @@ def dq_customer_fanout(layers: Layers) -> DataFrame:
 def dq_gender_country_matrix(layers: Layers) -> DataFrame:
     j = customers_joined(layers.silver("crm_cust_info"), layers.silver("erp_cust_az12"), layers.silver("erp_loc_a101"))
     return j.select(F.col("ci.cst_gndr").alias("cst_gndr"), F.col("ca.gen").alias("gen"),
-                    F.col("la.cntry").alias("cntry")).distinct()
+                    F.col("la.cntry").alias("cntry")).distinct() \
+        .orderBy(F.col("cst_gndr").asc_nulls_first(), F.col("gen").asc_nulls_first())
 
 
 def gender_matrix(layers: Layers, unknown: str = NA) -> DataFrame:
     j = customers_joined(layers.silver("crm_cust_info"), layers.silver("erp_cust_az12"), layers.silver("erp_loc_a101"))
     return j.select(F.col("ci.cst_gndr").alias("cst_gndr"), F.col("ca.gen").alias("gen"),
-                    prefer(F.col("ci.cst_gndr"), F.col("ca.gen"), unknown).alias("new_gen")).distinct()
+                    prefer(F.col("ci.cst_gndr"), F.col("ca.gen"), unknown).alias("new_gen")).distinct() \
+        .orderBy(F.col("cst_gndr").asc_nulls_first(), F.col("gen").asc_nulls_first())
 
 
 def dq_gender_matrix(layers: Layers) -> DataFrame:

@@ -58,7 +58,7 @@ def scd2_end_date(layers: Layers) -> DataFrame:
     """History end date = next version's start - 1 day, per raw product key."""
     t = silver.with_history_end(layers.bronze("crm_prd_info"))
     return t.select("prd_id", "prd_key", F.col("prd_start_dt").cast("date").alias("prd_start_dt"),
-                    F.date_sub(F.col("_next_start").cast("date"), 1).alias("prd_end_dt"))
+                    F.col("_end_dt").alias("prd_end_dt"))
 
 
 @query

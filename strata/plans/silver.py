@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import cleaning as c
 from strata.operators.dedup import dedup_latest
-from strata.operators.ordered import lead_within_key
+from strata.operators.ordered import scd2_end_date
 
 # Silver column order of every table.
 SILVER_COLUMNS = {
@@ -46,10 +46,10 @@ def crm_cust_info(bronze: DataFrame) -> DataFrame:
     )
 
 
-def with_history_end(bronze: DataFrame, out: str = "_next_start") -> DataFrame:
-    """Next version's start per raw (composite) product key, before the key is split."""
+def with_history_end(bronze: DataFrame, out: str = "_end_dt") -> DataFrame:
+    """History end date per raw (composite) product key, computed before the key is split."""
     tb = [x for x in bronze.columns if x not in ("prd_key", "prd_start_dt")]
-    return lead_within_key(bronze, "prd_key", "prd_start_dt", out, tie_breaker=["prd_id", *tb])
+    return scd2_end_date(bronze, "prd_key", "prd_start_dt", out, tie_breaker=["prd_id", *tb])
 
 
 def crm_prd_info(bronze: DataFrame) -> DataFrame:
@@ -63,7 +63,7 @@ def crm_prd_info(bronze: DataFrame) -> DataFrame:
         F.coalesce(F.col("prd_cost"), F.lit(0)).cast("decimal(10,2)").alias("prd_cost"),
         c.map_codes("prd_line", c.PRODUCT_LINE, c.NA).alias("prd_line"),
         F.col("prd_start_dt").cast("date").alias("prd_start_dt"),
-        F.date_sub(F.col("_next_start").cast("date"), 1).alias("prd_end_dt"),
+        F.col("_end_dt").alias("prd_end_dt"),
     )
 
 
