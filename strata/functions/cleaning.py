@@ -119,11 +119,30 @@ def prefer(primary: Column | str, fallback: Column | str, unknown: str = NA) ->
 
 
 def parse_yyyymmdd(c: Column | str) -> Column:
-    """INT or text ``yyyyMMdd`` (or ISO ``yyyy-MM-dd``) -> DATE; anything else NULL."""
+    """Text ``yyyyMMdd`` (or ISO ``yyyy-MM-dd``) -> DATE; anything else NULL."""
     s = _col(c).cast("string")
     return F.coalesce(F.try_to_date(s, "yyyyMMdd"), F.try_to_date(s, "yyyy-MM-dd"))
 
 
+def int_yyyymmdd_to_date(c: Column | str) -> Column:
+    """INT ``yyyymmdd`` -> DATE by integer arithmetic; invalid dates (0, 5489, 20230229) give NULL.
+
+    No text formatting or parsing per row; ``make_date`` is reached only for
+    a valid year, month and day, so it never raises under ANSI mode.
+    """
+    v = _col(c).cast("int")
+    y, m, d = F.floor(v / 10000).cast("int"), (F.floor(v / 100) % 100).cast("int"), (v % 100).cast("int")
+    month_ok = (v >= 10000101) & (v <= 99991231) & (m >= 1) & (m <= 12)
+    days_in_month = F.dayofmonth(F.last_day(F.make_date(y, m, F.lit(1))))
+    return F.when(month_ok, F.when((d >= 1) & (d <= days_in_month), F.make_date(y, m, d)))
+
+
+def iso_date_to_yyyymmdd(c: Column | str) -> Column:
+    """ISO ``yyyy-MM-dd`` text -> INT ``yyyymmdd`` (NULL if not such a date)."""
+    t = F.try_to_date(_col(c), "yyyy-MM-dd")
+    return (F.year(t) * 10000 + F.month(t) * 100 + F.dayofmonth(t)).cast("int")
+
+
 def parse_dmy(c: Column | str) -> Column:
     """``STR_TO_DATE(c, '%d/%m/%Y')``: one or two digit day and month."""
     return F.try_to_date(_col(c), "d/M/yyyy")

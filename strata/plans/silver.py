@@ -70,9 +70,9 @@ def crm_prd_info(bronze: DataFrame) -> DataFrame:
 def crm_sales_details(bronze: DataFrame) -> DataFrame:
     return bronze.select(
         "sls_ord_num", "sls_prd_key", "sls_cust_id",
-        c.parse_yyyymmdd("sls_order_dt").alias("sls_order_dt"),
-        c.parse_yyyymmdd("sls_ship_dt").alias("sls_ship_dt"),
-        c.parse_yyyymmdd("sls_due_dt").alias("sls_due_dt"),
+        c.int_yyyymmdd_to_date("sls_order_dt").alias("sls_order_dt"),
+        c.int_yyyymmdd_to_date("sls_ship_dt").alias("sls_ship_dt"),
+        c.int_yyyymmdd_to_date("sls_due_dt").alias("sls_due_dt"),
         c.repair_sales("sls_sales", "sls_quantity", "sls_price").alias("sls_sales"),
         "sls_quantity",
         c.repair_price("sls_sales", "sls_quantity", "sls_price").alias("sls_price"),

@@ -7,7 +7,8 @@ Field semantics follow a MySQL ``LOAD DATA`` load:
 * an empty field is the empty string ``''``; ``\\N`` is NULL;
 * date and timestamp columns go through ``NULLIF(x, '')`` before conversion;
 * the ERP birth date arrives as ``DD/MM/YYYY`` (one or two digit day/month);
-* CRM sales dates stay integers ``yyyymmdd`` in bronze;
+* CRM sales dates stay integers ``yyyymmdd`` in bronze; an ISO ``yyyy-MM-dd``
+  value is accepted and stored as the same integer;
 * a value that does not convert to its column type becomes NULL; the
   conversions that failed are counted per column by ``conversion_failures``;
 * fields missing from a short row are read like empty fields (Spark's CSV
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.cleaning import empty_to_null, parse_dmy
+from strata.functions.cleaning import empty_to_null, iso_date_to_yyyymmdd, parse_dmy
 
 NULL_TOKEN = "\\N"
 
@@ -48,7 +49,8 @@ BRONZE_TYPES: dict[str, dict[str, str]] = {
     "crm_cust_info": {"cst_id": "int", "cst_create_date": "date"},
     "crm_prd_info": {"prd_id": "int", "prd_cost": "int", "prd_start_dt": "timestamp_ntz",
                      "prd_end_dt": "timestamp_ntz"},
-    "crm_sales_details": {"sls_cust_id": "int", "sls_order_dt": "int", "sls_ship_dt": "int", "sls_due_dt": "int",
+    "crm_sales_details": {"sls_cust_id": "int", "sls_order_dt": "int_date", "sls_ship_dt": "int_date",
+                          "sls_due_dt": "int_date",
                           "sls_sales": "int", "sls_quantity": "int", "sls_price": "int"},
     "erp_loc_a101": {},
     "erp_cust_az12": {"bdate": "dmy_date"},
@@ -58,8 +60,8 @@ BRONZE_TYPES: dict[str, dict[str, str]] = {
 
 def bronze_schema(name: str) -> T.StructType:
     types = BRONZE_TYPES[name]
-    mapping = {"int": T.IntegerType(), "date": T.DateType(), "timestamp_ntz": T.TimestampNTZType(),
-               "dmy_date": T.DateType()}
+    mapping = {"int": T.IntegerType(), "int_date": T.IntegerType(), "date": T.DateType(),
+               "timestamp_ntz": T.TimestampNTZType(), "dmy_date": T.DateType()}
     return T.StructType([T.StructField(c, mapping.get(types.get(c, ""), T.StringType()), True)
                          for c in SOURCES[name][1]])
 
@@ -85,6 +87,9 @@ def _convert(c: str, kind: str) -> Column:
     v = F.col(c)
     if kind == "int":
         return empty_to_null(v).try_cast("int")
+    if kind == "int_date":
+        # yyyymmdd as delivered; an ISO yyyy-MM-dd date is accepted and stored the same way
+        return F.coalesce(empty_to_null(v).try_cast("int"), iso_date_to_yyyymmdd(v))
     if kind == "date":
         return empty_to_null(v).try_cast("date")
     if kind == "timestamp_ntz":

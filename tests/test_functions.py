@@ -82,6 +82,18 @@ def test_parse_dates(spark):
         dt.date(1990, 2, 1), dt.date(1999, 12, 31), None, None, dt.date(2001, 6, 5)]
 
 
-def test_int_sales_dates_accept_int_column(spark):
-    df = spark.createDataFrame([(20200101,), (0,), (None,)], "v int")
-    assert [r[0] for r in df.select(c.parse_yyyymmdd(F.col("v"))).collect()] == [dt.date(2020, 1, 1), None, None]
+def test_int_dates_by_arithmetic_match_text_parsing(spark):
+    vals = [20200101, 0, None, 5489, 20230229, 20240229, 19991231, 20001301, 20000100, 99991231, 10000101,
+            20200431, 20200430]
+    df = spark.createDataFrame([(v,) for v in vals], "v int")
+    got = [tuple(r) for r in df.select(c.int_yyyymmdd_to_date("v"), c.parse_yyyymmdd("v")).collect()]
+    assert [a for a, _ in got] == [b for _, b in got]
+    assert got[0][0] == dt.date(2020, 1, 1) and got[5][0] == dt.date(2024, 2, 29)
+    # text parsing turns these into dates before year 1; the arithmetic form rejects them
+    odd = spark.createDataFrame([(-20200101,), (123,)], "v int")
+    assert [r[0] for r in odd.select(c.int_yyyymmdd_to_date("v")).collect()] == [None, None]
+
+
+def test_iso_date_to_int(spark):
+    df = spark.createDataFrame([("2011-01-05",), ("20110105",), ("",)], "v string")
+    assert [r[0] for r in df.select(c.iso_date_to_yyyymmdd("v")).collect()] == [20110105, None, None]

@@ -41,10 +41,11 @@ def test_dmy_birthdates_and_int_dates(spark, tmp_folder):
                    ("AW00011002", None, "")]
     _write(tmp_folder, "source_crm/sales_details.csv",
            "a,b,c,d,e,f,g,h,i\r\nSO1,BK-R93R-62,21768,20101229,20110105,20110110,3578,1,3578\r\n"
-           "SO2,BK-R93R-62,21768,,20110105,20110110,,1,\r\n")
+           "SO2,BK-R93R-62,21768,,2011-01-05,20110110,,1,\r\n")
     s = csv_ingest.read_bronze(spark, tmp_folder, "crm_sales_details").orderBy("sls_ord_num").collect()
     assert tuple(s[0]) == ("SO1", "BK-R93R-62", 21768, 20101229, 20110105, 20110110, 3578, 1, 3578)
     assert s[1].sls_order_dt is None and s[1].sls_sales is None and s[1].sls_price is None
+    assert s[1].sls_ship_dt == 20110105                      # ISO date accepted as yyyymmdd
 
 
 def test_extract_roundtrip_keeps_padding_empty_and_null(spark, tmp_folder):
