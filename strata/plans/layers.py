@@ -1,9 +1,10 @@
 """Lazy access to every layer of one warehouse build.
 
 Each relation is constructed on first use and kept, so a query that needs one
-silver table does not build the others.  The two dimensions are written to the
-shared checkpoint folder once: their surrogate keys are then computed a single
-time and stay stable for the fact and for every check that reads them.
+silver table does not build the others.  Building a dimension writes its rows,
+range bucket and position in the bucket to the shared checkpoint folder once;
+the surrogate key is then a narrow projection over that written table, so it is
+the same for the fact and for every check that reads the dimension.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions.cleaning import NA
-from strata.operators.ordered import materialise
 from strata.plans import gold, silver
 from strata.sources import fixtures
 
@@ -47,13 +47,12 @@ class Layers:
         return self._get(f"s:{name}", lambda: fn(self.bronze(name)))
 
     def dim_customers(self, unknown: str = NA) -> DataFrame:
-        return self._get(f"g:dim_customers:{unknown}", lambda: materialise(gold.dim_customers(
-            self.silver("crm_cust_info"), self.silver("erp_cust_az12"), self.silver("erp_loc_a101"), unknown),
-            "dim_customers"))
+        return self._get(f"g:dim_customers:{unknown}", lambda: gold.dim_customers(
+            self.silver("crm_cust_info"), self.silver("erp_cust_az12"), self.silver("erp_loc_a101"), unknown))
 
     def dim_products(self, current_only: bool = False) -> DataFrame:
-        return self._get(f"g:dim_products:{current_only}", lambda: materialise(gold.dim_products(
-            self.silver("crm_prd_info"), self.silver("erp_px_cat_g1v2"), current_only), "dim_products"))
+        return self._get(f"g:dim_products:{current_only}", lambda: gold.dim_products(
+            self.silver("crm_prd_info"), self.silver("erp_px_cat_g1v2"), current_only))
 
     def fact_sales(self) -> DataFrame:
         return self._get("g:fact_sales", lambda: gold.fact_sales(
