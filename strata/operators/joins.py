@@ -1,7 +1,8 @@
 """Join helpers: size-checked broadcast and orphan detection.
 
-A side is broadcast only after a bounded check of its row count; otherwise the
-join is left to the planner (sort-merge, with AQE splitting skewed partitions
+A side is broadcast only after a bounded check of its row count (at most
+``max_rows + 1`` rows are ever written for the check); otherwise the join is
+left to the planner (sort-merge, with AQE splitting skewed partitions
 and switching to broadcast from runtime sizes).
 """
 
@@ -12,16 +13,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.ordered import materialise
+
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
+    """``broadcast`` of ``df`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` before ``count``).
+    At most ``max_rows + 1`` rows are written to the shared checkpoint folder;
+    if that is all of them, the written copy (complete, size now known) is
+    broadcast, so the small side is computed once.  Otherwise the planner
+    joins the original without a broadcast.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    head = materialise(df.limit(max_rows + 1), "small-side")
+    if head.count() <= max_rows:
+        return F.broadcast(head)
+    return df
 
 
 def orphans(child: DataFrame, parent: DataFrame, on: Sequence[tuple[str, str]] | Column) -> DataFrame:
