@@ -36,7 +36,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back."""
     path = scratch_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def range_buckets(df: DataFrame, order_cols: Sequence[str], n_buckets: int | None = None,

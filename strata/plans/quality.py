@@ -53,7 +53,13 @@ def _nonpositive(*cols: str) -> Column:
     return out
 
 
-def _rules() -> list[tuple[str, str, Column]]:
+def _future_bdate(as_of: str | None) -> Column:
+    ref = F.current_date() if as_of is None else F.lit(as_of).cast("date")
+    return F.col("bdate") > ref
+
+
+def row_rules(as_of: str | None) -> list[tuple[str, str, Column]]:
+    """(rule, layer.table, predicate) for every row-level rule; ``as_of`` replaces NOW()."""
     return [
         ("dq_untrimmed_firstname", "bronze.crm_cust_info", _untrimmed("cst_firstname")),
         ("dq_prd_key_dash", "bronze.crm_prd_info", F.col("prd_key").contains("-")),
@@ -65,23 +71,13 @@ def _rules() -> list[tuple[str, str, Column]]:
         ("dq_order_date_length", "bronze.crm_sales_details", F.length(F.col("sls_order_dt").cast("string")) != 8),
         ("dq_loc_cid_dash", "bronze.erp_loc_a101", F.col("cid").contains("-")),
         ("dq_erp_cust_nas_prefix", "bronze.erp_cust_az12", F.col("cid").startswith("NAS")),
+        ("dq_future_bdate", "bronze.erp_cust_az12", _future_bdate(as_of)),
         ("dq_category_nulls", "bronze.erp_px_cat_g1v2", F.col("id").isNull() | F.col("cat").isNull()),
         ("dq_fact_date_order", "gold.fact_sales", F.col("shipping_date") < F.col("order_date")),
         ("dq_fact_nonpositive", "gold.fact_sales", _nonpositive("sales", "sls_quantity", "price")),
     ]
 
 
-def _future_bdate(as_of: str | None) -> Column:
-    ref = F.current_date() if as_of is None else F.lit(as_of).cast("date")
-    return F.col("bdate") > ref
-
-
-def row_rules(as_of: str | None) -> list[tuple[str, str, Column]]:
-    rules = _rules()
-    rules.insert(10, ("dq_future_bdate", "bronze.erp_cust_az12", _future_bdate(as_of)))
-    return rules
-
-
 def table_of(layers: Layers, qualified: str) -> DataFrame:
     layer, name = qualified.split(".")
     if layer == "bronze":

@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import cleaning as c
-from strata.plans import gold, quality, silver
+from strata.plans import gold, pipeline, quality, silver
 from strata.plans.layers import Layers
+from strata.session import scratch_path
+from strata.sources import csv_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -206,9 +208,6 @@ def dq_summary(layers: Layers) -> DataFrame:
 # ---------------------------------------------------------------- sources and sinks
 def _extracts(layers: Layers) -> str:
     """Write the six extracts as their source systems deliver them; returns the folder."""
-    from strata.session import scratch_path
-    from strata.sources import csv_ingest
-
     folder = scratch_path(layers.spark, "sources")
     for name in csv_ingest.SOURCES:
         csv_ingest.write_source_csv(layers.bronze(name), folder, name)
@@ -216,9 +215,6 @@ def _extracts(layers: Layers) -> str:
 
 
 def _roundtrip(layers: Layers, name: str) -> DataFrame:
-    from strata.session import scratch_path
-    from strata.sources import csv_ingest
-
     folder = scratch_path(layers.spark, "sources")
     csv_ingest.write_source_csv(layers.bronze(name), folder, name)
     return csv_ingest.read_bronze(layers.spark, folder, name)
@@ -245,9 +241,6 @@ def bronze_parse_dmy_date(layers: Layers) -> DataFrame:
 @query
 def full_refresh_idempotent(layers: Layers) -> DataFrame:
     """Bronze loaded twice into the same warehouse: counts equal one load."""
-    from strata.plans import pipeline
-    from strata.session import scratch_path
-
     src = _extracts(layers)
     wh = scratch_path(layers.spark, "warehouse")
     pipeline.load_bronze(layers.spark, src, wh)
@@ -255,26 +248,24 @@ def full_refresh_idempotent(layers: Layers) -> DataFrame:
     return pipeline.row_counts(layers.spark, wh, "bronze")
 
 
-def _pipeline_silver(layers: Layers) -> tuple[str, object]:
-    from strata.plans import pipeline
-    from strata.session import scratch_path
-
+def _load_to_silver(layers: Layers) -> str:
+    """CSV extracts -> bronze -> silver in a fresh warehouse folder; returns the folder."""
     src = _extracts(layers)
     wh = scratch_path(layers.spark, "warehouse")
     pipeline.load_bronze(layers.spark, src, wh)
     pipeline.load_silver(layers.spark, wh, layers.as_of)
-    return wh, pipeline
+    return wh
 
 
 @query
 def silver_write_read_back(layers: Layers) -> DataFrame:
     """Product history after CSV -> bronze -> silver, read back from the written table."""
-    wh, pipeline = _pipeline_silver(layers)
+    wh = _load_to_silver(layers)
     return pipeline.read_layer(layers.spark, wh, "silver", "crm_prd_info").drop("dwh_create_date")
 
 
 @query
 def silver_audit_column(layers: Layers) -> DataFrame:
     """Silver customers as written, with the load timestamp (not comparable: rows only)."""
-    wh, pipeline = _pipeline_silver(layers)
+    wh = _load_to_silver(layers)
     return pipeline.read_layer(layers.spark, wh, "silver", "crm_cust_info")
