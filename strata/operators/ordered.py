@@ -10,9 +10,9 @@ its bucket, and the table is written to the shared checkpoint folder so bucket
 ids are stable for the later passes and survive executor loss.
 
 * ``dense_surrogate_key``: every bucket is sorted before it is written and
-  each row keeps its position in the bucket; count per bucket (one row per
-  bucket), prefix sums over those counts (bounded by the bucket count, hence
-  broadcast), then key = position + offset, a narrow projection.
+  each row keeps its position in the bucket; the count per bucket (one number
+  per bucket, bounded by the bucket count) gives each bucket's offset, which is
+  broadcast; key = position + offset, a narrow projection.
 * ``lead_within_key``: ``lead`` inside each (bucket, key) slice; the last row of
   a slice takes the first value of the same key's next bucket, found on a
   table with one row per (bucket, key).
@@ -72,11 +72,14 @@ def dense_surrogate_key(df: DataFrame, order_by: Sequence[str], name: str,
     """
     cols = list(dict.fromkeys([*order_by, *tie_breaker]))
     b = range_buckets(df, cols, n_buckets, with_position=True)
-    counts = b.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))
-    # one row per bucket: the bucket count bounds this window and the broadcast
-    before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint").alias("_offset"))
-    numbered = b.join(F.broadcast(offsets), BUCKET, "inner") \
+    # one count per bucket: metadata bounded by the bucket count, not by the data
+    counts = sorted((r[BUCKET], r["_n"]) for r in b.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, running = [], 0
+    for bucket, n in counts:
+        offsets.append((bucket, running))
+        running += n
+    table = df.sparkSession.createDataFrame(offsets, f"{BUCKET} int, _offset bigint")
+    numbered = b.join(F.broadcast(table), BUCKET, "inner") \
         .withColumn(name, F.col(LOCAL) + F.col("_offset") + F.lit(1))
     return numbered.select(name, *df.columns)
 
