@@ -8,6 +8,9 @@ amounts, legacy key prefixes).  Every extract grows with the tables it reads.
 
 All functions are narrow projections over one scan, except
 ``crm_sales_details`` which joins lineitem to orders on the order key.
+Every extract covers its whole source table; the ``%`` rules below only decide
+which rows carry a planted defect (a duplicate, a padded name, a bad date, a
+missing ERP record), never which rows are processed.
 Row multiplication uses ``explode`` over a small literal array (a generator in
 the same stage), never a cross join.
 """
@@ -127,6 +130,7 @@ def erp_loc_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def erp_cust_az12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the ERP system lacks every ninth customer: CRM customers without demographics
     c = read_table(spark, sf_dir, "customer").select("c_custkey").where(F.col("c_custkey") % 9 != 8)
     k = F.col("c_custkey")
     days = F.when(k % 40 == 0, F.lit(54000)).otherwise((k * 13) % 18000).cast("int")
