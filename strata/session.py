@@ -40,11 +40,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
-    path = spark.conf.get(_CHECKPOINT_KEY, None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    """Return the shared checkpoint folder named by the session.
+
+    Only a local-mode session (tests, bench) without one gets a temporary
+    folder; on a cluster a machine-local folder would not survive the loss of
+    that machine, so an unset ``spark.checkpoint.dir`` is an error there.
+    """
+    path = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder shared by the cluster (e.g. on HDFS or S3)")
         path = os.path.join(tempfile.gettempdir(), f"strata-checkpoints-{uuid.uuid4().hex[:8]}")
         spark.conf.set(_CHECKPOINT_KEY, path)
     if not spark.sparkContext.getCheckpointDir():
