@@ -12,6 +12,7 @@ read back from the written files.
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,8 +66,27 @@ def load_silver(spark: SparkSession, warehouse_dir: str, as_of: str | None = Non
     return _report(spark, rows)
 
 
-def build_gold(spark: SparkSession, warehouse_dir: str) -> DataFrame:
-    """Write both dimensions, then the fact from the written dimensions."""
+def ingest_failures(spark: SparkSession, source_dir: str) -> DataFrame:
+    """Per typed bronze column: values present in the extract that did not convert (one pass per file)."""
+    parts = []
+    for name, (rel, cols) in csv_ingest.SOURCES.items():
+        if csv_ingest.BRONZE_TYPES[name]:
+            raw = csv_ingest.read_source_csv(spark, f"{source_dir.rstrip('/')}/{rel}", cols)
+            parts.append(csv_ingest.conversion_failures(name, raw))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def build_gold(spark: SparkSession, warehouse_dir: str, partition_fact_by: Sequence[str] = ()) -> DataFrame:
+    """Write both dimensions, then the fact from the written dimensions.
+
+    ``partition_fact_by`` (e.g. ``["order_date"]``) writes the fact in
+    partition folders for pruning; rows are first rebalanced on those columns
+    (AQE splits a hot value over several tasks and merges small ones), so each
+    task writes few, evenly sized files.
+    """
     s = {n: read_layer(spark, warehouse_dir, "silver", n).drop("dwh_create_date") for n in LAYER_TABLES}
     rows = []
     dims = {
@@ -80,7 +100,13 @@ def build_gold(spark: SparkSession, warehouse_dir: str) -> DataFrame:
     fact = gold.fact_sales(s["crm_sales_details"], read_layer(spark, warehouse_dir, "gold", "dim_products"),
                            read_layer(spark, warehouse_dir, "gold", "dim_customers"))
     path = table_path(warehouse_dir, "gold", "fact_sales")
-    secs = _write(fact, path)
+    if partition_fact_by:
+        t0 = time.perf_counter()
+        fact.hint("rebalance", *partition_fact_by).write.mode("overwrite") \
+            .partitionBy(*partition_fact_by).parquet(path)
+        secs = time.perf_counter() - t0
+    else:
+        secs = _write(fact, path)
     rows.append(("gold.fact_sales", spark.read.parquet(path).count(), round(secs, 3)))
     return _report(spark, rows)
 

@@ -53,3 +53,17 @@ def test_row_counts_report(spark):
     got = {r.table_name: r.rows_loaded for r in pipeline.row_counts(spark, wh, "bronze").collect()}
     assert set(got) == {f"bronze.{n}" for n in csv_ingest.SOURCES}
     assert got["bronze.erp_px_cat_g1v2"] == 5
+
+
+def test_partitioned_fact_and_ingest_report(spark):
+    layers, src = _sources(spark)
+    wh = scratch_path(spark, "warehouse")
+    pipeline.load_bronze(spark, src, wh)
+    pipeline.load_silver(spark, wh, "2026-01-01")
+    report = {r.table_name: r.rows_loaded for r in pipeline.build_gold(spark, wh, ["order_date"]).collect()}
+    fact = pipeline.read_layer(spark, wh, "gold", "fact_sales")
+    assert report["gold.fact_sales"] == fact.count() == layers.fact_sales().count()
+    one_day = fact.where(F.col("order_date") == F.lit("1995-03-01").cast("date"))
+    assert "PartitionFilters: [isnotnull(order_date" in one_day._jdf.queryExecution().executedPlan().toString()
+    fails = pipeline.ingest_failures(spark, src).collect()
+    assert fails and all(r.failures == 0 for r in fails)
