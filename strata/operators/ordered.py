@@ -29,6 +29,7 @@ from strata.session import scratch_path
 
 BUCKET = "_bucket"
 LOCAL = "_local"
+SLICES_PER_TASK = 4
 _LOW_33_BITS = (1 << 33) - 1
 
 
@@ -96,7 +97,9 @@ def lead_within_key(df: DataFrame, key: str, order_col: str, out: str,
     shuffled exactly once (no join back).
     """
     tb = [c for c in dict.fromkeys(tie_breaker) if c not in (key, order_col)]
-    b = range_buckets(df, [key, order_col, *tb], n_buckets)
+    # slices several times finer than the tasks, so whole slices pack evenly into tasks
+    tasks = n_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    b = range_buckets(df, [key, order_col, *tb], SLICES_PER_TASK * tasks)
     # first value of every (bucket, key) slice (NULLs sort first); fixed-width
     # aggregates, so a hash aggregate with map-side partial aggregation
     v = F.col(order_col)
@@ -108,6 +111,11 @@ def lead_within_key(df: DataFrame, key: str, order_col: str, out: str,
         F.col("_first").alias(order_col), F.lit(True).alias("_marker")).where(F.col(BUCKET).isNotNull())
     rows = b.select(*df.columns, BUCKET, F.lit(False).alias("_marker"))
     both = rows.unionByName(markers, allowMissingColumns=True)
+    # range-partition the slices: adjacent slices of a hot key land in different
+    # tasks (hashing them could stack several in one); this partitioning already
+    # satisfies the window's clustering on (bucket, key), so no other exchange
+    slices = [F.col(BUCKET).asc(), F.col(key).asc_nulls_first()]
+    both = both.repartitionByRange(n_buckets, *slices) if n_buckets else both.repartitionByRange(*slices)
     slice_order = [F.col("_marker").asc(), F.col(order_col).asc_nulls_first()] + \
         [F.col(c).asc_nulls_first() for c in tb]
     # lead of a struct is NULL only past the slice's end, even when the next value is NULL

@@ -29,7 +29,9 @@ def test_lead_shuffles_the_rows_once(spark):
     b = Layers(spark, SF_SMALL).bronze("crm_prd_info")
     p = plan(lead_within_key(b, "prd_key", "prd_start_dt", "nxt", tie_breaker=["prd_id"]))
     assert "Join" not in p
-    assert p.count("Exchange hashpartitioning(_bucket") == 2   # rows once, the small slice-firsts once
+    # the rows are shuffled once, by range over (bucket, key), which also serves the window
+    assert p.count("Exchange rangepartitioning(_bucket") == 1
+    assert p.count("Exchange hashpartitioning(_bucket") == 1   # the small per-slice firsts only
 
 
 def test_scans_read_only_needed_columns(spark):
