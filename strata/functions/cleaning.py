@@ -13,10 +13,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The unknown labels and the code -> label maps of the source systems.
 NA = "n/a"
 NOT_SPECIFIED = "Not Specified"
-
-# Code -> label maps of the source systems.
 MARITAL_STATUS = {"S": "Single", "M": "Married"}
 CRM_GENDER = {"F": "Female", "M": "Male"}
 ERP_GENDER = {"F": "Female", "M": "Male"}

@@ -22,6 +22,7 @@ from strata.functions.cleaning import NA, prefer
 from strata.operators.joins import broadcast_if_small
 from strata.operators.ordered import dense_surrogate_key
 
+# Gold column names and order (``cateegory_id`` spelt as in the source model).
 CUSTOMER_COLUMNS = ["customer_key", "customer_id", "customer_number", "first_name", "last_name", "country",
                     "marital_status", "gender", "birthdate", "create_date"]
 PRODUCT_COLUMNS = ["product_key", "product_id", "product_number", "product_name", "cateegory_id", "category_name",

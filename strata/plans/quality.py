@@ -21,6 +21,16 @@ from strata.operators.joins import broadcast_if_small, orphans
 from strata.plans.gold import customers_joined
 from strata.plans.layers import Layers
 
+# Output column names and labels of the source model's audits.
+DUPLICATE_COUNT = "total_duplicados"
+EXPECTED_SALES = "calculo_teorico"
+SALES_DIFFERENCE = "diferencia"
+GENDER_TOTAL = "total"
+PROBLEM = "problema"
+AFFECTED_ROWS = "total_filas_afectadas"
+MISSING_PRODUCTS = "Productos Faltantes"
+MISSING_CUSTOMERS = "Clientes Faltantes"
+
 
 def duplicates(df: DataFrame, key: str, count_name: str = "row_count") -> DataFrame:
     """``GROUP BY key HAVING COUNT(*) > 1``."""
@@ -115,7 +125,7 @@ def summary(layers: Layers) -> DataFrame:
 
 # ------------------------------------------------------------------ bronze audits
 def dq_dup_cst_id(layers: Layers) -> DataFrame:
-    return duplicates(layers.bronze("crm_cust_info"), "cst_id", "total_duplicados")
+    return duplicates(layers.bronze("crm_cust_info"), "cst_id", DUPLICATE_COUNT)
 
 
 def dq_untrimmed_firstname(layers: Layers) -> DataFrame:
@@ -150,8 +160,8 @@ def dq_sales_rule(layers: Layers) -> DataFrame:
     q, p, s = F.col("sls_quantity"), F.col("sls_price"), F.col("sls_sales")
     return violations(layers, "dq_sales_rule").select(
         "sls_ord_num", "sls_sales", "sls_quantity", "sls_price",
-        expected_sales(q, p).alias("calculo_teorico"),
-        (s.cast("bigint") - expected_sales(q, p)).alias("diferencia"))
+        expected_sales(q, p).alias(EXPECTED_SALES),
+        (s.cast("bigint") - expected_sales(q, p)).alias(SALES_DIFFERENCE))
 
 
 def dq_sales_nonpositive(layers: Layers) -> DataFrame:
@@ -204,7 +214,7 @@ def dq_dup_customer_number(layers: Layers) -> DataFrame:
 
 
 def dq_gender_distribution(layers: Layers) -> DataFrame:
-    return distribution(layers.dim_customers(), "gender", "total")
+    return distribution(layers.dim_customers(), "gender", GENDER_TOTAL)
 
 
 def dq_dup_product_key(layers: Layers) -> DataFrame:
@@ -220,13 +230,8 @@ def dq_category_distribution(layers: Layers) -> DataFrame:
 
 
 def _orphan_count(label: str, orphan_rows: DataFrame) -> DataFrame:
-    return orphan_rows.agg(F.count(F.lit(1)).alias("total_filas_afectadas")) \
-        .select(F.lit(label).alias("problema"), "total_filas_afectadas")
-
-
-# The labels of the two orphan audits.
-MISSING_PRODUCTS = "Productos Faltantes"
-MISSING_CUSTOMERS = "Clientes Faltantes"
+    return orphan_rows.agg(F.count(F.lit(1)).alias(AFFECTED_ROWS)) \
+        .select(F.lit(label).alias(PROBLEM), AFFECTED_ROWS)
 
 
 def dq_fact_orphan_products(layers: Layers) -> DataFrame:
