@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def main(sf_dir: str) -> None:
+def main(sf_dir: str) -> dict[str, tuple[float, int, int]]:
     sys.path.insert(0, ".")
     from strata.operators.dedup import dedup_latest
     from strata.operators.ordered import dense_surrogate_key, lead_within_key
@@ -107,12 +107,15 @@ def main(sf_dir: str) -> None:
         best = report.get(g)
         if best is None or total > best[1]:
             report[g] = (share, total, len(recs))
-    print(f"{'operator':42s} {'largest task share':>18s} {'rows shuffled':>14s} {'tasks':>6s}")
-    for name in runs:
-        if name in report:
-            share, total, n = report[name]
-            print(f"{name:42s} {share:18.1%} {total:14d} {n:6d}")
+    return {name.strip(): report[name] for name in runs if name in report}
 
 
 if __name__ == "__main__":
-    main(sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1")
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    result = main(args[0] if args else "/root/testdata/sf0.1")
+    if "--json" in sys.argv:
+        print(json.dumps(result))
+    else:
+        print(f"{'operator':42s} {'largest task share':>18s} {'rows shuffled':>14s} {'tasks':>6s}")
+        for name, (share, total, n) in result.items():
+            print(f"{name:42s} {share:18.1%} {total:14d} {n:6d}")
