@@ -3,8 +3,9 @@
 Every layer table is written with ``mode("overwrite")`` under
 ``{warehouse}/{layer}/{table}`` (parquet), so a rerun after a failure or an
 executor loss simply rebuilds the table; Spark's commit protocol makes each
-write all-or-nothing.  Silver tables get the audit column ``dwh_create_date``
-at write time.  Each step returns a report DataFrame
+write all-or-nothing.  The tables of one layer are independent, so their jobs
+are submitted together from a small thread pool.  Silver tables get the audit
+column ``dwh_create_date`` at write time.  Each step returns a report DataFrame
 ``(table_name, rows_loaded, seconds)``, with real durations; the counts are
 read back from the written files.
 """
@@ -12,7 +13,8 @@ read back from the written files.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,29 +43,40 @@ def _report(spark: SparkSession, rows: list[tuple[str, int, float]]) -> DataFram
     return spark.createDataFrame(rows, "table_name string, rows_loaded bigint, seconds double")
 
 
-def load_bronze(spark: SparkSession, source_dir: str, warehouse_dir: str) -> DataFrame:
-    """Truncate-and-load every bronze table from its CSV extract."""
-    rows = []
-    for name in LAYER_TABLES:
-        path = table_path(warehouse_dir, "bronze", name)
-        secs = _write(csv_ingest.read_bronze(spark, source_dir, name), path)
-        rows.append((f"bronze.{name}", spark.read.parquet(path).count(), round(secs, 3)))
-    return _report(spark, rows)
+def _load_all(spark: SparkSession, layer: str, builds: dict[str, Callable[[], DataFrame]], warehouse_dir: str,
+              parallel: bool) -> DataFrame:
+    """Write independent tables of one layer, as concurrent Spark jobs when ``parallel``."""
+    def one(name: str) -> tuple[str, int, float]:
+        path = table_path(warehouse_dir, layer, name)
+        secs = _write(builds[name](), path)
+        return f"{layer}.{name}", spark.read.parquet(path).count(), round(secs, 3)
 
+    if not parallel:
+        return _report(spark, [one(n) for n in builds])
+    with ThreadPoolExecutor(max_workers=len(builds)) as pool:
+        return _report(spark, list(pool.map(one, builds)))
 
-def silver_from_bronze(spark: SparkSession, warehouse_dir: str, as_of: str | None = None) -> dict[str, DataFrame]:
-    bronze = {n: read_layer(spark, warehouse_dir, "bronze", n) for n in LAYER_TABLES}
-    return silver.silver_tables(bronze, as_of)
 
+def load_bronze(spark: SparkSession, source_dir: str, warehouse_dir: str, parallel: bool = True) -> DataFrame:
+    """Truncate-and-load every bronze table from its CSV extract (the six loads are independent)."""
+    builds = {n: (lambda n=n: csv_ingest.read_bronze(spark, source_dir, n)) for n in LAYER_TABLES}
+    return _load_all(spark, "bronze", builds, warehouse_dir, parallel)
 
-def load_silver(spark: SparkSession, warehouse_dir: str, as_of: str | None = None) -> DataFrame:
-    """Rebuild every silver table from bronze, stamping ``dwh_create_date``."""
-    rows = []
-    for name, df in silver_from_bronze(spark, warehouse_dir, as_of).items():
-        path = table_path(warehouse_dir, "silver", name)
-        secs = _write(df.withColumn("dwh_create_date", F.localtimestamp()), path)
-        rows.append((f"silver.{name}", spark.read.parquet(path).count(), round(secs, 3)))
-    return _report(spark, rows)
+
+def load_silver(spark: SparkSession, warehouse_dir: str, as_of: str | None = None,
+                parallel: bool = True) -> DataFrame:
+    """Rebuild every silver table from bronze, stamping ``dwh_create_date`` (no silver table reads another)."""
+    bronze = {n: read_layer(spark, warehouse_dir, "bronze", n) for n in LAYER_TABLES}
+    builders = {
+        "crm_cust_info": lambda: silver.crm_cust_info(bronze["crm_cust_info"]),
+        "crm_prd_info": lambda: silver.crm_prd_info(bronze["crm_prd_info"]),
+        "crm_sales_details": lambda: silver.crm_sales_details(bronze["crm_sales_details"]),
+        "erp_loc_a101": lambda: silver.erp_loc_a101(bronze["erp_loc_a101"]),
+        "erp_cust_az12": lambda: silver.erp_cust_az12(bronze["erp_cust_az12"], as_of),
+        "erp_px_cat_g1v2": lambda: silver.erp_px_cat_g1v2(bronze["erp_px_cat_g1v2"]),
+    }
+    builds = {n: (lambda b=b: b().withColumn("dwh_create_date", F.localtimestamp())) for n, b in builders.items()}
+    return _load_all(spark, "silver", builds, warehouse_dir, parallel)
 
 
 def ingest_failures(spark: SparkSession, source_dir: str) -> DataFrame:

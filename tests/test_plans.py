@@ -1,6 +1,5 @@
 """Plan-shape checks: the properties the operators rely on at scale."""
 
-import re
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
