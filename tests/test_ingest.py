@@ -54,3 +54,22 @@ def test_extract_roundtrip_keeps_padding_empty_and_null(spark, tmp_folder):
     csv_ingest.write_source_csv(df, tmp_folder, "crm_cust_info")
     back = csv_ingest.read_bronze(spark, tmp_folder, "crm_cust_info")
     assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_TEXT = st.one_of(st.none(), st.text(st.sampled_from(list('ab ,"\\\'x\t;|') + ["é", "中"]), max_size=8))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(_TEXT, _TEXT), min_size=1, max_size=6))
+def test_extract_roundtrip_property(spark, rows):
+    """Quotes, commas, backslashes, padding, '' and NULL all survive write -> load."""
+    from strata.session import scratch_path
+
+    df = spark.createDataFrame(rows, csv_ingest.bronze_schema("erp_loc_a101"))
+    folder = scratch_path(spark, "prop")
+    csv_ingest.write_source_csv(df, folder, "erp_loc_a101")
+    back = csv_ingest.read_bronze(spark, folder, "erp_loc_a101")
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))

@@ -27,3 +27,8 @@ def test_entry_smoke(spark):
     assert df.columns == ["order_number", "product_key", "customer_key", "order_date", "shipping_date", "due_date",
                           "sales", "sls_quantity", "price"]
     assert df.count() > 0
+
+
+def test_every_query_has_an_oracle_but_the_timestamp_one():
+    assert set(entry.queries()) - set(entry.oracle_sql()) == {"silver_audit_column"}
+    assert set(entry.oracle_sql()) <= set(entry.queries())
