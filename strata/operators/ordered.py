@@ -97,9 +97,10 @@ def lead_within_key(df: DataFrame, key: str, order_col: str, out: str,
     shuffled exactly once (no join back).
     """
     tb = [c for c in dict.fromkeys(tie_breaker) if c not in (key, order_col)]
-    # slices several times finer than the tasks, so whole slices pack evenly into tasks
-    tasks = n_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    b = range_buckets(df, [key, order_col, *tb], SLICES_PER_TASK * tasks)
+    # with an explicit task count, slices several times finer than the tasks so whole
+    # slices pack evenly; otherwise AQE sizes both steps (it only merges adjacent
+    # ranges, and a hot key's ranges are each large, so they stay separate slices)
+    b = range_buckets(df, [key, order_col, *tb], SLICES_PER_TASK * n_buckets if n_buckets else None)
     # first value of every (bucket, key) slice (NULLs sort first); fixed-width
     # aggregates, so a hash aggregate with map-side partial aggregation
     v = F.col(order_col)
