@@ -1,9 +1,10 @@
 """Gold layer: customer and product dimensions and the sales fact.
 
-The dimensions carry dense surrogate keys numbered in a fixed order.  They are
-built with ``dense_surrogate_key`` (range buckets + offsets, no single-task
-stage) and written once, so the fact joins stable keys and the dimensions are
-not recomputed per read.
+The dimensions carry dense surrogate keys numbered in a fixed order, built with
+``dense_surrogate_key`` (range buckets + offsets, no single-task stage): each
+dimension's rows, bucket and position are written once, and the key is a
+projection over that written table, so the fact and every audit see the same
+keys without recomputing the joins behind the dimension.
 
 Faithful defaults reproduce the source model, including its known defects:
 the CRM gender fallback tests ``'n/a'`` although silver writes
