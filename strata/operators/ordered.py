@@ -13,9 +13,9 @@ ids are stable for the later passes and survive executor loss.
   each row keeps its position in the bucket; the count per bucket (one number
   per bucket, bounded by the bucket count) gives each bucket's offset, which is
   broadcast; key = position + offset, a narrow projection.
-* ``lead_within_key``: ``lead`` inside each (bucket, key) slice; the last row of
-  a slice takes the first value of the same key's next bucket, found on a
-  table with one row per (bucket, key).
+* ``lead_within_key``: ``lead`` inside each (bucket, key) slice; only a key
+  that crosses a bucket boundary (at most one per boundary) needs the first
+  value of the next bucket, taken from a per-bucket aggregate.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.session import scratch_path
 
@@ -90,28 +91,32 @@ def lead_within_key(df: DataFrame, key: str, order_col: str, out: str,
     """``LEAD(order_col) OVER (PARTITION BY key ORDER BY order_col, tie_breaker)`` as ``out``.
 
     NULL keys form one partition, as in SQL.  Hot keys span several buckets
-    and are processed by several tasks.  The value that follows the last row
-    of a (bucket, key) slice is the first value of the key's next slice; it is
-    appended to the slice as a marker row that sorts after every real row, so
-    one ``lead`` over the slices gives every answer and the large side is
-    shuffled exactly once (no join back).
+    and are processed by several tasks.  Buckets are contiguous ranges of
+    (key, order_col, tie_breaker), so at most one key crosses each bucket
+    boundary: for that key, the value after the last row of bucket ``b`` is the
+    first value of the next non-empty bucket.  Those values (at most one per
+    bucket, from a per-bucket aggregate) are appended to their slices as marker
+    rows that sort after every real row, so one ``lead`` over (bucket, key)
+    slices answers every row and the large side is shuffled exactly once.
     """
     tb = [c for c in dict.fromkeys(tie_breaker) if c not in (key, order_col)]
     # with an explicit task count, slices several times finer than the tasks so whole
     # slices pack evenly; otherwise AQE sizes both steps (it only merges adjacent
     # ranges, and a hot key's ranges are each large, so they stay separate slices)
     b = range_buckets(df, [key, order_col, *tb], SLICES_PER_TASK * n_buckets if n_buckets else None)
-    # first value of every (bucket, key) slice (NULLs sort first); fixed-width
-    # aggregates, so a hash aggregate with map-side partial aggregation
-    v = F.col(order_col)
-    first = F.when(F.max(v.isNull()), F.lit(None)).otherwise(F.min(v))
-    firsts = b.groupBy(BUCKET, key).agg(first.alias("_first"))
-    # at most one row per bucket for any key, so this window is bounded by the bucket count
-    markers = firsts.select(
-        F.lag(BUCKET).over(Window.partitionBy(key).orderBy(BUCKET)).alias(BUCKET), F.col(key),
-        F.col("_first").alias(order_col), F.lit(True).alias("_marker")).where(F.col(BUCKET).isNotNull())
+    # first and last row of every bucket (struct order = the sort order, NULLs first):
+    # one row per bucket, so this is bounded by the bucket count
+    row = F.struct(F.col(key).alias("k"), F.col(order_col).alias("v"), *[F.col(c) for c in tb])
+    ends = sorted(b.groupBy(BUCKET).agg(F.min(row).alias("first"), F.max(row).alias("last")).collect(),
+                  key=lambda r: r[BUCKET])
+    markers = [(prev[BUCKET], prev["last"]["k"], nxt["first"]["v"])
+               for prev, nxt in zip(ends, ends[1:]) if prev["last"]["k"] == nxt["first"]["k"]]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    marker_schema = T.StructType([T.StructField(BUCKET, T.IntegerType()), T.StructField(key, types[key]),
+                                  T.StructField(order_col, types[order_col])])
+    marker_rows = df.sparkSession.createDataFrame(markers, marker_schema).withColumn("_marker", F.lit(True))
     rows = b.select(*df.columns, BUCKET, F.lit(False).alias("_marker"))
-    both = rows.unionByName(markers, allowMissingColumns=True)
+    both = rows.unionByName(marker_rows, allowMissingColumns=True)
     # range-partition the slices: adjacent slices of a hot key land in different
     # tasks (hashing them could stack several in one); this partitioning already
     # satisfies the window's clustering on (bucket, key), so no other exchange
