@@ -19,7 +19,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.plans import gold, silver
+from strata.plans import gold, quality, silver
 from strata.sources import csv_ingest
 
 LAYER_TABLES = list(csv_ingest.SOURCES)
@@ -132,3 +132,14 @@ def row_counts(spark: SparkSession, warehouse_dir: str, layer: str) -> DataFrame
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def audit(spark: SparkSession, warehouse_dir: str, as_of: str | None = None) -> DataFrame:
+    """Row-level data-quality rules over the written bronze tables and fact (one pass per table).
+
+    The tables are read from parquet, so each rule's columns are all that is
+    read and simple predicates reach the scan.
+    """
+    tables = {f"bronze.{n}": read_layer(spark, warehouse_dir, "bronze", n) for n in LAYER_TABLES}
+    tables["gold.fact_sales"] = read_layer(spark, warehouse_dir, "gold", "fact_sales")
+    return quality.summarise(tables, as_of)

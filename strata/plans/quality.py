@@ -12,6 +12,8 @@ shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,14 +107,19 @@ def violations(layers: Layers, rule: str) -> DataFrame:
     raise KeyError(rule)
 
 
-def summary(layers: Layers) -> DataFrame:
-    """(rule, table_name, violations) for every row-level rule; one pass per table."""
+def summarise(tables: Mapping[str, DataFrame], as_of: str | None = None) -> DataFrame:
+    """(rule, table_name, violations) for every row-level rule of the given tables.
+
+    ``tables`` maps ``layer.table`` names (as in ``row_rules``) to DataFrames;
+    all rules of one table are counted in a single pass with ``count_if``.
+    """
     per_table: dict[str, list[tuple[str, Column]]] = {}
-    for name, table, pred in row_rules(layers.as_of):
-        per_table.setdefault(table, []).append((name, pred))
+    for name, table, pred in row_rules(as_of):
+        if table in tables:
+            per_table.setdefault(table, []).append((name, pred))
     parts = []
     for table, rules in per_table.items():
-        counts = table_of(layers, table).agg(*[F.count_if(pred).alias(name) for name, pred in rules])
+        counts = tables[table].agg(*[F.count_if(pred).alias(name) for name, pred in rules])
         stacked = counts.select(F.explode(F.array(*[
             F.struct(F.lit(name).alias("rule"), F.lit(table).alias("table_name"), F.col(name).alias("violations"))
             for name, _ in rules])).alias("r")).select("r.*")
@@ -123,6 +130,12 @@ def summary(layers: Layers) -> DataFrame:
     return out
 
 
+def summary(layers: Layers) -> DataFrame:
+    """``summarise`` over the tables of one build."""
+    names = dict.fromkeys(table for _, table, _ in row_rules(layers.as_of))
+    return summarise({t: table_of(layers, t) for t in names}, layers.as_of)
+
+
 # ------------------------------------------------------------------ bronze audits
 def dq_dup_cst_id(layers: Layers) -> DataFrame:
     return duplicates(layers.bronze("crm_cust_info"), "cst_id", DUPLICATE_COUNT)

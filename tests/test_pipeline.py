@@ -2,7 +2,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from strata.plans import pipeline
+from strata.plans import pipeline, quality
 from strata.plans.layers import Layers
 from strata.session import scratch_path
 from strata.sources import csv_ingest
@@ -32,6 +32,14 @@ def test_end_to_end_pipeline_and_invariants(spark):
     gold_report = {r.table_name: r.rows_loaded for r in pipeline.build_gold(spark, wh).collect()}
     assert gold_report["gold.fact_sales"] == layers.fact_sales().count()
 
+    # the audit over the written warehouse equals the audit over the in-memory build
+    written = {(r.rule, r.table_name): r.violations for r in pipeline.audit(spark, wh, "2026-01-01").collect()}
+    built = {(r.rule, r.table_name): r.violations for r in quality.summary(layers).collect()}
+    assert written == built and len(written) == 14
+    dash = {n: p for n, _, p in quality.row_rules(None)}["dq_prd_key_dash"]
+    scan = pipeline.read_layer(spark, wh, "bronze", "crm_prd_info").where(dash)
+    assert "StringContains(prd_key,-)" in scan._jdf.queryExecution().executedPlan().toString()
+
     for dim, key in (("dim_customers", "customer_key"), ("dim_products", "product_key")):
         d = pipeline.read_layer(spark, wh, "gold", dim)
         n = d.count()
