@@ -19,7 +19,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.cleaning import NA
 from strata.plans import gold, quality, silver
+from strata.plans.layers import Layers
 from strata.sources import csv_ingest
 
 LAYER_TABLES = list(csv_ingest.SOURCES)
@@ -143,3 +145,51 @@ def audit(spark: SparkSession, warehouse_dir: str, as_of: str | None = None) ->
     tables = {f"bronze.{n}": read_layer(spark, warehouse_dir, "bronze", n) for n in LAYER_TABLES}
     tables["gold.fact_sales"] = read_layer(spark, warehouse_dir, "gold", "fact_sales")
     return quality.summarise(tables, as_of)
+
+
+class WarehouseLayers(Layers):
+    """The layers of a written warehouse, read from parquet, for the audits.
+
+    Offers what the audits read: bronze and silver tables, both dimensions and
+    the fact as written.  Relations that are not part of a load (the repeated
+    ERP location loads, the open-versions-only product dimension) are absent.
+    """
+
+    def __init__(self, spark: SparkSession, warehouse_dir: str, as_of: str | None = None):
+        super().__init__(spark, "", as_of)
+        self.warehouse_dir = warehouse_dir
+
+    def bronze(self, name: str) -> DataFrame:
+        return self._get(f"b:{name}", lambda: read_layer(self.spark, self.warehouse_dir, "bronze", name))
+
+    def silver(self, name: str) -> DataFrame:
+        if name not in LAYER_TABLES:
+            raise KeyError(f"silver.{name} is not part of a load")
+        return self._get(f"s:{name}", lambda: read_layer(self.spark, self.warehouse_dir, "silver", name)
+                         .drop("dwh_create_date"))
+
+    def dim_customers(self, unknown: str = NA) -> DataFrame:
+        if unknown != NA:
+            raise KeyError("only the faithful customer dimension is written")
+        return self._get("g:dim_customers", lambda: read_layer(self.spark, self.warehouse_dir, "gold", "dim_customers"))
+
+    def dim_products(self, current_only: bool = False) -> DataFrame:
+        if current_only:
+            raise KeyError("only the full product dimension is written")
+        return self._get("g:dim_products", lambda: read_layer(self.spark, self.warehouse_dir, "gold", "dim_products"))
+
+    def fact_sales(self) -> DataFrame:
+        return self._get("g:fact_sales", lambda: read_layer(self.spark, self.warehouse_dir, "gold", "fact_sales"))
+
+
+def audit_report(spark: SparkSession, warehouse_dir: str, as_of: str | None = None) -> DataFrame:
+    """(audit, offending_rows) for every audit that the written tables support."""
+    layers = WarehouseLayers(spark, warehouse_dir, as_of)
+    rows = []
+    for name in quality.AUDITS:
+        try:
+            offending = getattr(quality, name)(layers)
+        except KeyError:
+            continue
+        rows.append((name, offending.count()))
+    return spark.createDataFrame(rows, "audit string, offending_rows bigint")

@@ -185,16 +185,7 @@ def silver_row_counts(layers: Layers) -> DataFrame:
 
 
 # ---------------------------------------------------------------- data-quality audits
-DQ_QUERIES = [
-    "dq_dup_cst_id", "dq_untrimmed_firstname", "dq_distinct_gndr", "dq_distinct_marital", "dq_dup_prd_id",
-    "dq_prd_key_dash", "dq_prd_cost_missing", "dq_prd_date_order", "dq_sales_rule", "dq_sales_nonpositive",
-    "dq_sales_order_after_ship", "dq_loc_cid_dash", "dq_distinct_country", "dq_erp_cust_nas_prefix",
-    "dq_future_bdate", "dq_distinct_gen", "dq_category_nulls", "dq_distinct_category", "dq_order_date_length",
-    "dq_dup_customer_key", "dq_dup_customer_number", "dq_gender_distribution", "dq_dup_product_key",
-    "dq_dup_product_number", "dq_category_distribution", "dq_fact_orphan_products", "dq_fact_orphan_customers",
-    "dq_fact_date_order", "dq_fact_nonpositive", "dq_customer_fanout", "dq_gender_country_matrix",
-    "dq_gender_matrix", "dq_current_product_fanout", "dq_fact_integrity_inner", "dq_sales_orphans_silver",
-]
+DQ_QUERIES = quality.AUDITS
 for _name in DQ_QUERIES:
     query(getattr(quality, _name))
 
