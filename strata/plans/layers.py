@@ -54,6 +54,16 @@ class Layers:
         return self._get(f"g:dim_products:{current_only}", lambda: gold.dim_products(
             self.silver("crm_prd_info"), self.silver("erp_px_cat_g1v2"), current_only))
 
+    def dim_customers_base(self) -> DataFrame:
+        """The customer dimension without its surrogate key (for audits that do not use it)."""
+        return self._get("g:dim_customers_base", lambda: gold.dim_customers_unkeyed(
+            self.silver("crm_cust_info"), self.silver("erp_cust_az12"), self.silver("erp_loc_a101")))
+
+    def dim_products_base(self) -> DataFrame:
+        """The product dimension without its surrogate key (for audits that do not use it)."""
+        return self._get("g:dim_products_base", lambda: gold.dim_products_unkeyed(
+            self.silver("crm_prd_info"), self.silver("erp_px_cat_g1v2")))
+
     def fact_sales(self) -> DataFrame:
         return self._get("g:fact_sales", lambda: gold.fact_sales(
             self.silver("crm_sales_details"), self.dim_products(), self.dim_customers()))

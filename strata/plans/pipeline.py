@@ -178,6 +178,12 @@ class WarehouseLayers(Layers):
             raise KeyError("only the full product dimension is written")
         return self._get("g:dim_products", lambda: read_layer(self.spark, self.warehouse_dir, "gold", "dim_products"))
 
+    def dim_customers_base(self) -> DataFrame:
+        return self.dim_customers().drop("customer_key")
+
+    def dim_products_base(self) -> DataFrame:
+        return self.dim_products().drop("product_key")
+
     def fact_sales(self) -> DataFrame:
         return self._get("g:fact_sales", lambda: read_layer(self.spark, self.warehouse_dir, "gold", "fact_sales"))
 

@@ -223,11 +223,11 @@ def dq_dup_customer_key(layers: Layers) -> DataFrame:
 
 
 def dq_dup_customer_number(layers: Layers) -> DataFrame:
-    return duplicates(layers.dim_customers(), "customer_number")
+    return duplicates(layers.dim_customers_base(), "customer_number")
 
 
 def dq_gender_distribution(layers: Layers) -> DataFrame:
-    return distribution(layers.dim_customers(), "gender", GENDER_TOTAL)
+    return distribution(layers.dim_customers_base(), "gender", GENDER_TOTAL)
 
 
 def dq_dup_product_key(layers: Layers) -> DataFrame:
@@ -235,11 +235,11 @@ def dq_dup_product_key(layers: Layers) -> DataFrame:
 
 
 def dq_dup_product_number(layers: Layers) -> DataFrame:
-    return duplicates(layers.dim_products(), "product_number")
+    return duplicates(layers.dim_products_base(), "product_number")
 
 
 def dq_category_distribution(layers: Layers) -> DataFrame:
-    return distribution(layers.dim_products(), "category_name")
+    return distribution(layers.dim_products_base(), "category_name")
 
 
 def _orphan_count(label: str, orphan_rows: DataFrame) -> DataFrame:
@@ -260,8 +260,8 @@ def dq_fact_orphan_customers(layers: Layers) -> DataFrame:
 def dq_sales_orphans_silver(layers: Layers) -> DataFrame:
     """Orphans counted before the inner joins drop them (the audits above cannot see any)."""
     s = layers.silver("crm_sales_details")
-    p = layers.dim_products().select("product_number").distinct()
-    c = layers.dim_customers().select("customer_id")
+    p = layers.dim_products_base().select("product_number").distinct()
+    c = layers.dim_customers_base().select("customer_id")
     return _orphan_count(MISSING_PRODUCTS, orphans(s, p, [("sls_prd_key", "product_number")])).unionByName(
         _orphan_count(MISSING_CUSTOMERS, orphans(s, c, [("sls_cust_id", "customer_id")])))
 
