@@ -105,3 +105,22 @@ def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> D
         F.col("sd.sls_quantity"),
         F.col("sd.sls_price").alias("price"),
     )
+
+
+def fact_sales_unkeyed(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+    """The fact's rows without the surrogate keys: the same joins on business keys, so the
+    same rows (including the fan-out to every product version), for audits that do not use keys."""
+    sd = sales.alias("sd")
+    pr = products.select("product_number").alias("pr")
+    cu = customers.select("customer_id").alias("cu")
+    j = sd.join(pr, F.col("sd.sls_prd_key") == F.col("pr.product_number"), "inner") \
+        .join(cu, F.col("sd.sls_cust_id") == F.col("cu.customer_id"), "inner")
+    return j.select(
+        F.col("sd.sls_ord_num").alias("order_number"),
+        F.col("sd.sls_order_dt").alias("order_date"),
+        F.col("sd.sls_ship_dt").alias("shipping_date"),
+        F.col("sd.sls_due_dt").alias("due_date"),
+        F.col("sd.sls_sales").alias("sales"),
+        F.col("sd.sls_quantity"),
+        F.col("sd.sls_price").alias("price"),
+    )

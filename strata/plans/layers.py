@@ -64,6 +64,11 @@ class Layers:
         return self._get("g:dim_products_base", lambda: gold.dim_products_unkeyed(
             self.silver("crm_prd_info"), self.silver("erp_px_cat_g1v2")))
 
+    def fact_sales_base(self) -> DataFrame:
+        """The fact's rows without surrogate keys (for audits that do not use them)."""
+        return self._get("g:fact_sales_base", lambda: gold.fact_sales_unkeyed(
+            self.silver("crm_sales_details"), self.dim_products_base(), self.dim_customers_base()))
+
     def fact_sales(self) -> DataFrame:
         return self._get("g:fact_sales", lambda: gold.fact_sales(
             self.silver("crm_sales_details"), self.dim_products(), self.dim_customers()))

@@ -184,6 +184,9 @@ class WarehouseLayers(Layers):
     def dim_products_base(self) -> DataFrame:
         return self.dim_products().drop("product_key")
 
+    def fact_sales_base(self) -> DataFrame:
+        return self.fact_sales().drop("product_key", "customer_key")
+
     def fact_sales(self) -> DataFrame:
         return self._get("g:fact_sales", lambda: read_layer(self.spark, self.warehouse_dir, "gold", "fact_sales"))
 
