@@ -16,7 +16,7 @@ import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.cleaning import NA
@@ -46,23 +46,39 @@ def _report(spark: SparkSession, rows: list[tuple[str, int, float]]) -> DataFram
 
 
 def _load_all(spark: SparkSession, layer: str, builds: dict[str, Callable[[], DataFrame]], warehouse_dir: str,
-              parallel: bool) -> DataFrame:
+              parallel: bool, observed: dict[str, Observation] | None = None) -> DataFrame:
     """Write independent tables of one layer, as concurrent Spark jobs when ``parallel``."""
-    def one(name: str) -> tuple[str, int, float]:
+    def one(name: str) -> tuple:
         path = table_path(warehouse_dir, layer, name)
         secs = _write(builds[name](), path)
-        return f"{layer}.{name}", spark.read.parquet(path).count(), round(secs, 3)
-
+        row = (f"{layer}.{name}", spark.read.parquet(path).count(), round(secs, 3))
+        if observed is not None:
+            row += (observed[name].get["failed_values"] or 0,)
+        return row
+
+    schema = "table_name string, rows_loaded bigint, seconds double"
+    if observed is not None:
+        schema += ", failed_values bigint"
     if not parallel:
-        return _report(spark, [one(n) for n in builds])
+        return spark.createDataFrame([one(n) for n in builds], schema)
     with ThreadPoolExecutor(max_workers=len(builds)) as pool:
-        return _report(spark, list(pool.map(one, builds)))
+        return spark.createDataFrame(list(pool.map(one, builds)), schema)
 
 
 def load_bronze(spark: SparkSession, source_dir: str, warehouse_dir: str, parallel: bool = True) -> DataFrame:
-    """Truncate-and-load every bronze table from its CSV extract (the six loads are independent)."""
-    builds = {n: (lambda n=n: csv_ingest.read_bronze(spark, source_dir, n)) for n in LAYER_TABLES}
-    return _load_all(spark, "bronze", builds, warehouse_dir, parallel)
+    """Truncate-and-load every bronze table from its CSV extract (the six loads are independent).
+
+    The report's ``failed_values`` counts the non-empty values that did not
+    convert to their column type, observed during the load itself (one pass).
+    """
+    observed: dict[str, Observation] = {}
+
+    def build(name: str) -> DataFrame:
+        df, observed[name] = csv_ingest.read_bronze_observed(spark, source_dir, name)
+        return df
+
+    builds = {n: (lambda n=n: build(n)) for n in LAYER_TABLES}
+    return _load_all(spark, "bronze", builds, warehouse_dir, parallel, observed)
 
 
 def load_silver(spark: SparkSession, warehouse_dir: str, as_of: str | None = None,

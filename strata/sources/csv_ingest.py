@@ -21,7 +21,7 @@ is a single narrow stage per table: no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,6 +118,21 @@ def conversion_failures(name: str, raw: DataFrame) -> DataFrame:
         for c in types])).alias("r")).select("r.*")
 
 
+def read_bronze_observed(spark: SparkSession, source_dir: str, name: str) -> tuple[DataFrame, Observation]:
+    """Typed bronze table plus an ``Observation`` that counts, during the same pass
+    (the write), the non-empty values that did not convert (``failed_values``)."""
+    rel, cols = SOURCES[name]
+    raw = read_source_csv(spark, f"{source_dir.rstrip('/')}/{rel}", cols)
+    types = BRONZE_TYPES[name]
+    typed = [_convert(c, types.get(c, "string")).alias(f"_t_{c}") for c in cols]
+    both = raw.select(*cols, *typed)
+    failed = [(F.col(c).isNotNull() & (F.col(c) != "") & F.col(f"_t_{c}").isNull()).cast("int") for c in types]
+    total = sum(failed[1:], failed[0]) if failed else F.lit(0)
+    obs = Observation(f"ingest_{name}")
+    observed = both.observe(obs, F.sum(total).cast("bigint").alias("failed_values"))
+    return observed.select(*[F.col(f"_t_{c}").alias(c) for c in cols]), obs
+
+
 def read_bronze(spark: SparkSession, source_dir: str, name: str) -> DataFrame:
     rel, cols = SOURCES[name]
     return to_bronze(name, read_source_csv(spark, f"{source_dir.rstrip('/')}/{rel}", cols))

@@ -34,6 +34,9 @@ def test_crlf_quotes_short_rows_and_nulls(spark, tmp_folder):
                                      csv_ingest.SOURCES["crm_cust_info"][1])
     fails = {r.column_name: r.failures for r in csv_ingest.conversion_failures("crm_cust_info", raw).collect()}
     assert fails == {"cst_id": 1, "cst_create_date": 0}
+    observed, obs = csv_ingest.read_bronze_observed(spark, tmp_folder, "crm_cust_info")
+    assert sorted(map(str, observed.collect())) == sorted(map(str, df.collect()))
+    assert obs.get["failed_values"] == 1                      # counted in the same pass
 
 
 def test_dmy_birthdates_and_int_dates(spark, tmp_folder):
