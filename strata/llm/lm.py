@@ -37,9 +37,11 @@ END = "\n"
 CLASSES, CLASS_SIZE, HIDDEN = 32, 32, 16
 VOCABULARY = CLASSES * CLASS_SIZE
 #: Back-propagation is cut after this many tokens; the state goes on.
-STEPS = 32
+STEPS = 64
 STREAMS = 256
 RATE = 0.1
+#: Start of the squared-gradient sums; logits are held within +-LIMIT.
+SQUARES, LIMIT = 1e-7, 30.0
 #: Documents are gathered into chunks of this many tokens at most (or one document).
 CHUNK_TOKENS = 1_500_000
 BLOCK_BYTES = 8 * 1024 * 1024
@@ -111,7 +113,7 @@ class GatedModel:
         classes, within = target // CLASS_SIZE, target % CLASS_SIZE
         rows = np.arange(len(target))
         logits = hidden @ self.class_w + self.class_b
-        logits -= logits.max(axis=1, keepdims=True)
+        np.clip(logits, -LIMIT, LIMIT, out=logits)
         p = np.exp(logits)
         norm = p.sum(axis=1)
         score = logits[rows, classes] - np.log(norm)
@@ -129,7 +131,7 @@ class GatedModel:
                 continue
             part, at = hidden[own], (np.arange(len(own)), within[own])
             logits = part @ self.word_w[c] + self.word_b[c]
-            logits -= logits.max(axis=1, keepdims=True)
+            np.clip(logits, -LIMIT, LIMIT, out=logits)
             q = np.exp(logits)
             norm = q.sum(axis=1)
             score[own] += logits[at] - np.log(norm)
@@ -305,7 +307,7 @@ def train(rows: DataFrame, vocab: Vocabulary) -> GatedModel:
         vocab, flat = shared.value
         model = GatedModel(vocab.frequencies)
         model.unpack(flat)
-        squares = {n: np.full(getattr(model, n).shape, 1e-6, np.float32) for n in model.NAMES}
+        squares = {n: np.full(getattr(model, n).shape, SQUARES, np.float32) for n in model.NAMES}
         docs, size, total = [], 0, 0
         for batch in batches:
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
