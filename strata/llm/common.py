@@ -82,6 +82,15 @@ def map_rows(df: DataFrame, make, schema: str | StructType, batch_rows: int = 20
     return map_arrow(df, run, schema)
 
 
+def hash_share(rows: DataFrame, key: list[str], n: int, total: int | None = None) -> Column:
+    """Condition for a repeatable sample of about ``n`` rows: those whose hashed key
+    lies in the lowest n / total of the hash range (every row if there are no more than n)."""
+    total = rows.count() if total is None else total
+    if total <= n:
+        return F.lit(True)
+    return F.xxhash64(*key) < F.lit(int(-2**63 + n / total * 2**64))
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names based on ``names`` that ``df`` does not use (case-insensitively)."""
     used, out = {c.lower() for c in df.columns}, []

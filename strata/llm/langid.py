@@ -16,11 +16,10 @@ import re
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from strata.llm.common import col, map_arrow, map_rows, materialise
+from strata.llm.common import col, hash_share, map_arrow, map_rows, materialise
 
-#: Labelled documents per language that train the text model (smallest hashed ids).
+#: About so many labelled documents per language train the text model (lowest hashed ids).
 MAX_TRAIN_DOCS = 300
 HASH_BITS = 14
 #: A text counts as at most this many independent trigrams.
@@ -75,11 +74,13 @@ class TextModel:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           max_docs: int = MAX_TRAIN_DOCS) -> TextModel:
-    """Fit on the ``max_docs`` labelled documents of smallest hashed id per language."""
+    """Fit on about ``max_docs`` labelled documents per language (lowest hashed ids, one row an id)."""
     rows = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"),
                        col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id", "text"))
-    sample = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max_docs).select("lang", "text")
+    picked = F.lit(False)
+    for r in rows.groupBy("lang").count().collect():  # one number per language
+        picked = picked | ((F.col("lang") == r["lang"]) & hash_share(rows, ["id"], max_docs, r["count"]))
+    sample = rows.where(picked).dropDuplicates(["lang", "id"]).select("lang", "text")
 
     def count(batches):
         import pyarrow as pa

@@ -23,6 +23,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -110,56 +111,59 @@ class GatedModel:
     def outputs(self, hidden: np.ndarray, target: np.ndarray, gradients: bool = False):
         """Natural-log probability of every target; with ``gradients`` also the output
         gradients of the summed log-probability and its gradient in ``hidden``."""
+        order = np.argsort(target // CLASS_SIZE, kind="stable")  # rows of one class lie together
+        hidden, target = hidden[order], target[order]
         classes, within = target // CLASS_SIZE, target % CLASS_SIZE
+        bounds = np.searchsorted(classes, np.arange(CLASSES + 1)).tolist()
         rows = np.arange(len(target))
-        logits = hidden @ self.class_w + self.class_b
-        np.clip(logits, -LIMIT, LIMIT, out=logits)
-        p = np.exp(logits)
-        norm = p.sum(axis=1)
-        score = logits[rows, classes] - np.log(norm)
+        p, score = _softmax(hidden @ self.class_w + self.class_b, rows, classes)
         if gradients:
-            p /= -norm[:, None]
+            np.negative(p, out=p)
             p[rows, classes] += 1
             grads = {"class_w": hidden.T @ p, "class_b": p.sum(axis=0), "word_w": np.zeros_like(self.word_w),
                      "word_b": np.zeros_like(self.word_b)}
             down = p @ self.class_w.T
-        order = np.argsort(classes, kind="stable")
-        bounds = np.searchsorted(classes[order], np.arange(CLASSES + 1))
         for c in range(CLASSES):
-            own = order[bounds[c]:bounds[c + 1]]
-            if not len(own):
+            lo, hi = bounds[c], bounds[c + 1]
+            if lo == hi:
                 continue
-            part, at = hidden[own], (np.arange(len(own)), within[own])
-            logits = part @ self.word_w[c] + self.word_b[c]
-            np.clip(logits, -LIMIT, LIMIT, out=logits)
-            q = np.exp(logits)
-            norm = q.sum(axis=1)
-            score[own] += logits[at] - np.log(norm)
+            part, at = hidden[lo:hi], (rows[:hi - lo], within[lo:hi])
+            q, own = _softmax(part @ self.word_w[c] + self.word_b[c], *at)
+            score[lo:hi] += own
             if gradients:
-                q /= -norm[:, None]
+                np.negative(q, out=q)
                 q[at] += 1
                 grads["word_w"][c], grads["word_b"][c] = part.T @ q, q.sum(axis=0)
-                down[own] += q @ self.word_w[c].T
-        return (score, grads, down) if gradients else score
+                down[lo:hi] += q @ self.word_w[c].T
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        return (score[back], grads, down[back]) if gradients else score[back]
 
     def backward(self, tokens: np.ndarray, fresh: np.ndarray, trace, down: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of ``rec`` and ``inputs`` for ``down`` = d(score)/d(hidden), cut at the window's start."""
         before, gates, inner, fed, _ = trace
         steps, streams = tokens.shape
         h = HIDDEN
-        d_in = np.empty((steps, streams, 3 * h), np.float32)
-        d_back = np.empty((steps, streams, 3 * h), np.float32)
+        z, r = gates[:, :, :h], gates[:, :, h:]
+        # local derivatives of the whole window; the loop only carries d back in time
+        local = np.empty((steps, streams, 3, h), np.float32)
+        to_inner = np.multiply(1 - z, 1 - inner * inner, out=local[:, :, 2])
+        np.multiply(before - inner, z * (1 - z), out=local[:, :, 0])
+        np.multiply(to_inner * fed, r * (1 - r), out=local[:, :, 1])
+        through = local.copy()
+        through[:, :, 2] *= r
         keep = (~fresh).astype(np.float32)[:, :, None]
-        carry = np.zeros((streams, h), np.float32)
+        late = z * keep
+        d_hidden = np.empty((steps, streams, h), np.float32)
+        carry, rec = np.zeros((streams, h), np.float32), np.ascontiguousarray(self.rec.T)
         for t in range(steps - 1, -1, -1):
-            d = down[t] + carry
-            z, r = gates[t, :, :h], gates[t, :, h:]
-            d_n = d * (1 - z) * (1 - inner[t] ** 2)
-            d_in[t, :, :h] = d * (before[t] - inner[t]) * z * (1 - z)
-            d_in[t, :, h:2 * h] = d_n * fed[t] * r * (1 - r)
-            d_in[t, :, 2 * h:] = d_n
-            d_back[t, :, :2 * h], d_back[t, :, 2 * h:] = d_in[t, :, :2 * h], d_n * r
-            carry = (d * z + d_back[t] @ self.rec.T) * keep[t]
+            d = np.add(down[t], carry, out=d_hidden[t])
+            through[t] *= d[:, None, :]
+            carry = through[t].reshape(streams, 3 * h) @ rec
+            carry *= keep[t]
+            carry += d * late[t]
+        d_back = through
+        d_in = np.multiply(local, d_hidden[:, :, None, :], out=local)
         flat = tokens.ravel()
         order = np.argsort(flat, kind="stable")
         own, starts = np.unique(flat[order], return_index=True)
@@ -168,6 +172,19 @@ class GatedModel:
         return {"rec": before.reshape(-1, h).T @ d_back.reshape(-1, 3 * h), "inputs": d_inputs}
 
 
+_ONES = np.ones(max(CLASSES, CLASS_SIZE), np.float32)
+
+
+def _softmax(logits: np.ndarray, rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of each row and the log-probability at ``(rows, at)``."""
+    np.clip(logits, -LIMIT, LIMIT, out=logits)
+    chosen = logits[rows, at]
+    p = np.exp(logits, out=logits)
+    norm = p @ _ONES[:p.shape[1]]
+    p *= (1 / norm)[:, None]
+    return p, chosen - np.log(norm)
+
+
 # ---------------------------------------------------------------- documents as streams
 def streams(docs: list[np.ndarray], end_id: int, width: int = STREAMS, steps: int = STEPS) -> Iterator[tuple]:
     """Lay documents (id arrays that close with ``end_id``) side by side in streams.
@@ -184,24 +201,23 @@ def streams(docs: list[np.ndarray], end_id: int, width: int = STREAMS, steps: in
         lanes[k].append(i)
         heapq.heappush(heap, (size + len(docs[i]), k))
     lanes = sorted((lane for lane in lanes if lane), key=lambda lane: -sum(len(docs[i]) for i in lane))
-    targets = [np.concatenate([docs[i] for i in lane]) for lane in lanes]
-    owner = [np.repeat(np.array(lane, np.int32), [len(docs[i]) for i in lane]) for lane in lanes]
-    sizes = np.array([len(t) for t in targets])
+    sizes = np.array([sum(len(docs[i]) for i in lane) for lane in lanes], np.int64)
+    laid = [i for lane in lanes for i in lane]  # all documents, stream after stream
+    lengths = np.array([len(docs[i]) for i in laid], np.int64)
+    goal = np.concatenate([docs[i] for i in laid]) if laid else np.zeros(0, np.int32)
+    owner = np.repeat(np.array(laid, np.int32), lengths)
+    first = np.zeros(len(goal), bool)
+    first[np.cumsum(lengths) - lengths] = True
+    given = np.concatenate(([end_id], goal[:-1])).astype(np.int32)
+    given[first] = end_id
+    begin = np.cumsum(sizes) - sizes
     for at in range(0, int(sizes.max(initial=0)), steps):
         active = int((sizes > at).sum())
         n = min(steps, int(sizes[0]) - at)
-        tokens, goal = np.full((n, active), end_id, np.int32), np.full((n, active), end_id, np.int32)
-        doc, fresh = np.zeros((n, active), np.int32), np.ones((n, active), bool)
-        valid = np.arange(at, at + n)[:, None] < sizes[:active]
-        for k in range(active):
-            own, who = targets[k], owner[k]
-            m = min(n, len(own) - at)
-            goal[:m, k], doc[:m, k] = own[at:at + m], who[at:at + m]
-            lo = max(at, 1)
-            tokens[lo - at:m, k] = own[lo - 1:at + m - 1]
-            fresh[lo - at:m, k] = who[lo:at + m] != who[lo - 1:at + m - 1]
-            fresh[m:, k] = False
-        yield tokens, fresh, goal, doc, valid
+        step = np.arange(at, at + n)[:, None]
+        valid = step < sizes[:active]
+        place = begin[:active] + np.minimum(step, sizes[:active] - 1)  # past its end a stream repeats its last step
+        yield given[place], first[place] & valid, goal[place], owner[place], valid
 
 
 def fit(model: GatedModel, docs: list[np.ndarray], end_id: int, squares: dict[str, np.ndarray], rate: float = RATE) -> None:
@@ -285,8 +301,7 @@ class Vocabulary:
         self.base_total = tokens + ALPHA * (types + 1)
 
     def encode(self, words: list[bytes]) -> np.ndarray:
-        get, other = self.ids.get, self.other
-        return np.array([*(get(w, other) for w in words), self.end], np.int32)
+        return np.fromiter(chain(map(self.ids.get, words, repeat(self.other)), (self.end,)), np.int32, len(words) + 1)
 
 
 def vocabulary(counts: DataFrame, end_hint: str = END) -> Vocabulary:
@@ -345,8 +360,13 @@ def _average(group: pa.Table) -> pa.Table:
 
 # ---------------------------------------------------------------- scoring
 def _score_block(vocab: Vocabulary, model: GatedModel, docs: pa.Table, known: pa.Table, out: pa.Schema) -> pa.Table:
-    count = dict(zip(known["token"].cast(pa.binary()).to_pylist(), known["n"].to_pylist()))
-    ends = count.get(END.encode(), 0)
+    tokens = known["token"].cast(pa.binary()).to_pylist()
+    seen = dict(zip(tokens, range(len(tokens))))  # entries repeat if a task handed a token on twice
+    unseen = len(tokens)
+    count = np.append(known["n"].to_numpy().astype(np.float64), 0.0)
+    entry = np.append(np.fromiter(map(vocab.ids.get, tokens, repeat(vocab.other)), np.int32, len(tokens)), vocab.other)
+    end = seen.get(END.encode(), unseen)
+    logs = np.log10(count + ALPHA)
     columns: list[list] = [[] for _ in out]
     texts, ids = docs["text"].to_pylist(), docs["doc_id"].to_pylist()
     lo = 0
@@ -354,12 +374,12 @@ def _score_block(vocab: Vocabulary, model: GatedModel, docs: pa.Table, known: pa
         encoded, extra, base, size, hi = [], [], [], 0, lo
         while hi < len(texts) and size < CHUNK_TOKENS:
             words = words_of(texts[hi])
-            c = np.array([*(count.get(w, 0) for w in words), ends], np.float64)
-            own = vocab.encode(words)
-            logs = np.log10(c + ALPHA)
+            at = np.fromiter(chain(map(seen.get, words, repeat(unseen)), (end,)), np.int64, len(words) + 1)
+            own, each = entry[at], logs[at]
+            own[-1] = vocab.end
             others = own == vocab.other
-            base.append((len(own), int((c > 0).sum()), float(logs.sum() - len(own) * math.log10(vocab.base_total))))
-            extra.append(float(logs[others].sum() - others.sum() * math.log10(vocab.other_total)))
+            base.append((len(own), int((count[at] > 0).sum()), float(each.sum() - len(own) * math.log10(vocab.base_total))))
+            extra.append(float(each[others].sum() - others.sum() * math.log10(vocab.other_total)))
             encoded.append(own)
             size, hi = size + len(own), hi + 1
         scores = log10_scores(model, encoded, vocab.end)

@@ -16,9 +16,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import col, filter_rows, map_arrow, map_rows
+from strata.llm.common import col, filter_rows, hash_share, map_arrow, map_rows
 
-#: Labelled documents used to fit the line model (smallest hashed ids).
+#: About so many labelled documents fit the line model (lowest hashed ids).
 MAX_TRAIN_DOCS = 2_000
 EPOCHS = 4
 MIN_CONTENT = 0.5
@@ -169,16 +169,16 @@ def fit(examples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS, rate: floa
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS,
           id_col: str = "doc_id", text_col: str = "text") -> LineField:
-    """Fit the line field on the ``max_docs`` labelled documents of smallest hashed id.
+    """Fit the line field on about ``max_docs`` labelled documents (lowest hashed ids, one row an id).
 
     Rows without a label or text are skipped.  Without any usable row the
     weights stay zero, which marks every line as content.
     """
     own = labels.where(F.col("quality").isNotNull()).select(F.col("doc_id").alias("train_id"), "quality")
-    picked = own.groupBy("train_id").agg(F.max("quality").alias("quality")).orderBy(
-        F.xxhash64("train_id"), "train_id").limit(max_docs)
+    own = own.groupBy("train_id").agg(F.max("quality").alias("quality"))
+    picked = own.where(hash_share(own, ["train_id"], max_docs))
     texts = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
-    sample = texts.join(F.broadcast(picked), texts["id"] == picked["train_id"])  # at most max_docs rows
+    sample = texts.join(F.broadcast(picked), texts["id"] == picked["train_id"])  # about max_docs ids
 
     def make():
         def one(doc_id, text, quality):
@@ -199,7 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS,
         field = fit([examples[i] for i in order])
         yield pa.RecordBatch.from_pylist([{"w": field.weights.ravel().tolist(), "m": field.moves.ravel().tolist()}])
 
-    got = map_arrow(rows.repartition(1), learn, "w array<double>, m array<double>").first()
+    got = map_arrow(rows.dropDuplicates(["id"]).repartition(1), learn, "w array<double>, m array<double>").first()
     return LineField(np.array(got["w"]).reshape(N_FEATURES, 2), np.array(got["m"]).reshape(2, 2))
 
 

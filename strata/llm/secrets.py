@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import col
+from strata.llm.common import col, hash_share
 
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -24,7 +24,7 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 MIN_VALUE = 12
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-#: Documents whose words train the model of ordinary identifiers (smallest hashed ids).
+#: About so many documents train the model of ordinary identifiers (lowest hashed ids).
 SAMPLE_DOCS = 1_000
 #: Mean log-likelihood ratio (nats per transition) from which a token counts as random.
 MIN_RATIO = 0.75
@@ -86,7 +86,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     hits = rows.where(F.col("text").rlike(f"{ASSIGN}|{ACCESS}")).select(F.explode(F.concat(
         F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)),
         F.regexp_extract_all("text", F.lit(f"({ACCESS})"), F.lit(1)))).alias("token")).where(f"length(token) >= {MIN_VALUE}")
-    sample = rows.orderBy(F.xxhash64("id", "text"), "id").limit(sample_docs)
+    sample = rows.where(hash_share(rows, ["id"], sample_docs))
     digest = F.sha2(F.concat(F.lit("sample:"), F.coalesce("id", F.lit(""))), 256)
     made = sample.select(F.explode(F.array(digest, F.regexp_replace(F.base64(F.unhex(digest)), "=+$", ""))).alias("token"))
     words = sample.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z][A-Za-z0-9_-]{3,}"), F.lit(0))).alias("token")) \

@@ -21,12 +21,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import col, fresh, map_rows, materialise
+from strata.llm.common import col, fresh, hash_share, map_rows, materialise
 from strata.llm.graph import components
 
 BITS = 64
 SEED = 42
-#: Fingerprints looked at when groups and thresholds are planned.
+#: About so many fingerprints are looked at when groups and thresholds are planned.
 PLAN_SAMPLE = 2_000
 _CHUNK = 1 << 16
 
@@ -171,9 +171,9 @@ def link(classes: DataFrame, max_distance: int = 4) -> DataFrame:
     dense group does not emit its links pair by pair.
     """
     n = classes.count()
-    rows = classes.orderBy(F.xxhash64("fp"), "fp").limit(PLAN_SAMPLE).collect() if n else []
+    rows = classes.where(hash_share(classes, ["fp"], PLAN_SAMPLE, n)).collect()
     packed = np.array([r["fp"] for r in rows], np.int64).view(np.uint8).reshape(-1, 8)
-    sample = np.unpackbits(packed, axis=1, bitorder="little") if n else np.zeros((1, BITS), np.uint8)
+    sample = np.unpackbits(packed, axis=1, bitorder="little") if rows else np.zeros((1, BITS), np.uint8)
     groups = plan(sample, max(n, 1), max_distance)
 
     filed = _keys(classes.select("fp", F.col("fp").alias("label")), groups, probe=False)
