@@ -19,7 +19,6 @@ from strata.llm.common import col, fresh, map_rows, materialise
 
 GRAM_WORDS = 25
 WINDOW_WORDS = 50
-_KEY = ["id", "text_hash"]
 
 
 def lines_of(text: str | None) -> list[tuple[int, bytes, int]]:
@@ -65,7 +64,7 @@ def winnow(lines: list[bytes], sizes: list[int], gram_words: int = GRAM_WORDS,
     return [(p, ends[p], hashes[p]) for p in sorted(chosen)]
 
 
-def extend(own: list[int], other: list[int], at: int, end: int, there: int, same_doc: bool) -> tuple[int, int] | None:
+def extend(own: list[int], other: list[int], at: int, end: int, there: int) -> tuple[int, int] | None:
     """The maximal matching run around ``own[at..end] == other[there..]`` (None if the lines differ)."""
     n = end - at + 1
     if own[at:end + 1] != other[there:there + n]:
@@ -78,13 +77,13 @@ def extend(own: list[int], other: list[int], at: int, end: int, there: int, same
     return lo, hi
 
 
-def _runs(own, numbers, other, same_doc, marks):
+def _runs(own, numbers, other, marks):
     """Merged ``(from, to)`` line numbers that the marks' matches cover."""
     found, done = [], {}
     for at, end, there in sorted(marks):
         if there - at in done and done[there - at] >= end:
             continue  # inside the run found for an earlier mark of the same shift
-        run = extend(own, other, at, end, there, same_doc)
+        run = extend(own, other, at, end, there)
         if run:
             found.append(run)
             done[there - at] = run[1]
@@ -99,56 +98,62 @@ def _runs(own, numbers, other, same_doc, marks):
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   gram_words: int = GRAM_WORDS, window_words: int = WINDOW_WORDS) -> DataFrame:
-    """``(id, text_hash, runs)``: line-number ranges to delete, for documents that have any.
+    """``(doc, runs)``: line-number ranges to delete, for documents that have any; ``doc`` is the key of ``_doc``.
 
     Documents are told apart by id and text, so rows that repeat both count as
     one; null ids come last.  Null and empty texts have no lines.
     """
     rows = docs.select(col(id_col).alias("id"), F.xxhash64(col(text_col)).alias("text_hash"),
                        col(text_col).cast("string").alias("text"))
+    rows = rows.select("id", "text_hash", _doc(F.col("id"), F.col("text_hash")).alias("doc"), "text")
     id_type = rows.schema["id"].dataType.simpleString()
 
     def make():
         from xxhash import xxh3_64_intdigest
 
-        def one(i, text_hash, text):
+        def one(i, text_hash, doc, text):
             lines = lines_of(text)
             marks = winnow([t for _, t, _ in lines], [n for _, _, n in lines], gram_words, window_words)
             if marks:
                 hashes = [xxh3_64_intdigest(t) - (1 << 63) for _, t, _ in lines]
-                yield i, text_hash, hashes, [n for n, _, _ in lines], marks
+                yield i, text_hash, doc, hashes, [n for n, _, _ in lines], marks
 
         return one
 
     lines = materialise(
-        map_rows(rows, make, f"id {id_type}, text_hash long, hashes array<long>, numbers array<int>, "
+        map_rows(rows, make, f"id {id_type}, text_hash long, doc string, hashes array<long>, numbers array<int>, "
                              "marks array<struct<at:int,end:int,gram:binary>>", batch_rows=2_000), "lines")
-    grams = lines.select(*_KEY, F.explode("marks").alias("m")).select(*_KEY, "m.*")
-    place = F.struct(F.isnull("id").alias("none"), "id", "text_hash", "at")
+    grams = lines.select("id", "text_hash", "doc", F.explode("marks").alias("m")).select("id", "text_hash", "doc", "m.*")
+    place = F.struct(F.isnull("id").alias("none"), "id", "text_hash", "at", "doc")
     first = materialise(
         grams.groupBy("gram").agg(F.min(place).alias("p"), F.count("*").alias("n")).where("n > 1").select(
-            "gram", F.col("p.id").alias("id0"), F.col("p.text_hash").alias("hash0"), F.col("p.at").alias("at0")), "first")
-    same = F.col("id").eqNullSafe(F.col("id0")) & (F.col("text_hash") == F.col("hash0"))
-    pairs = grams.join(first, "gram").where(~(same & (F.col("at") == F.col("at0")))).groupBy(
-        *_KEY, "id0", "hash0").agg(F.collect_set(F.struct("at", "end", "at0")).alias("marks"))
+            "gram", F.col("p.doc").alias("doc0"), F.col("p.at").alias("at0")), "first")
+    # sort-merge joins at every size: their cost grows evenly and AQE splits hot keys
+    pairs = grams.select("gram", "doc", "at", "end").join(first.hint("merge"), "gram").where(
+        (F.col("doc") != F.col("doc0")) | (F.col("at") != F.col("at0"))).groupBy("doc", "doc0").agg(
+        F.collect_set(F.struct("at", "end", "at0")).alias("marks"))
     pairs = materialise(pairs, "pairs")
-    source = lines.select(F.col("id").alias("s_id"), F.col("text_hash").alias("s_hash"),
-                          F.col("hashes").alias("other")).dropDuplicates(["s_id", "s_hash"])
-    own = lines.select(F.col("id").alias("o_id"), F.col("text_hash").alias("o_hash"), "hashes",
-                       "numbers").dropDuplicates(["o_id", "o_hash"])
-    matched = pairs.join(source, F.col("id0").eqNullSafe(F.col("s_id")) & (F.col("hash0") == F.col("s_hash"))).join(
-        own, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("text_hash") == F.col("o_hash"))).select(
-        *_KEY, "hashes", "numbers", "other", same.alias("same"), "marks")
+    once = lines.dropDuplicates(["doc"])  # rows that repeat id and text are one document
+    source = once.select(F.col("doc").alias("doc0"), F.col("hashes").alias("other"))
+    own = once.select("doc", "hashes", "numbers")
+    matched = pairs.join(source.hint("merge"), "doc0").join(own.hint("merge"), "doc").select(
+        "doc", "hashes", "numbers", "other", "marks")
 
     def make_runs():
-        def one(i, text_hash, hashes, numbers, other, same_doc, marks):
-            runs = _runs(hashes, numbers, other, same_doc, [(m["at"], m["end"], m["at0"]) for m in marks])
-            return [(i, text_hash, runs)] if runs else []
+        def one(doc, hashes, numbers, other, marks):
+            runs = _runs(hashes, numbers, other, [(m["at"], m["end"], m["at0"]) for m in marks])
+            return [(doc, runs)] if runs else []
 
         return one
 
-    found = map_rows(matched, make_runs, f"id {id_type}, text_hash long, runs array<struct<lo:int,hi:int>>", batch_rows=2_000)
-    return found.groupBy(*_KEY).agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("runs")))).alias("runs"))
+    found = map_rows(matched, make_runs, "doc string, runs array<struct<lo:int,hi:int>>", batch_rows=2_000)
+    return found.groupBy("doc").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("runs")))).alias("runs"))
+
+
+def _doc(id_column: Column, text_hash: Column) -> Column:
+    """Key that tells documents apart by id (null is an id of its own) and text."""
+    return F.concat_ws(":", F.isnull(id_column).cast("string"), id_column.cast("string"),
+                       F.coalesce(text_hash.cast("string"), F.lit("")))
 
 
 def _without(text: Column, runs: Column) -> Column:
@@ -166,10 +171,9 @@ def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     with the deleted ``(lo, hi)`` line ranges (null: none).
     """
     runs = materialise(repeated_runs(docs, id_col, text_col, gram_words, window_words), "runs")
-    mark, k_id, k_hash, k_runs = fresh(docs, "text_hash", "run_id", "run_hash", "runs")
-    cuts = runs.select(F.col("id").alias(k_id), F.col("text_hash").alias(k_hash), F.col("runs").alias(k_runs))
-    joined = docs.withColumn(mark, F.xxhash64(col(text_col))).join(
-        cuts, col(id_col).eqNullSafe(col(k_id)) & (col(mark) == col(k_hash)), "left")
+    mark, k_doc, k_runs = fresh(docs, "doc", "run_doc", "runs")
+    cuts = runs.select(F.col("doc").alias(k_doc), F.col("runs").alias(k_runs)).hint("merge")
+    joined = docs.withColumn(mark, _doc(col(id_col), F.xxhash64(col(text_col)))).join(cuts, col(mark) == col(k_doc), "left")
     text = F.when(col(k_runs).isNull(), col(text_col)).otherwise(_without(col(text_col), col(k_runs)))
     out = [text.alias(c) if c == text_col else col(c) for c in docs.columns]
     return joined.select(*out, *([col(k_runs).alias(report)] if report else []))
