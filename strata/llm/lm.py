@@ -10,10 +10,10 @@ Training: output biases start at corpus frequencies; then every task runs
 truncated back-propagation over all of its training documents from the same
 start, and the parameters are averaged in two levels, weighted by tokens.
 
-Scoring: documents are spread by hash over blocks of bounded size.  The distinct
-tokens of each block are joined with the corpus counts, and block and counts
-meet in one cogroup, so no vocabulary is broadcast and no per-token table is
-shuffled.
+Documents are spread by hash over blocks of bounded size.  Each block hands on
+its distinct tokens once; the corpus counts come back with them, and block and
+counts meet in one cogroup, so no corpus vocabulary is broadcast and no table
+of all token positions is shuffled.
 """
 
 from __future__ import annotations
@@ -30,16 +30,17 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strata.llm.common import arrow_schema, col, map_arrow, materialise, record_batches
 
 #: The end token; words hold no white space, so it can't be one.
 END = "\n"
-CLASSES, CLASS_SIZE, HIDDEN = 32, 32, 16
+CLASSES, CLASS_SIZE, HIDDEN = 32, 32, 8
 VOCABULARY = CLASSES * CLASS_SIZE
 #: Back-propagation is cut after this many tokens; the state goes on.
-STEPS = 64
-STREAMS = 256
+STEPS = 32
+STREAMS = 128
 RATE = 0.1
 #: Start of the squared-gradient sums; logits are held within +-LIMIT.
 SQUARES, LIMIT = 1e-7, 30.0
@@ -47,7 +48,7 @@ SQUARES, LIMIT = 1e-7, 30.0
 CHUNK_TOKENS = 1_500_000
 BLOCK_BYTES = 8 * 1024 * 1024
 #: Distinct tokens a counting task holds before it hands them on.
-COUNT_BUFFER = 300_000
+COUNT_BUFFER = 600_000
 ALPHA = 0.1
 
 
@@ -254,31 +255,47 @@ def log10_scores(model: GatedModel, docs: list[np.ndarray], end_id: int) -> np.n
 
 
 # ---------------------------------------------------------------- corpus counts
-def count_tokens(rows: DataFrame) -> DataFrame:
-    """``(token, n)`` over the whole texts of the training rows ``(doc_id, text)``, ends included."""
-    schema = "token string, n long"
+def count_tokens(blocked: DataFrame) -> DataFrame:
+    """``(block, token, n, first)``: the distinct tokens of every block with their corpus counts.
+
+    ``n`` counts the training rows of ``blocked(doc_id, text, block)`` over whole
+    texts, ends included; a token that only held-out rows have counts 0.
+    ``first`` marks one row of each token.  Blocks are counted where they lie;
+    only their distinct tokens are shuffled, a token's rows being one a block.
+    """
+    schema = "block long, token string, n long"
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-        end = END.encode()
+        counts: dict[int, Counter[bytes]] = {}
+        held, end = 0, END.encode()
         for batch in batches:
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, text, block in zip(*(c.to_pylist() for c in batch.columns)):
+                own = counts.setdefault(block, Counter({end: 0}))
+                held -= len(own)
+                words = words_of(text)
                 if held_out(doc_id):
-                    continue
-                counts.update(words_of(text))
-                counts[end] += 1
-                if len(counts) >= COUNT_BUFFER:
-                    yield _token_batch(counts, out)
-                    counts.clear()
-        yield _token_batch(counts, out)
+                    own.update(dict.fromkeys(words, 0))
+                else:
+                    own.update(words)
+                    own[end] += 1
+                held += len(own)
+                if held > COUNT_BUFFER:
+                    yield from _token_batches(counts, out)
+                    counts, held = {}, 0
+        yield from _token_batches(counts, out)
 
-    return map_arrow(rows, run, schema).groupBy("token").agg(F.sum("n").alias("n"))
+    tokens = map_arrow(blocked.select("doc_id", "text", "block"), run, schema)
+    own = Window.partitionBy("token")
+    return tokens.select("block", "token", F.sum("n").over(own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+                         .alias("n"), (F.row_number().over(own.orderBy("block")) == 1).alias("first"))
 
 
-def _token_batch(counts: dict[bytes, int], out: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()).cast(pa.string()),
-                                       pa.array(list(counts.values()), pa.int64())], schema=out)
+def _token_batches(counts: dict[int, dict[bytes, int]], out: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for block, own in counts.items():
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.full(len(own), block, np.int64)), pa.array(list(own), pa.binary()).cast(pa.string()),
+            pa.array(list(own.values()), pa.int64())], schema=out)
 
 
 class Vocabulary:
@@ -304,9 +321,11 @@ class Vocabulary:
         return np.fromiter(chain(map(self.ids.get, words, repeat(self.other)), (self.end,)), np.int32, len(words) + 1)
 
 
-def vocabulary(counts: DataFrame, end_hint: str = END) -> Vocabulary:
-    tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "token").limit(VOCABULARY).union(counts.where(F.col("token") == end_hint)).distinct()
+def vocabulary(counts: DataFrame) -> Vocabulary:
+    """From the rows of ``count_tokens``; at most ``VOCABULARY`` + 1 of them reach the driver."""
+    own = counts.where(F.col("first") & (F.col("n") > 0)).select("token", "n")
+    tokens, types = own.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    top = own.orderBy(F.desc("n"), "token").limit(VOCABULARY).union(own.where(F.col("token") == END)).distinct()
     return Vocabulary(sorted(((r["token"], r["n"]) for r in top.collect()), key=lambda r: (-r[1], r[0])), tokens, types)
 
 
@@ -401,32 +420,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """
     spark = docs.sparkSession
     rows = docs.select(col(id_col).alias("doc_id"), col(text_col).cast("string").alias("text"))
-    counts = materialise(count_tokens(rows), "token-counts")
-    vocab = vocabulary(counts)
-    shared = spark.sparkContext.broadcast((vocab, train(rows, vocab).pack()))
-
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + size // BLOCK_BYTES
-    parts = max(min(blocks, 100_000), 1)
-    blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("long")).repartition(parts, "block")
-    token_out = arrow_schema("block long, token string")
-
-    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, set[bytes]] = {}
-        held = 0
-        for batch in batches:
-            for _, text, block in zip(*(c.to_pylist() for c in batch.columns)):
-                own = seen.setdefault(block, {END.encode()})
-                held -= len(own)
-                own.update(words_of(text))
-                held += len(own)
-                if held > 2 * COUNT_BUFFER:  # a token handed on twice meets its count twice, which changes nothing
-                    yield from _block_tokens(seen, token_out)
-                    seen, held = {}, 0
-        yield from _block_tokens(seen, token_out)
-
-    known = map_arrow(blocked.select("doc_id", "text", "block"), distinct, "block long, token string").join(counts, "token").select(
-        "block", "token", "n")
+    blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("long")).repartition(
+        max(1, min(blocks, 100_000)), "block")
+    counts = materialise(count_tokens(blocked), "token-counts")
+    vocab = vocabulary(counts)
+    shared = spark.sparkContext.broadcast((vocab, train(rows, vocab).pack()))
     schema = (f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, "
               "train_tokens long, base_score double, score double")
     out = arrow_schema(schema)
@@ -437,10 +437,5 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         model.unpack(flat)
         return _score_block(vocab, model, docs, known, out)
 
+    known = counts.select("block", "token", "n")
     return blocked.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, schema)
-
-
-def _block_tokens(seen: dict[int, set[bytes]], out: pa.Schema) -> Iterator[pa.RecordBatch]:
-    for block, own in seen.items():
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), block, np.int64)),
-                                          pa.array(list(own), pa.binary()).cast(pa.string())], schema=out)
