@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import col, filter_rows, map_rows
 
 SEGMENT = 32
-BLOCK = 16
+BLOCK = 4
 MIN_SCORE = 0.6
 SHINGLE = 5
 MIN_OVERLAP = 0.8
@@ -136,7 +137,9 @@ class BlockMaxIndex:
         known = np.flatnonzero(ids >= 0)
         if not len(known) or not self.n_blocks:
             return []
-        terms, slot = ids[known], known // self.segment
+        # every term once a slot: a passage scores its distinct terms
+        pairs = np.unique(known // self.segment * len(self.terms) + ids[known])
+        terms, slot = pairs % len(self.terms), pairs // len(self.terms)
         size = self._from[terms + 1] - self._from[terms]
         at = np.repeat(self._from[terms] - (np.cumsum(size) - size), size) + np.arange(size.sum())
         cell = np.repeat(slot, size) * self.n_blocks + self._block[at]
@@ -200,8 +203,7 @@ class BlockMaxIndex:
                 min_overlap: float = MIN_OVERLAP) -> dict[int, tuple[float, int, float, float]]:
         """Item -> ``(score, first word of the passage, question overlap, answer overlap)`` of its best passage."""
         words = words_of(text)
-        get = self.terms.get
-        ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        ids = np.fromiter(map(self.terms.get, words, repeat(-1)), np.int64, len(words))
         found: dict[int, tuple[float, int, float, float]] = {}
         for slot in self.screen(ids, min_score):
             at = slot * self.segment
