@@ -36,7 +36,7 @@ from strata.llm.common import arrow_schema, col, map_arrow, materialise, record_
 
 #: The end token; words hold no white space, so it can't be one.
 END = "\n"
-CLASSES, CLASS_SIZE, HIDDEN = 32, 32, 8
+CLASSES, CLASS_SIZE, HIDDEN = 16, 24, 8
 VOCABULARY = CLASSES * CLASS_SIZE
 #: Back-propagation is cut after this many tokens; the state goes on.
 STEPS = 32
@@ -46,7 +46,7 @@ RATE = 0.1
 SQUARES, LIMIT = 1e-7, 30.0
 #: Documents are gathered into chunks of this many tokens at most (or one document).
 CHUNK_TOKENS = 1_500_000
-BLOCK_BYTES = 8 * 1024 * 1024
+BLOCK_BYTES = 16 * 1024 * 1024
 #: Distinct tokens a counting task holds before it hands them on.
 COUNT_BUFFER = 600_000
 ALPHA = 0.1
