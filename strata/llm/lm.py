@@ -223,11 +223,13 @@ def streams(docs: list[np.ndarray], end_id: int, width: int = STREAMS, steps: in
 
 def fit(model: GatedModel, docs: list[np.ndarray], end_id: int, squares: dict[str, np.ndarray], rate: float = RATE) -> None:
     """One pass of truncated back-propagation with Adagrad steps over whole documents."""
-    state = None
-    for tokens, fresh, goal, _, valid in streams(docs, end_id):
+    state, full = None, 1
+    width = max(8, min(STREAMS, sum(map(len, docs)) // (256 * STEPS)))  # small chunks take more, smaller steps
+    for tokens, fresh, goal, _, valid in streams(docs, end_id, width):
         active = tokens.shape[1]
-        state = np.zeros((active, HIDDEN), np.float32) if state is None else state[:active]
-        start = state
+        if state is None:
+            state, full = np.zeros((active, HIDDEN), np.float32), tokens.size
+        start = state = state[:active]
         state, trace = model.forward(tokens, fresh, start)
         at = np.flatnonzero(valid.ravel())
         hidden = trace[-1].reshape(-1, HIDDEN)[at]
@@ -236,7 +238,7 @@ def fit(model: GatedModel, docs: list[np.ndarray], end_id: int, squares: dict[st
         down[at] = part
         grads |= model.backward(tokens, fresh, trace, down.reshape(*tokens.shape, HIDDEN))
         for name, g in grads.items():
-            g /= np.float32(max(1, len(at)))
+            g /= np.float32(full)  # windows that few streams are left in count for less
             squares[name] += g * g
             getattr(model, name)[...] += np.float32(rate) * g / np.sqrt(squares[name] + np.float32(1e-8))
 

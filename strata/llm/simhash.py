@@ -75,15 +75,15 @@ def group_bits(bits: np.ndarray, m: int) -> list[list[int]]:
     x = bits.astype(np.float64) - bits.mean(axis=0)
     norm = np.sqrt((x * x).sum(axis=0))
     corr = np.abs(x.T @ x) / np.maximum(np.outer(norm, norm), 1e-9)
-    left, groups = set(range(bits.shape[1])), []
-    sizes = [len(part) for part in np.array_split(np.arange(bits.shape[1]), m)]
-    for size in sizes:
-        group = [min(left, key=lambda b: (abs(bits[:, b].mean() - 0.5) * -1, b))]
-        left.discard(group[0])
-        while len(group) < size:
-            best = max(left, key=lambda b: (corr[b, group].sum(), -b))
-            group.append(best)
-            left.discard(best)
+    np.fill_diagonal(corr, -1.0)
+    left, groups = list(range(bits.shape[1])), []
+    for part in np.array_split(np.arange(bits.shape[1]), m):
+        # start from the most correlated bits left, then follow the strongest link into the group
+        group = [max(left, key=lambda b: (corr[b, left].max(), -b))]
+        left.remove(group[0])
+        while len(group) < len(part):
+            group.append(max(left, key=lambda b: (corr[b, group].max(), -b)))
+            left.remove(group[-1])
         groups.append(sorted(group))
     return groups
 
