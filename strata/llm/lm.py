@@ -404,8 +404,8 @@ def _score_block(vocab: Vocabulary, model: GatedModel, docs: pa.Table, known: pa
             encoded.append(own)
             size, hi = size + len(own), hi + 1
         scores = log10_scores(model, encoded, vocab.end)
-        for k, (n, seen, log10) in enumerate(base):
-            row = (ids[lo + k], held_out(ids[lo + k]), n, seen, vocab.tokens, log10, float(scores[k] + extra[k]))
+        for k, (n, known_tokens, log10) in enumerate(base):
+            row = (ids[lo + k], held_out(ids[lo + k]), n, known_tokens, vocab.tokens, log10, float(scores[k] + extra[k]))
             for column, value in zip(columns, row):
                 column.append(value)
         lo = hi

@@ -116,3 +116,22 @@ def test_training_helps_on_held_out_documents(spark):
     known = [r for r in got if r["n_tokens"] >= 200]
     gain = sum(r["score"] - r["base_score"] for r in known) / sum(r["n_tokens"] for r in known)
     assert gain > 0
+
+
+def test_a_block_scored_in_chunks_gives_the_same_rows(monkeypatch):
+    import pyarrow as pa
+
+    from strata.llm.common import arrow_schema
+
+    counts = [("a", 5), ("b", 3), ("c", 1), (lm.END, 4)]
+    vocab = lm.Vocabulary(counts, 13, 4)
+    docs = pa.table({"doc_id": [1, 2, 3, 4], "text": ["a b a", None, "c zz a", "b " * 50]})
+    known = pa.table({"token": [w for w, _ in counts], "n": [n for _, n in counts]})
+    out = arrow_schema("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    model = lm.GatedModel(vocab.frequencies)
+    whole = lm._score_block(vocab, model, docs, known, out)
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", 3)
+    parts = lm._score_block(vocab, model, docs, known, out)
+    assert whole.drop(["score"]).equals(parts.drop(["score"]))
+    assert np.allclose(whole["score"].to_numpy(), parts["score"].to_numpy())
+    assert whole["n_known"].to_pylist() == [4, 1, 3, 51]
