@@ -262,6 +262,8 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
         return one
 
     bundles = index.groupBy("bundle").agg(F.count("*").alias("n"))
+    # a bundle is a unit of work however short its row is: as many tasks as bundles, not as few as their rows' bytes need
+    bundles = bundles.repartition(max(1, min(bundles.count(), 100_000)))
     return map_rows(bundles, make, f"page_id {id_type}, payload_bytes long, payload_digest string, record_type string, "
                                    f"refers_to {id_type}, url string")
 

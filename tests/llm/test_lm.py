@@ -118,7 +118,7 @@ def test_training_helps_on_held_out_documents(spark):
     assert gain > 0
 
 
-def test_a_block_scored_in_chunks_gives_the_same_rows(monkeypatch):
+def test_a_block_scored_in_chunks_gives_the_same_rows(spark, monkeypatch):
     import pyarrow as pa
 
     from strata.llm.common import arrow_schema
