@@ -18,11 +18,11 @@ from strata.functions.cleaning import (
     null_if_future,
 )
 from strata.operators.dedup import dedup_latest, keep_last_loaded
-from strata.operators.joins import broadcast_if_small, orphans
+from strata.operators.joins import orphans
 from strata.operators.ordered import dense_surrogate_key, lead_within_key, scd2_end_date
 
 __all__ = [
-    "broadcast_if_small", "dedup_latest", "dense_surrogate_key", "keep_last_loaded", "lead_within_key",
+    "dedup_latest", "dense_surrogate_key", "keep_last_loaded", "lead_within_key",
     "map_codes", "null_if_future", "orphans", "prefer", "repair_price", "repair_sales", "scd2_end_date",
     "split_product_key", "standardise_country", "strip_chars", "strip_prefix",
 ]

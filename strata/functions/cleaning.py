@@ -59,12 +59,13 @@ def repair_sales(sales: Column | str, qty: Column | str, price: Column | str) ->
 
     A NULL price makes the inequality NULL, so such a row keeps a positive
     stored value and otherwise gets NULL (three-valued logic as in SQL).
-    Computed in DECIMAL so large quantities cannot overflow an INT.
+    Computed in DECIMAL so large quantities cannot overflow an INT; an amount
+    that DECIMAL(10,2) cannot hold becomes NULL, it does not stop the load.
     """
     s, q, p = _col(sales), _col(qty), _col(price)
     expected = q.cast("decimal(12,0)") * F.abs(p.cast("decimal(12,0)"))
     bad = (s.cast("decimal(12,0)") != expected) | (s <= 0) | s.isNull()
-    return F.when(bad, expected).otherwise(s).cast("decimal(10,2)")
+    return F.when(bad, expected).otherwise(s).try_cast("decimal(10,2)")
 
 
 def repair_price(sales: Column | str, qty: Column | str, price: Column | str) -> Column:
@@ -76,7 +77,7 @@ def repair_price(sales: Column | str, qty: Column | str, price: Column | str) ->
     """
     s, q, p = _col(sales), _col(qty), _col(price)
     derived = s.cast("decimal(12,0)") / F.nullif(q, F.lit(0)).cast("decimal(12,0)")
-    return F.when((p <= 0) | p.isNull(), derived).otherwise(p).cast("decimal(10,2)")
+    return F.when((p <= 0) | p.isNull(), derived).otherwise(p).try_cast("decimal(10,2)")
 
 
 def standardise_country(c: Column | str, aliases: Mapping[str, str] = COUNTRY_ALIASES,

@@ -1,37 +1,10 @@
-"""Join helpers: size-checked broadcast and orphan detection.
-
-A side is offered for broadcast only after a bounded check of its row count
-(at most ``max_rows + 1`` rows are ever written for the check) and then only
-under the byte threshold, judged by the planner on the written files' size;
-otherwise the join is sort-merge, with AQE splitting skewed partitions.
-"""
+"""Join helper: orphan detection."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from strata.operators.ordered import materialise
-
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """A copy of a small ``df`` that the planner can broadcast on its known size, else ``df``.
-
-    At most ``max_rows + 1`` rows are written to the shared checkpoint folder.
-    If that is all of them, the written copy is returned: the small side is
-    computed once, and the planner, now knowing its exact file size, broadcasts
-    it when it is under ``spark.sql.autoBroadcastJoinThreshold`` and joins by
-    sort-merge otherwise (a row count alone does not bound bytes, so no hint
-    overrides that check).  Otherwise ``df`` is returned unchanged.
-    """
-    head = materialise(df.limit(max_rows + 1), "small-side")
-    if head.count() <= max_rows:
-        return head
-    return df
 
 
 def orphans(child: DataFrame, parent: DataFrame, on: Sequence[tuple[str, str]] | Column) -> DataFrame:

@@ -2,27 +2,24 @@
 
 ``ROW_NUMBER() OVER (ORDER BY k)`` without PARTITION BY is planned by Spark as
 an ``Exchange SinglePartition``: every row of the table goes through one task.
+``dense_surrogate_key`` works on *range buckets* instead: the table is
+range-partitioned on the full sort order (plus a unique tie-breaker, so a hot
+leading value is still split), every row records its bucket and its position in
+it, and the table is written to the shared checkpoint folder so bucket ids are
+stable for the later passes and survive executor loss.  The count per bucket
+(one number each) gives the offsets, which are broadcast; key = position +
+offset, a narrow projection.
+
 ``LEAD(x) OVER (PARTITION BY k ORDER BY x)`` hashes each key to one task, so a
-key holding a third of the rows becomes a straggler.  Both are rebuilt here on
-*range buckets*: the table is range-partitioned on the full sort order (plus a
-unique tie-breaker, so a hot leading value is still split), every row records
-its bucket, and the table is written to the shared checkpoint folder so bucket
-ids are stable for the later passes and survive executor loss.
-
-* ``dense_surrogate_key``: every bucket is sorted before it is written and
-  each row keeps its position in the bucket; the count per bucket (one number
-  per bucket, bounded by the bucket count) gives each bucket's offset, which is
-  broadcast; key = position + offset, a narrow projection.
-* ``lead_within_key``: ``lead`` inside each (bucket, key) slice; only a key
-  that crosses a bucket boundary (at most one per boundary) needs the first
-  value of the next bucket, taken from a per-bucket aggregate.
+key holding a third of the rows becomes a straggler.  ``lead_within_key`` cuts
+every key into slices of the order column and needs no write.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +27,7 @@ from strata.session import scratch_path
 
 BUCKET = "_bucket"
 LOCAL = "_local"
-SLICES_PER_TASK = 4
+SLICE = "_slice"
 _LOW_33_BITS = (1 << 33) - 1
 
 
@@ -86,56 +83,49 @@ def dense_surrogate_key(df: DataFrame, order_by: Sequence[str], name: str,
     return numbered.select(name, *df.columns)
 
 
+def _slice_of(df: DataFrame, order_col: str, unit: str | float) -> Column:
+    """Ascending slices of ``order_col``: a calendar unit of dates and times, a width of numbers."""
+    kind = {f.name: f.dataType for f in df.schema.fields}[order_col]
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.date_trunc(unit if isinstance(unit, str) else "month", F.col(order_col))
+    if isinstance(kind, T.NumericType) and not isinstance(unit, str):
+        return F.floor(F.col(order_col) / F.lit(unit))
+    return F.lit(0)
+
+
 def lead_within_key(df: DataFrame, key: str, order_col: str, out: str,
-                    tie_breaker: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
+                    tie_breaker: Sequence[str] = (), unit: str | float = "month") -> DataFrame:
     """``LEAD(order_col) OVER (PARTITION BY key ORDER BY order_col, tie_breaker)`` as ``out``.
 
-    NULL keys form one partition, as in SQL.  Hot keys span several buckets
-    and are processed by several tasks.  Buckets are contiguous ranges of
-    (key, order_col, tie_breaker), so at most one key crosses each bucket
-    boundary: for that key, the value after the last row of bucket ``b`` is the
-    first value of the next non-empty bucket.  Those values (at most one per
-    bucket, from a per-bucket aggregate) are appended to their slices as marker
-    rows that sort after every real row, so one ``lead`` over (bucket, key)
-    slices answers every row and the large side is shuffled exactly once.
+    NULL keys form one partition, as in SQL.  A key's rows are cut into slices
+    by a calendar ``unit`` of the order column (or a width, for numbers) and
+    processed slice by slice, so a hot key is spread over as many tasks as it
+    has slices; rows of one key and one order value stay together.  The first
+    value of every (key, slice) comes from a partial aggregate; the next
+    slice's first value joins the slice as a marker row that sorts last.  Lazy:
+    nothing is written or sampled, the rows cross one exchange, and a plan that
+    does not read ``out`` contains none of this.
     """
     tb = [c for c in dict.fromkeys(tie_breaker) if c not in (key, order_col)]
-    # with an explicit task count, slices several times finer than the tasks so whole
-    # slices pack evenly; otherwise AQE sizes both steps (it only merges adjacent
-    # ranges, and a hot key's ranges are each large, so they stay separate slices)
-    b = range_buckets(df, [key, order_col, *tb], SLICES_PER_TASK * n_buckets if n_buckets else None)
-    # first and last row of every bucket (struct order = the sort order, NULLs first):
-    # one row per bucket, so this is bounded by the bucket count
-    row = F.struct(F.col(key).alias("k"), F.col(order_col).alias("v"), *[F.col(c) for c in tb])
-    ends = sorted(b.groupBy(BUCKET).agg(F.min(row).alias("first"), F.max(row).alias("last")).collect(),
-                  key=lambda r: r[BUCKET])
-    markers = [(prev[BUCKET], prev["last"]["k"], nxt["first"]["v"])
-               for prev, nxt in zip(ends, ends[1:]) if prev["last"]["k"] == nxt["first"]["k"]]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    marker_schema = T.StructType([T.StructField(BUCKET, T.IntegerType()), T.StructField(key, types[key]),
-                                  T.StructField(order_col, types[order_col])])
-    marker_rows = df.sparkSession.createDataFrame(markers, marker_schema).withColumn("_marker", F.lit(True))
-    rows = b.select(*df.columns, BUCKET, F.lit(False).alias("_marker"))
-    both = rows.unionByName(marker_rows, allowMissingColumns=True)
-    # range-partition the slices: adjacent slices of a hot key land in different
-    # tasks (hashing them could stack several in one); this partitioning already
-    # satisfies the window's clustering on (bucket, key), so no other exchange
-    slices = [F.col(BUCKET).asc(), F.col(key).asc_nulls_first()]
-    both = both.repartitionByRange(n_buckets, *slices) if n_buckets else both.repartitionByRange(*slices)
-    slice_order = [F.col("_marker").asc(), F.col(order_col).asc_nulls_first()] + \
-        [F.col(c).asc_nulls_first() for c in tb]
+    sliced = df.withColumn(SLICE, _slice_of(df, order_col, unit))
+    first = sliced.groupBy(key, SLICE).agg(F.min(order_col).alias("_first"))
+    following = F.lead(F.struct(F.col("_first").alias("v"))).over(
+        Window.partitionBy(key).orderBy(F.col(SLICE).asc_nulls_first()))
+    markers = first.select(key, SLICE, following.alias("_after")).where(F.col("_after").isNotNull()).select(
+        key, SLICE, F.col("_after.v").alias(order_col), F.lit(True).alias("_marker"))
+    both = sliced.withColumn("_marker", F.lit(False)).unionByName(markers, allowMissingColumns=True)
+    order = [F.col("_marker").asc(), F.col(order_col).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in tb]]
     # lead of a struct is NULL only past the slice's end, even when the next value is NULL
-    nxt = F.lead(F.struct(F.col(order_col).alias("v"))).over(Window.partitionBy(BUCKET, key).orderBy(*slice_order))
-    return both.withColumn("_next", nxt).where(~F.col("_marker")) \
-        .select(*df.columns, F.col("_next.v").alias(out))
+    nxt = F.lead(F.struct(F.col(order_col).alias("v"))).over(Window.partitionBy(key, SLICE).orderBy(*order))
+    return both.withColumn("_next", nxt).where(~F.col("_marker")).select(*df.columns, F.col("_next.v").alias(out))
 
 
 def scd2_end_date(df: DataFrame, key: str, start: str, out: str = "end_date",
-                  tie_breaker: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
+                  tie_breaker: Sequence[str] = (), unit: str = "month") -> DataFrame:
     """Type-2 history: ``out`` = next version's ``start`` of the same ``key`` minus one day (DATE).
 
     The open (latest) version gets NULL.  Ties on ``start`` are ordered by
     ``tie_breaker``.
     """
-    nxt = lead_within_key(df, key, start, "_next_start", tie_breaker, n_buckets)
+    nxt = lead_within_key(df, key, start, "_next_start", tie_breaker, unit)
     return nxt.withColumn(out, F.date_sub(F.col("_next_start").cast("date"), 1)).drop("_next_start")

@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.cleaning import NA, prefer
-from strata.operators.joins import broadcast_if_small
 from strata.operators.ordered import dense_surrogate_key
 
 # Gold column names and order (``cateegory_id`` spelt as in the source model).
@@ -63,7 +62,7 @@ def dim_customers(cust: DataFrame, az12: DataFrame, loc: DataFrame, unknown: str
 
 def dim_products_unkeyed(prd: DataFrame, cat: DataFrame, current_only: bool = False) -> DataFrame:
     pn = prd.where(F.col("prd_end_dt").isNull()) if current_only else prd
-    pn, pc = pn.alias("pn"), broadcast_if_small(cat).alias("pc")
+    pn, pc = pn.alias("pn"), cat.alias("pc")  # AQE broadcasts the category side when its measured size allows
     j = pn.join(pc, F.col("pn.cat_id") == F.col("pc.id"), "left")
     return j.select(
         F.col("pn.prd_id").alias("product_id"),

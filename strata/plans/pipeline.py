@@ -16,6 +16,8 @@ import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -208,13 +210,21 @@ class WarehouseLayers(Layers):
 
 
 def audit_report(spark: SparkSession, warehouse_dir: str, as_of: str | None = None) -> DataFrame:
-    """(audit, offending_rows) for every audit that the written tables support."""
+    """``(audit, kind, offending_rows)`` for every audit that the written tables support.
+
+    ``kind`` is ``rows`` (the audit lists offending rows or groups, which are
+    counted), ``count`` (the audit's own count is taken) or ``info`` (distinct
+    values and distributions, where nothing is offending: NULL).
+    """
     layers = WarehouseLayers(spark, warehouse_dir, as_of)
-    rows = []
+    parts = []
     for name in quality.AUDITS:
+        kind = "count" if name in quality.COUNT_AUDITS else "info" if name in quality.INFO_AUDITS else "rows"
         try:
-            offending = getattr(quality, name)(layers)
+            found = getattr(quality, name)(layers) if kind != "info" else None
         except KeyError:
             continue
-        rows.append((name, offending.count()))
-    return spark.createDataFrame(rows, "audit string, offending_rows bigint")
+        n = F.count(F.lit(1)) if kind == "rows" else F.sum(quality.AFFECTED_ROWS)
+        rows = spark.range(1).select(F.lit(None).cast("bigint").alias("n")) if found is None else found.agg(n.cast("bigint").alias("n"))
+        parts.append(rows.select(F.lit(name).alias("audit"), F.lit(kind).alias("kind"), F.col("n").alias("offending_rows")))
+    return reduce(DataFrame.unionByName, parts)

@@ -46,10 +46,10 @@ SOURCES: dict[str, tuple[str, list[str]]] = {
 
 # Bronze column types (columns not listed are strings).
 BRONZE_TYPES: dict[str, dict[str, str]] = {
-    "crm_cust_info": {"cst_id": "int", "cst_create_date": "date"},
-    "crm_prd_info": {"prd_id": "int", "prd_cost": "int", "prd_start_dt": "timestamp_ntz",
+    "crm_cust_info": {"cst_id": "bigint", "cst_create_date": "date"},
+    "crm_prd_info": {"prd_id": "bigint", "prd_cost": "int", "prd_start_dt": "timestamp_ntz",
                      "prd_end_dt": "timestamp_ntz"},
-    "crm_sales_details": {"sls_cust_id": "int", "sls_order_dt": "int_date", "sls_ship_dt": "int_date",
+    "crm_sales_details": {"sls_cust_id": "bigint", "sls_order_dt": "int_date", "sls_ship_dt": "int_date",
                           "sls_due_dt": "int_date",
                           "sls_sales": "int", "sls_quantity": "int", "sls_price": "int"},
     "erp_loc_a101": {},
@@ -60,7 +60,7 @@ BRONZE_TYPES: dict[str, dict[str, str]] = {
 
 def bronze_schema(name: str) -> T.StructType:
     types = BRONZE_TYPES[name]
-    mapping = {"int": T.IntegerType(), "int_date": T.IntegerType(), "date": T.DateType(),
+    mapping = {"int": T.IntegerType(), "bigint": T.LongType(), "int_date": T.IntegerType(), "date": T.DateType(),
                "timestamp_ntz": T.TimestampNTZType(), "dmy_date": T.DateType()}
     return T.StructType([T.StructField(c, mapping.get(types.get(c, ""), T.StringType()), True)
                          for c in SOURCES[name][1]])
@@ -85,8 +85,8 @@ def read_source_csv(spark: SparkSession, path: str, columns: list[str]) -> DataF
 
 def _convert(c: str, kind: str) -> Column:
     v = F.col(c)
-    if kind == "int":
-        return empty_to_null(v).try_cast("int")
+    if kind in ("int", "bigint"):
+        return empty_to_null(v).try_cast(kind)
     if kind == "int_date":
         # yyyymmdd as delivered; an ISO yyyy-MM-dd date is accepted and stored the same way
         return F.coalesce(empty_to_null(v).try_cast("int"), iso_date_to_yyyymmdd(v))

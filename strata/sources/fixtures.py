@@ -28,7 +28,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _pad(c: Column) -> Column:
-    return F.lpad(c.cast("string"), 8, "0")
+    """At least eight digits; longer keys stay whole."""
+    text = c.cast("string")
+    return F.lpad(text, F.greatest(F.lit(8), F.length(text)), F.lit("0"))
 
 
 def _ymd(c: Column) -> Column:
@@ -51,7 +53,7 @@ def crm_cust_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = (k % 10 == 3) & (k % 97 != 0)
     c = c.withColumn("v", F.explode(F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     return c.select(
-        F.when(k % 97 == 0, F.lit(None)).otherwise(F.lit(11000) + k).cast("int").alias("cst_id"),
+        F.when(k % 97 == 0, F.lit(None)).otherwise(F.lit(11000) + k).cast("bigint").alias("cst_id"),
         F.concat(F.lit("AW"), _pad(k)).alias("cst_key"),
         F.when(k % 5 == 0, F.concat(F.lit("  "), F.col("c_mktsegment"), F.lit(" ")))
         .otherwise(F.col("c_mktsegment")).alias("cst_firstname"),
@@ -71,7 +73,7 @@ def crm_prd_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.col("v")
     start = F.date_add(F.lit("1993-01-01").cast("date"), (k % 300 + v * 1000).cast("int"))
     return p.select(
-        F.when(k % 101 == 100, k * 10).otherwise(k * 10 + v).cast("int").alias("prd_id"),
+        F.when(k % 101 == 100, k * 10).otherwise(k * 10 + v).cast("bigint").alias("prd_id"),
         F.concat(_pick(k % 3, ["CO-RF", "BI-MB", "AC-HE"]), F.lit("-P"), _pad(k)).alias("prd_key"),
         F.col("p_name").alias("prd_nm"),
         F.when(k % 13 == 0, F.lit(None)).otherwise(F.floor("p_retailprice") + v).cast("int").alias("prd_cost"),
@@ -93,7 +95,7 @@ def crm_sales_details(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("SO"), ok.cast("string"), F.lit("-"), ln.cast("string")).alias("sls_ord_num"),
         F.concat(F.when(F.col("l_partkey") % 50 == 49, F.lit("ZZ")).otherwise(F.lit("P")),
                  _pad(F.col("l_partkey"))).alias("sls_prd_key"),
-        (F.lit(11000) + F.col("o_custkey")).cast("int").alias("sls_cust_id"),
+        (F.lit(11000) + F.col("o_custkey")).cast("bigint").alias("sls_cust_id"),
         F.when(ok % 61 == 0, F.lit(0)).otherwise(_ymd(F.col("o_orderdate"))).cast("int").alias("sls_order_dt"),
         _ymd(F.col("l_shipdate")).alias("sls_ship_dt"),
         F.when(ok % 67 == 0, F.lit(5489)).otherwise(_ymd(F.col("l_shipdate"))).cast("int").alias("sls_due_dt"),
@@ -130,13 +132,14 @@ def erp_loc_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def erp_cust_az12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the ERP system lacks every ninth customer: CRM customers without demographics
-    c = read_table(spark, sf_dir, "customer").select("c_custkey").where(F.col("c_custkey") % 9 != 8)
+    # every ninth customer is known to the ERP system by an id that no CRM key matches
+    c = read_table(spark, sf_dir, "customer").select("c_custkey")
     k = F.col("c_custkey")
     days = F.when(k % 40 == 0, F.lit(54000)).otherwise((k * 13) % 18000).cast("int")
     return c.select(
-        F.concat(F.when(k % 2 == 0, F.lit("NAS")).otherwise(F.lit("")), F.lit("AW"), _pad(k)).alias("cid"),
-        F.date_add(F.lit("1950-01-01").cast("date"), days).alias("bdate"),
+        F.concat(F.when(k % 2 == 0, F.lit("NAS")).otherwise(F.lit("")),
+                 F.when(k % 9 == 8, F.lit("XW")).otherwise(F.lit("AW")), _pad(k)).alias("cid"),
+        F.when(k % 23 != 5, F.date_add(F.lit("1950-01-01").cast("date"), days)).alias("bdate"),
         _pick(k % 6, ["F", " m", "Male", "M", "", None]).alias("gen"),
     )
 

@@ -42,8 +42,7 @@ def main(sf_dir: str) -> dict[str, tuple[float, int, int]]:
         "dedup_latest (aggregate, partial)": lambda: dedup_latest(hot, ["k"], ["d"], tie_breaker=["id"]),
         "  plain: row_number()=1 per key": lambda: hot.withColumn("rn", F.row_number().over(
             Window.partitionBy("k").orderBy(F.desc("d"), F.desc("id")))).where("rn = 1"),
-        "lead_within_key (range buckets)": lambda: lead_within_key(hot, "k", "d", "nxt", tie_breaker=["id"],
-                                                                   n_buckets=16),
+        "lead_within_key (slices)": lambda: lead_within_key(hot, "k", "d", "nxt", tie_breaker=["id"]),
         "  plain: lead() over partition by key": lambda: hot.withColumn("nxt", F.lead("d").over(
             Window.partitionBy("k").orderBy("d", "id"))),
         "dense_surrogate_key (range buckets)": lambda: dense_surrogate_key(hot, ["k", "d"], "sk",

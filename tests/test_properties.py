@@ -31,10 +31,10 @@ def test_dense_key_property(spark, rows, n):
 
 
 @SETTINGS
-@given(rows=tables, n=st.integers(1, 5))
-def test_lead_property(spark, rows, n):
+@given(rows=tables, unit=st.sampled_from(["month", "year", "day"]))
+def test_lead_property(spark, rows, unit):
     df = _df(spark, rows)
-    got = lead_within_key(df, "k", "d", "nxt", tie_breaker=["id"], n_buckets=n)
+    got = lead_within_key(df, "k", "d", "nxt", tie_breaker=["id"], unit=unit)
     ref = df.withColumn("nxt", F.lead("d").over(Window.partitionBy("k").orderBy(F.col("d").asc_nulls_first(), "id")))
     assert sorted(map(str, got.collect())) == sorted(map(str, ref.select(*got.columns).collect()))
 
