@@ -55,12 +55,13 @@ def _load_all(spark: SparkSession, layer: str, builds: dict[str, Callable[[], Da
         secs = _write(builds[name](), path)
         row = (f"{layer}.{name}", spark.read.parquet(path).count(), round(secs, 3))
         if observed is not None:
-            row += (observed[name].get["failed_values"] or 0,)
+            got = observed[name].get
+            row += (got["failed_values"] or 0, got["malformed_rows"] or 0)
         return row
 
     schema = "table_name string, rows_loaded bigint, seconds double"
     if observed is not None:
-        schema += ", failed_values bigint"
+        schema += ", failed_values bigint, malformed_rows bigint"
     if not parallel:
         return spark.createDataFrame([one(n) for n in builds], schema)
     with ThreadPoolExecutor(max_workers=len(builds)) as pool:
@@ -71,7 +72,8 @@ def load_bronze(spark: SparkSession, source_dir: str, warehouse_dir: str, parall
     """Truncate-and-load every bronze table from its CSV extract (the six loads are independent).
 
     The report's ``failed_values`` counts the non-empty values that did not
-    convert to their column type, observed during the load itself (one pass).
+    convert to their column type, ``malformed_rows`` the rows with too few or too
+    many fields; both are observed during the load itself (one pass).
     """
     observed: dict[str, Observation] = {}
 

@@ -1,7 +1,8 @@
 """CSV extracts -> typed bronze tables (the bronze load).
 
-Source files are comma separated, fields optionally enclosed in ``"``, CRLF or
-LF line ends, one header row that is skipped; columns are bound by position.
+Source files are comma separated, fields optionally enclosed in ``"`` (quotes
+inside are doubled), rows end in CRLF (``line_sep`` for files with another line
+end), one header row is skipped; columns are bound by position.
 Field semantics follow a MySQL ``LOAD DATA`` load:
 
 * an empty field is the empty string ``''``; ``\\N`` is NULL;
@@ -11,9 +12,9 @@ Field semantics follow a MySQL ``LOAD DATA`` load:
   value is accepted and stored as the same integer;
 * a value that does not convert to its column type becomes NULL; the
   conversions that failed are counted per column by ``conversion_failures``;
-* fields missing from a short row are read like empty fields (Spark's CSV
-  reader does not tell the two apart), so a missing text field is ``''``
-  where MySQL would store the column default (NULL).
+* fields that a short row lacks are NULL and surplus fields are dropped; both
+  kinds of rows are counted (``malformed_rows``).  A CRLF inside quotes still
+  ends the row; both halves are then counted as malformed.
 
 Reading is split by file blocks (``spark.sql.files.maxPartitionBytes``) and
 is a single narrow stage per table: no shuffle.
@@ -28,6 +29,11 @@ from pyspark.sql import types as T
 from strata.functions.cleaning import empty_to_null, iso_date_to_yyyymmdd, parse_dmy
 
 NULL_TOKEN = "\\N"
+CRLF = "\r\n"
+MALFORMED = "_malformed"
+# Escape sequences of LOAD DATA (a code that is not listed stands for itself).
+ESCAPES = [("n", "\n"), ("t", "\t"), ("r", "\r"), ("0", "\0"), ("b", "\b"), ("Z", "\x1a")]
+_BACKSLASH = "\ue000"  # stands for a decoded backslash meanwhile
 
 # Delivered file per bronze table and its positional column list.
 SOURCES: dict[str, tuple[str, list[str]]] = {
@@ -66,21 +72,40 @@ def bronze_schema(name: str) -> T.StructType:
                          for c in SOURCES[name][1]])
 
 
-def read_source_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Raw fields as strings with LOAD DATA semantics (empty -> '', ``\\N`` -> NULL)."""
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
+def _unescape(value: Column) -> Column:
+    """Backslash sequences as LOAD DATA decodes them (``\\n`` is a line feed, ``\\x`` any other ``x``)."""
+    v = F.replace(value, F.lit("\\\\"), F.lit(_BACKSLASH))
+    for code, char in ESCAPES:
+        v = F.replace(v, F.lit("\\" + code), F.lit(char))
+    v = F.replace(F.regexp_replace(v, r"\\(.)", "$1"), F.lit(_BACKSLASH), F.lit("\\"))
+    return F.when(F.contains(value, F.lit("\\")), v).otherwise(value)
+
+
+def read_source_csv(spark: SparkSession, path: str, columns: list[str], line_sep: str = CRLF) -> DataFrame:
+    """Raw fields as strings with LOAD DATA semantics, plus ``MALFORMED``.
+
+    Empty -> ``''``, ``\\N`` -> NULL, fields that a short row lacks -> NULL.
+    ``MALFORMED`` holds the source text of rows with too few or too many fields
+    (surplus fields are dropped), else NULL.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*columns, MALFORMED]])
     raw = (spark.read.schema(schema)
            .option("header", True)          # skip one row; columns bound by position
            .option("enforceSchema", True)
+           .option("lineSep", line_sep)     # a line feed inside quotes does not end a row of a CRLF file
            .option("quote", '"')
-           .option("escape", "\\")
-           .option("mode", "PERMISSIVE")    # short rows padded with NULL
+           .option("escape", '"')           # doubled quotes; backslashes are decoded below
+           .option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", MALFORMED)
+           .option("columnPruning", False)  # whole rows are parsed, else short and long ones go unseen
            .option("ignoreLeadingWhiteSpace", False)
            .option("ignoreTrailingWhiteSpace", False)
            .csv(path))
-    # Spark reads an unquoted empty field as NULL and keeps "\N" as text
-    return raw.select(*[F.when(F.col(c).isNull(), F.lit("")).when(F.col(c) == NULL_TOKEN, F.lit(None))
-                        .otherwise(F.col(c)).alias(c) for c in columns])
+    # Spark reads an unquoted empty field as NULL, like a field the row does not have
+    present = F.size(F.split(F.regexp_replace(MALFORMED, '"([^"]|"")*"', ""), ","))
+    return raw.select(*[
+        F.when(F.col(c).isNull() & (F.col(MALFORMED).isNull() | (present > i)), F.lit(""))
+        .when(F.col(c) != NULL_TOKEN, _unescape(F.col(c))).alias(c) for i, c in enumerate(columns)], MALFORMED)
 
 
 def _convert(c: str, kind: str) -> Column:
@@ -118,24 +143,26 @@ def conversion_failures(name: str, raw: DataFrame) -> DataFrame:
         for c in types])).alias("r")).select("r.*")
 
 
-def read_bronze_observed(spark: SparkSession, source_dir: str, name: str) -> tuple[DataFrame, Observation]:
+def read_bronze_observed(spark: SparkSession, source_dir: str, name: str, line_sep: str = CRLF) -> tuple[DataFrame, Observation]:
     """Typed bronze table plus an ``Observation`` that counts, during the same pass
-    (the write), the non-empty values that did not convert (``failed_values``)."""
+    (the write), the non-empty values that did not convert (``failed_values``) and the
+    rows with too few or too many fields (``malformed_rows``)."""
     rel, cols = SOURCES[name]
-    raw = read_source_csv(spark, f"{source_dir.rstrip('/')}/{rel}", cols)
+    raw = read_source_csv(spark, f"{source_dir.rstrip('/')}/{rel}", cols, line_sep)
     types = BRONZE_TYPES[name]
     typed = [_convert(c, types.get(c, "string")).alias(f"_t_{c}") for c in cols]
-    both = raw.select(*cols, *typed)
+    both = raw.select(*cols, MALFORMED, *typed)
     failed = [(F.col(c).isNotNull() & (F.col(c) != "") & F.col(f"_t_{c}").isNull()).cast("int") for c in types]
     total = sum(failed[1:], failed[0]) if failed else F.lit(0)
     obs = Observation(f"ingest_{name}")
-    observed = both.observe(obs, F.sum(total).cast("bigint").alias("failed_values"))
+    observed = both.observe(obs, F.sum(total).cast("bigint").alias("failed_values"),
+                            F.count(MALFORMED).alias("malformed_rows"))
     return observed.select(*[F.col(f"_t_{c}").alias(c) for c in cols]), obs
 
 
-def read_bronze(spark: SparkSession, source_dir: str, name: str) -> DataFrame:
+def read_bronze(spark: SparkSession, source_dir: str, name: str, line_sep: str = CRLF) -> DataFrame:
     rel, cols = SOURCES[name]
-    return to_bronze(name, read_source_csv(spark, f"{source_dir.rstrip('/')}/{rel}", cols))
+    return to_bronze(name, read_source_csv(spark, f"{source_dir.rstrip('/')}/{rel}", cols, line_sep))
 
 
 # ---------------------------------------------------------------- extract writer
@@ -146,7 +173,8 @@ def _as_text(c: str, dtype: T.DataType, dmy: bool) -> Column:
         return F.coalesce(text, F.lit(""))            # missing dates are delivered empty
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
         return F.coalesce(F.date_format(v, "yyyy-MM-dd HH:mm:ss"), F.lit(""))
-    return v.cast("string")                           # NULL is written as \N
+    # NULL is written as \N, so backslashes of the text are doubled
+    return F.replace(v.cast("string"), F.lit("\\"), F.lit("\\\\"))
 
 
 def write_source_csv(df: DataFrame, source_dir: str, name: str) -> str:
@@ -157,7 +185,7 @@ def write_source_csv(df: DataFrame, source_dir: str, name: str) -> str:
     text = df.select(*[_as_text(c, types[c], dmy.get(c) == "dmy_date").alias(c) for c in cols])
     path = f"{source_dir.rstrip('/')}/{rel}"
     (text.write.mode("overwrite").option("header", True).option("nullValue", NULL_TOKEN)
-     .option("quote", '"').option("escape", "\\")
+     .option("quote", '"').option("escape", '"').option("lineSep", CRLF)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)  # keep padding as delivered
      .csv(path))
     return path

@@ -28,7 +28,7 @@ def test_crlf_quotes_short_rows_and_nulls(spark, tmp_folder):
         (11000, "AW00011000", " Jon, Jr ", "Yang", "M", "M", dt.date(2025, 10, 6)),
         (11001, "AW00011001", "Eugene", "Huang", "S", "", None),          # empty text stays '', empty date NULL
         (None, "AW00011002", "Ruben", "Torres", "M", None, dt.date(2025, 10, 6)),  # \N is NULL
-        (None, "AW00011003", "Short", "", "", "", None),                   # short row: missing = empty field
+        (None, "AW00011003", "Short", None, None, None, None),             # short row: missing = NULL
     ]
     raw = csv_ingest.read_source_csv(spark, tmp_folder + "/source_crm/cust_info.csv",
                                      csv_ingest.SOURCES["crm_cust_info"][1])
@@ -37,11 +37,31 @@ def test_crlf_quotes_short_rows_and_nulls(spark, tmp_folder):
     observed, obs = csv_ingest.read_bronze_observed(spark, tmp_folder, "crm_cust_info")
     assert sorted(map(str, observed.collect())) == sorted(map(str, df.collect()))
     assert obs.get["failed_values"] == 1                      # counted in the same pass
+    assert obs.get["malformed_rows"] == 1
+
+
+def test_quotes_line_feeds_escapes_and_ragged_rows(spark, tmp_folder):
+    _write(tmp_folder, "source_erp/PX_CAT_G1V2.csv",
+           'ID,CAT,SUBCAT,MAINTENANCE\r\n'
+           'A,"q""x, y","a ""b"" c",Yes\r\n'
+           'B,"line\nfeed",back\\\\slash\\tTab,\\N\r\n'
+           'C,long,x,,surplus\r\n'
+           'D,"sh,ort"\r\n'
+           'E,,"",No\r\n')
+    df, obs = csv_ingest.read_bronze_observed(spark, tmp_folder, "erp_px_cat_g1v2")
+    assert sorted(tuple(r) for r in df.collect()) == [
+        ("A", 'q"x, y', 'a "b" c', "Yes"), ("B", "line\nfeed", "back\\slash\tTab", None), ("C", "long", "x", ""),
+        ("D", "sh,ort", None, None), ("E", "", "", "No")]
+    assert obs.get["malformed_rows"] == 2
+    one = csv_ingest.read_bronze(spark, tmp_folder, "erp_px_cat_g1v2").select("subcat").where("subcat is null")
+    assert one.count() == 1                                   # also when the plan reads one column only
+    _write(tmp_folder, "source_erp/LOC_A101.csv", "CID,CNTRY\nAW-1,DE\n")
+    assert [tuple(r) for r in csv_ingest.read_bronze(spark, tmp_folder, "erp_loc_a101", "\n").collect()] == [("AW-1", "DE")]
 
 
 def test_dmy_birthdates_and_int_dates(spark, tmp_folder):
     _write(tmp_folder, "source_erp/CUST_AZ12.csv",
-           "CID,BDATE,GEN\n NASAW00011000,6/10/1971,Male\nAW00011001,31/2/1990,F\nAW00011002,,\n")
+           "CID,BDATE,GEN\r\n NASAW00011000,6/10/1971,Male\r\nAW00011001,31/2/1990,F\r\nAW00011002,,\r\n")
     df = csv_ingest.read_bronze(spark, tmp_folder, "erp_cust_az12")
     got = sorted(tuple(r) for r in df.collect())
     assert got == [(" NASAW00011000", dt.date(1971, 10, 6), "Male"), ("AW00011001", None, "F"),
