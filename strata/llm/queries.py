@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import decontam, langid, licenses, linedup, lm, packing, quality, secrets, simhash, warc
 from strata.llm.common import table
+from strata.llm.oracle import ORACLE  # noqa: F401
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -18,7 +19,7 @@ def vocab_path(name: str = TOKENIZER) -> str:
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.round_trip(table(spark, sf_dir, "pages"))
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,5 +70,3 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_best_fit_packing, op3_license_scan, op4_benchmark_decontamination, op5_language_id, op6_line_dedup,
     op7_simhash, op8_secret_scan, op9_quality_rules, op10_lm_scoring)}
-#: DuckDB statements of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
