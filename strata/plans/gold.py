@@ -16,7 +16,7 @@ The product dimension column ``cateegory_id`` keeps the source spelling.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.cleaning import NA, prefer
@@ -33,23 +33,23 @@ FACT_COLUMNS = ["order_number", "product_key", "customer_key", "order_date", "sh
 
 def customers_joined(cust: DataFrame, az12: DataFrame, loc: DataFrame) -> DataFrame:
     """CRM customers with ERP demographics and location (two left joins on the business key)."""
-    ci, ca, la = cust.alias("ci"), az12.alias("ca"), loc.alias("la")
-    return ci.join(ca, F.col("ci.cst_key") == F.col("ca.cid"), "left") \
-        .join(la, F.col("ci.cst_key") == F.col("la.cid"), "left")
+    crm, person, place = cust.alias("crm"), az12.alias("person"), loc.alias("place")
+    return crm.join(person, F.col("crm.cst_key") == F.col("person.cid"), "left") \
+        .join(place, F.col("crm.cst_key") == F.col("place.cid"), "left")
 
 
 def dim_customers_unkeyed(cust: DataFrame, az12: DataFrame, loc: DataFrame, unknown: str = NA) -> DataFrame:
     j = customers_joined(cust, az12, loc)
     return j.select(
-        F.col("ci.cst_id").alias("customer_id"),
-        F.col("ci.cst_key").alias("customer_number"),
-        F.col("ci.cst_firstname").alias("first_name"),
-        F.col("ci.cst_lastname").alias("last_name"),
-        F.col("la.cntry").alias("country"),
-        F.col("ci.cst_marital_status").alias("marital_status"),
-        prefer(F.col("ci.cst_gndr"), F.col("ca.gen"), unknown).alias("gender"),
-        F.col("ca.bdate").alias("birthdate"),
-        F.col("ci.cst_create_date").alias("create_date"),
+        F.col("crm.cst_id").alias("customer_id"),
+        F.col("crm.cst_key").alias("customer_number"),
+        F.col("crm.cst_firstname").alias("first_name"),
+        F.col("crm.cst_lastname").alias("last_name"),
+        F.col("place.cntry").alias("country"),
+        F.col("crm.cst_marital_status").alias("marital_status"),
+        prefer(F.col("crm.cst_gndr"), F.col("person.gen"), unknown).alias("gender"),
+        F.col("person.bdate").alias("birthdate"),
+        F.col("crm.cst_create_date").alias("create_date"),
     )
 
 
@@ -61,20 +61,20 @@ def dim_customers(cust: DataFrame, az12: DataFrame, loc: DataFrame, unknown: str
 
 
 def dim_products_unkeyed(prd: DataFrame, cat: DataFrame, current_only: bool = False) -> DataFrame:
-    pn = prd.where(F.col("prd_end_dt").isNull()) if current_only else prd
-    pn, pc = pn.alias("pn"), cat.alias("pc")  # AQE broadcasts the category side when its measured size allows
-    j = pn.join(pc, F.col("pn.cat_id") == F.col("pc.id"), "left")
+    item = prd.where(F.col("prd_end_dt").isNull()) if current_only else prd
+    item, category = item.alias("item"), cat.alias("category")  # AQE broadcasts the category side when its measured size allows
+    j = item.join(category, F.col("item.cat_id") == F.col("category.id"), "left")
     return j.select(
-        F.col("pn.prd_id").alias("product_id"),
-        F.col("pn.prd_key").alias("product_number"),
-        F.col("pn.prd_nm").alias("product_name"),
-        F.col("pn.cat_id").alias("cateegory_id"),
-        F.col("pc.cat").alias("category_name"),
-        F.col("pc.subcat").alias("subcategory"),
-        F.col("pc.maintenance").alias("maintenance"),
-        F.col("pn.prd_cost").alias("cost"),
-        F.col("pn.prd_line").alias("product_line"),
-        F.col("pn.prd_start_dt").alias("start_time"),
+        F.col("item.prd_id").alias("product_id"),
+        F.col("item.prd_key").alias("product_number"),
+        F.col("item.prd_nm").alias("product_name"),
+        F.col("item.cat_id").alias("cateegory_id"),
+        F.col("category.cat").alias("category_name"),
+        F.col("category.subcat").alias("subcategory"),
+        F.col("category.maintenance").alias("maintenance"),
+        F.col("item.prd_cost").alias("cost"),
+        F.col("item.prd_line").alias("product_line"),
+        F.col("item.prd_start_dt").alias("start_time"),
     )
 
 
@@ -88,38 +88,71 @@ def dim_products(prd: DataFrame, cat: DataFrame, current_only: bool = False) ->
 
 def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """Sales with dimension keys looked up by business key (inner joins)."""
-    sd = sales.alias("sd")
-    pr = products.select("product_key", "product_number").alias("pr")
-    cu = customers.select("customer_key", "customer_id").alias("cu")
-    j = sd.join(pr, F.col("sd.sls_prd_key") == F.col("pr.product_number"), "inner") \
-        .join(cu, F.col("sd.sls_cust_id") == F.col("cu.customer_id"), "inner")
+    sale = sales.alias("sale")
+    product = products.select("product_key", "product_number").alias("product")
+    customer = customers.select("customer_key", "customer_id").alias("customer")
+    j = sale.join(product, F.col("sale.sls_prd_key") == F.col("product.product_number"), "inner") \
+        .join(customer, F.col("sale.sls_cust_id") == F.col("customer.customer_id"), "inner")
     return j.select(
-        F.col("sd.sls_ord_num").alias("order_number"),
-        F.col("pr.product_key"),
-        F.col("cu.customer_key"),
-        F.col("sd.sls_order_dt").alias("order_date"),
-        F.col("sd.sls_ship_dt").alias("shipping_date"),
-        F.col("sd.sls_due_dt").alias("due_date"),
-        F.col("sd.sls_sales").alias("sales"),
-        F.col("sd.sls_quantity"),
-        F.col("sd.sls_price").alias("price"),
+        F.col("sale.sls_ord_num").alias("order_number"),
+        F.col("product.product_key"),
+        F.col("customer.customer_key"),
+        F.col("sale.sls_order_dt").alias("order_date"),
+        F.col("sale.sls_ship_dt").alias("shipping_date"),
+        F.col("sale.sls_due_dt").alias("due_date"),
+        F.col("sale.sls_sales").alias("sales"),
+        F.col("sale.sls_quantity"),
+        F.col("sale.sls_price").alias("price"),
     )
 
 
 def fact_sales_unkeyed(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """The fact's rows without the surrogate keys: the same joins on business keys, so the
     same rows (including the fan-out to every product version), for audits that do not use keys."""
-    sd = sales.alias("sd")
-    pr = products.select("product_number").alias("pr")
-    cu = customers.select("customer_id").alias("cu")
-    j = sd.join(pr, F.col("sd.sls_prd_key") == F.col("pr.product_number"), "inner") \
-        .join(cu, F.col("sd.sls_cust_id") == F.col("cu.customer_id"), "inner")
+    sale = sales.alias("sale")
+    product = products.select("product_number").alias("product")
+    customer = customers.select("customer_id").alias("customer")
+    j = sale.join(product, F.col("sale.sls_prd_key") == F.col("product.product_number"), "inner") \
+        .join(customer, F.col("sale.sls_cust_id") == F.col("customer.customer_id"), "inner")
     return j.select(
-        F.col("sd.sls_ord_num").alias("order_number"),
-        F.col("sd.sls_order_dt").alias("order_date"),
-        F.col("sd.sls_ship_dt").alias("shipping_date"),
-        F.col("sd.sls_due_dt").alias("due_date"),
-        F.col("sd.sls_sales").alias("sales"),
-        F.col("sd.sls_quantity"),
-        F.col("sd.sls_price").alias("price"),
+        F.col("sale.sls_ord_num").alias("order_number"),
+        F.col("sale.sls_order_dt").alias("order_date"),
+        F.col("sale.sls_ship_dt").alias("shipping_date"),
+        F.col("sale.sls_due_dt").alias("due_date"),
+        F.col("sale.sls_sales").alias("sales"),
+        F.col("sale.sls_quantity"),
+        F.col("sale.sls_price").alias("price"),
     )
+
+
+def fact_sales_point_in_time(sales: DataFrame, versions: DataFrame) -> DataFrame:
+    """Sales with the product version valid on the order date: one row per sale.
+
+    An equi join on the product key with the validity range inside; sales that
+    fall into no version (or have no order date) keep NULL product columns.
+    """
+    sale, item = sales.alias("sale"), versions.alias("item")
+    valid = (F.col("sale.sls_order_dt") >= F.col("item.prd_start_dt")) & (
+        F.col("item.prd_end_dt").isNull() | (F.col("sale.sls_order_dt") <= F.col("item.prd_end_dt")))
+    return sale.join(item, (F.col("sale.sls_prd_key") == F.col("item.prd_key")) & valid, "left").select(
+        F.col("sale.sls_ord_num").alias("order_number"), F.col("item.prd_id").alias("product_id"),
+        F.col("sale.sls_prd_key").alias("product_number"), F.col("item.cat_id").alias("category_id"),
+        F.col("item.prd_cost").alias("cost"), F.col("sale.sls_cust_id").alias("customer_id"),
+        F.col("sale.sls_order_dt").alias("order_date"), F.col("sale.sls_sales").alias("sales"),
+        F.col("sale.sls_quantity"), F.col("sale.sls_price").alias("price"))
+
+
+def sales_by_month(sales: DataFrame, customers: DataFrame, categories: DataFrame) -> DataFrame:
+    """Totals per month, country and category, and the running total over the months.
+
+    ``sales`` is the point-in-time fact, so history does not multiply amounts.
+    The window runs over the aggregate: one row per month, country and category.
+    """
+    place = customers.select(F.col("customer_id").alias("c_id"), "country")
+    kind = categories.select(F.col("id").alias("k_id"), F.col("cat").alias("category"))
+    totals = sales.join(place, F.col("customer_id") == F.col("c_id"), "left") \
+        .join(kind, F.col("category_id") == F.col("k_id"), "left") \
+        .groupBy(F.trunc("order_date", "month").alias("month"), "country", "category") \
+        .agg(F.count(F.lit(1)).alias("n_sales"), F.sum("sales").cast("decimal(38,2)").alias("sales"))
+    running = Window.partitionBy("country", "category").orderBy(F.col("month").asc_nulls_first())
+    return totals.withColumn("running_sales", F.sum("sales").over(running).cast("decimal(38,2)"))

@@ -286,20 +286,20 @@ def dq_customer_fanout(layers: Layers) -> DataFrame:
     """``cst_id`` repeated after both left joins when ERP locations were loaded twice."""
     j = customers_joined(layers.silver("crm_cust_info"), layers.silver("erp_cust_az12"),
                          layers.silver("erp_loc_loads").drop("load_seq"))
-    return duplicates(j.select(F.col("ci.cst_id").alias("cst_id")), "cst_id")
+    return duplicates(j.select(F.col("crm.cst_id").alias("cst_id")), "cst_id")
 
 
 def dq_gender_country_matrix(layers: Layers) -> DataFrame:
     j = customers_joined(layers.silver("crm_cust_info"), layers.silver("erp_cust_az12"), layers.silver("erp_loc_a101"))
-    return j.select(F.col("ci.cst_gndr").alias("cst_gndr"), F.col("ca.gen").alias("gen"),
-                    F.col("la.cntry").alias("cntry")).distinct() \
+    return j.select(F.col("crm.cst_gndr").alias("cst_gndr"), F.col("person.gen").alias("gen"),
+                    F.col("place.cntry").alias("cntry")).distinct() \
         .orderBy(F.col("cst_gndr").asc_nulls_first(), F.col("gen").asc_nulls_first())
 
 
 def gender_matrix(layers: Layers, unknown: str = NA) -> DataFrame:
     j = customers_joined(layers.silver("crm_cust_info"), layers.silver("erp_cust_az12"), layers.silver("erp_loc_a101"))
-    return j.select(F.col("ci.cst_gndr").alias("cst_gndr"), F.col("ca.gen").alias("gen"),
-                    prefer(F.col("ci.cst_gndr"), F.col("ca.gen"), unknown).alias("new_gen")).distinct() \
+    return j.select(F.col("crm.cst_gndr").alias("cst_gndr"), F.col("person.gen").alias("gen"),
+                    prefer(F.col("crm.cst_gndr"), F.col("person.gen"), unknown).alias("new_gen")).distinct() \
         .orderBy(F.col("cst_gndr").asc_nulls_first(), F.col("gen").asc_nulls_first())
 
 

@@ -260,3 +260,16 @@ def silver_audit_column(layers: Layers) -> DataFrame:
     """Silver customers as written, with the load timestamp (not comparable: rows only)."""
     wh = _load_to_silver(layers)
     return pipeline.read_layer(layers.spark, wh, "silver", "crm_cust_info")
+
+
+@query
+def fact_sales_point_in_time(layers: Layers) -> DataFrame:
+    """Every sale once, with the product version valid on its order date."""
+    return gold.fact_sales_point_in_time(layers.silver("crm_sales_details"), layers.silver("crm_prd_info"))
+
+
+@query
+def gold_sales_by_month(layers: Layers) -> DataFrame:
+    """Sales per month, country and category with running totals."""
+    fact = gold.fact_sales_point_in_time(layers.silver("crm_sales_details"), layers.silver("crm_prd_info"))
+    return gold.sales_by_month(fact, layers.dim_customers_base(), layers.silver("erp_px_cat_g1v2"))
