@@ -196,20 +196,21 @@ def link(classes: DataFrame, max_distance: int = 4) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 4, max_distance: int = 4) -> DataFrame:
-    """``(id, text_hash, fp, component)`` per row of ``docs``.
+    """``(id, text_hash, fp, root, component)`` per row of ``docs``.
 
-    ``component`` is the smallest id reachable through links (null ids count
-    last; null only if all ids are null).  Null and empty texts have
-    fingerprint zero and link like any other.  Rows that repeat an id keep
-    their own fingerprint.  An empty table gives an empty result.
+    ``root`` names the group (one of its fingerprints); ``component`` is the
+    smallest id reachable through links (null ids count last; null only if all
+    ids are null).  Null and empty texts have fingerprint zero and link like any
+    other.  Rows that repeat an id keep their own fingerprint, so two groups
+    may share a component but never a root.  An empty table gives an empty result.
     """
     fps = materialise(fingerprints(docs, id_col, text_col, shingle), "simhash")
     classes = materialise(fps.groupBy("fp").agg(F.min("id").alias("least")), "classes")
     roots = link(classes.select("fp"), max_distance)
     member = classes.join(roots, "fp").select("fp", "root", "least")
     least = member.groupBy("root").agg(F.min("least").alias("component"))
-    named = materialise(member.join(least, "root").select("fp", "component"), "components")
-    return fps.join(named, "fp").select("id", "text_hash", "fp", "component")
+    named = materialise(member.join(least, "root").select("fp", "root", "component"), "components")
+    return fps.join(named, "fp").select("id", "text_hash", "fp", "root", "component")
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -217,10 +218,11 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``docs`` (all columns) with one row of each near-duplicate group.
 
     The row with the smallest id stays (null ids last); rows that agree in id
-    and text count once.  Extra columns pass through.
+    and text count once, rows that repeat an id with unlike texts are groups of
+    their own.  Extra columns pass through.
     """
     found = near_duplicates(docs, id_col, text_col, shingle, max_distance)
-    first = found.groupBy("component").agg(F.min(F.struct(
+    first = found.groupBy("root").agg(F.min(F.struct(
         F.isnull("id").alias("none"), F.col("id"), F.col("text_hash"))).alias("first"))
     keep = first.select(F.col("first.id").alias("keep_id"), F.col("first.text_hash").alias("keep_hash"))
     (mark,) = fresh(docs, "text_hash")

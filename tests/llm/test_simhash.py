@@ -103,6 +103,14 @@ def test_edges_and_keep_one(spark, documents):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0 and simhash.keep_one_per_group(docs.limit(0)).count() == 0
 
 
+def test_unlike_texts_under_one_id_are_groups_of_their_own(spark, documents):
+    unlike = [(5, "one two three four five six"), (5, "red green blue black white grey"), (6, "red green blue black white grey")]
+    docs = documents(unlike, extra="root")
+    assert len({r["root"] for r in simhash.near_duplicates(docs).collect()}) == 2
+    kept = simhash.keep_one_per_group(docs)
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == sorted(unlike[:2]) and kept.columns == docs.columns
+
+
 def test_components_of_chains_and_loops(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 100), (200, 150), (150, 200), (7, 3)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
