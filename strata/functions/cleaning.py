@@ -62,10 +62,13 @@ def repair_sales(sales: Column | str, qty: Column | str, price: Column | str) ->
     Computed in DECIMAL so large quantities cannot overflow an INT; an amount
     that DECIMAL(10,2) cannot hold becomes NULL, it does not stop the load.
     """
-    s, q, p = _col(sales), _col(qty), _col(price)
+    return _sales(_col(sales), _col(qty), _col(price)).try_cast("decimal(10,2)")
+
+
+def _sales(s: Column, q: Column, p: Column) -> Column:
     expected = q.cast("decimal(12,0)") * F.abs(p.cast("decimal(12,0)"))
     bad = (s.cast("decimal(12,0)") != expected) | (s <= 0) | s.isNull()
-    return F.when(bad, expected).otherwise(s).try_cast("decimal(10,2)")
+    return F.when(bad, expected).otherwise(s)
 
 
 def repair_price(sales: Column | str, qty: Column | str, price: Column | str) -> Column:
@@ -75,9 +78,19 @@ def repair_price(sales: Column | str, qty: Column | str, price: Column | str) ->
     what a DECIMAL(10,2) column receives; double division would misround
     half-cent ties.
     """
-    s, q, p = _col(sales), _col(qty), _col(price)
+    return _price(_col(sales), _col(qty), _col(price)).try_cast("decimal(10,2)")
+
+
+def _price(s: Column, q: Column, p: Column) -> Column:
     derived = s.cast("decimal(12,0)") / F.nullif(q, F.lit(0)).cast("decimal(12,0)")
-    return F.when((p <= 0) | p.isNull(), derived).otherwise(p).try_cast("decimal(10,2)")
+    return F.when((p <= 0) | p.isNull(), derived).otherwise(p)
+
+
+def lost_amounts(sales: Column | str, qty: Column | str, price: Column | str) -> Column:
+    """How many of a row's repaired sales and price DECIMAL(10,2) cannot hold (0 to 2)."""
+    own = _col(sales), _col(qty), _col(price)
+    lost = [v.isNotNull() & v.try_cast("decimal(10,2)").isNull() for v in (_sales(*own), _price(*own))]
+    return lost[0].cast("int") + lost[1].cast("int")
 
 
 def standardise_country(c: Column | str, aliases: Mapping[str, str] = COUNTRY_ALIASES,

@@ -2,12 +2,14 @@
 
 Every layer table is written with ``mode("overwrite")`` under
 ``{warehouse}/{layer}/{table}`` (parquet), so a rerun after a failure or an
-executor loss simply rebuilds the table; Spark's commit protocol makes each
-write all-or-nothing.  The tables of one layer are independent, so their jobs
+executor loss simply rebuilds the table.  An overwrite removes the old table
+first: after a failed run the table is incomplete or absent until the rerun.
+The tables of one layer are independent, so their jobs
 are submitted together from a small thread pool.  Silver tables get the audit
 column ``dwh_create_date`` at write time.  Each step returns a report DataFrame
-``(table_name, rows_loaded, seconds)``, with real durations; the counts are
-read back from the written files.
+``(table_name, rows_loaded, seconds)``; the seconds cover building and writing
+the table, the counts are read back from the written files.
+``register_views`` names the written tables for SQL users.
 """
 
 from __future__ import annotations
@@ -21,12 +23,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.cleaning import NA
+from strata.functions.cleaning import NA, lost_amounts
 from strata.plans import gold, quality, silver
 from strata.plans.layers import Layers
 from strata.sources import csv_ingest
 
 LAYER_TABLES = list(csv_ingest.SOURCES)
+GOLD_TABLES = ["dim_customers", "dim_products", "fact_sales"]
 
 
 def table_path(warehouse_dir: str, layer: str, name: str) -> str:
@@ -37,39 +40,41 @@ def read_layer(spark: SparkSession, warehouse_dir: str, layer: str, name: str) -
     return spark.read.parquet(table_path(warehouse_dir, layer, name))
 
 
-def _write(df: DataFrame, path: str) -> float:
+def _write(build: Callable[[], DataFrame], path: str, partition_by: Sequence[str] = ()) -> float:
+    """Build and write a table; the seconds include jobs that building it starts."""
     t0 = time.perf_counter()
-    df.write.mode("overwrite").parquet(path)
+    build().write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return time.perf_counter() - t0
 
 
-def _report(spark: SparkSession, rows: list[tuple[str, int, float]]) -> DataFrame:
-    return spark.createDataFrame(rows, "table_name string, rows_loaded bigint, seconds double")
-
-
 def _load_all(spark: SparkSession, layer: str, builds: dict[str, Callable[[], DataFrame]], warehouse_dir: str,
-              parallel: bool, observed: dict[str, Observation] | None = None) -> DataFrame:
-    """Write independent tables of one layer, as concurrent Spark jobs when ``parallel``."""
+              parallel: bool, observed: dict[str, Observation] | None = None, metrics: Sequence[str] = (),
+              partition_by: Sequence[str] = ()) -> list[tuple]:
+    """Write independent tables of one layer, as concurrent Spark jobs when ``parallel``; returns report rows.
+
+    ``metrics`` are the observed counts that follow the seconds (0 for tables without an observation).
+    """
     def one(name: str) -> tuple:
         path = table_path(warehouse_dir, layer, name)
-        secs = _write(builds[name](), path)
-        row = (f"{layer}.{name}", spark.read.parquet(path).count(), round(secs, 3))
-        if observed is not None:
-            got = observed[name].get
-            row += (got["failed_values"] or 0, got["malformed_rows"] or 0)
-        return row
-
-    schema = "table_name string, rows_loaded bigint, seconds double"
-    if observed is not None:
-        schema += ", failed_values bigint, malformed_rows bigint"
+        secs = _write(builds[name], path, partition_by)
+        got = observed[name].get if observed and name in observed else {}
+        return (f"{layer}.{name}", spark.read.parquet(path).count(), round(secs, 3),
+                *[got.get(m) or 0 for m in metrics])
+
     if not parallel:
-        return spark.createDataFrame([one(n) for n in builds], schema)
+        return [one(n) for n in builds]
     with ThreadPoolExecutor(max_workers=len(builds)) as pool:
-        return spark.createDataFrame(list(pool.map(one, builds)), schema)
+        return list(pool.map(one, builds))
+
 
+def _report(spark: SparkSession, rows: list[tuple], metrics: Sequence[str] = ()) -> DataFrame:
+    extra = "".join(f", {m} bigint" for m in metrics)
+    return spark.createDataFrame(rows, f"table_name string, rows_loaded bigint, seconds double{extra}")
 
-def load_bronze(spark: SparkSession, source_dir: str, warehouse_dir: str, parallel: bool = True) -> DataFrame:
-    """Truncate-and-load every bronze table from its CSV extract (the six loads are independent).
+
+def load_bronze(spark: SparkSession, source_dir: str, warehouse_dir: str, parallel: bool = True,
+                tables: Sequence[str] = tuple(LAYER_TABLES)) -> DataFrame:
+    """Truncate-and-load bronze tables (by default all six) from their CSV extracts.
 
     The report's ``failed_values`` counts the non-empty values that did not
     convert to their column type, ``malformed_rows`` the rows with too few or too
@@ -81,24 +86,33 @@ def load_bronze(spark: SparkSession, source_dir: str, warehouse_dir: str, parall
         df, observed[name] = csv_ingest.read_bronze_observed(spark, source_dir, name)
         return df
 
-    builds = {n: (lambda n=n: build(n)) for n in LAYER_TABLES}
-    return _load_all(spark, "bronze", builds, warehouse_dir, parallel, observed)
+    builds = {n: (lambda n=n: build(n)) for n in tables}
+    metrics = ("failed_values", "malformed_rows")
+    return _report(spark, _load_all(spark, "bronze", builds, warehouse_dir, parallel, observed, metrics), metrics)
+
 
+def load_silver(spark: SparkSession, warehouse_dir: str, as_of: str | None = None, parallel: bool = True,
+                tables: Sequence[str] = tuple(LAYER_TABLES)) -> DataFrame:
+    """Rebuild silver tables (by default all six) from bronze, stamping ``dwh_create_date``.
 
-def load_silver(spark: SparkSession, warehouse_dir: str, as_of: str | None = None,
-                parallel: bool = True) -> DataFrame:
-    """Rebuild every silver table from bronze, stamping ``dwh_create_date`` (no silver table reads another)."""
-    bronze = {n: read_layer(spark, warehouse_dir, "bronze", n) for n in LAYER_TABLES}
+    No silver table reads another.  The report's ``lost_amounts`` counts, during
+    the write, the repaired sales and prices that are NULL because their column
+    cannot hold them.
+    """
+    bronze = {n: read_layer(spark, warehouse_dir, "bronze", n) for n in tables}
+    lost = Observation("silver_crm_sales_details")
     builders = {
         "crm_cust_info": lambda: silver.crm_cust_info(bronze["crm_cust_info"]),
         "crm_prd_info": lambda: silver.crm_prd_info(bronze["crm_prd_info"]),
-        "crm_sales_details": lambda: silver.crm_sales_details(bronze["crm_sales_details"]),
+        "crm_sales_details": lambda: silver.crm_sales_details(bronze["crm_sales_details"].observe(
+            lost, F.sum(lost_amounts("sls_sales", "sls_quantity", "sls_price").cast("bigint")).alias("lost_amounts"))),
         "erp_loc_a101": lambda: silver.erp_loc_a101(bronze["erp_loc_a101"]),
         "erp_cust_az12": lambda: silver.erp_cust_az12(bronze["erp_cust_az12"], as_of),
         "erp_px_cat_g1v2": lambda: silver.erp_px_cat_g1v2(bronze["erp_px_cat_g1v2"]),
     }
-    builds = {n: (lambda b=b: b().withColumn("dwh_create_date", F.localtimestamp())) for n, b in builders.items()}
-    return _load_all(spark, "silver", builds, warehouse_dir, parallel)
+    builds = {n: (lambda b=builders[n]: b().withColumn("dwh_create_date", F.localtimestamp())) for n in tables}
+    return _report(spark, _load_all(spark, "silver", builds, warehouse_dir, parallel, {"crm_sales_details": lost},
+                                    ("lost_amounts",)), ("lost_amounts",))
 
 
 def ingest_failures(spark: SparkSession, source_dir: str) -> DataFrame:
@@ -114,8 +128,9 @@ def ingest_failures(spark: SparkSession, source_dir: str) -> DataFrame:
     return out
 
 
-def build_gold(spark: SparkSession, warehouse_dir: str, partition_fact_by: Sequence[str] = ()) -> DataFrame:
-    """Write both dimensions, then the fact from the written dimensions.
+def build_gold(spark: SparkSession, warehouse_dir: str, partition_fact_by: Sequence[str] = (),
+               parallel: bool = True) -> DataFrame:
+    """Write both dimensions (together when ``parallel``), then the fact from the written dimensions.
 
     ``partition_fact_by`` (e.g. ``["order_date"]``) writes the fact in
     partition folders for pruning; rows are first rebalanced on those columns
@@ -123,29 +138,37 @@ def build_gold(spark: SparkSession, warehouse_dir: str, partition_fact_by: Seque
     task writes few, evenly sized files.
     """
     s = {n: read_layer(spark, warehouse_dir, "silver", n).drop("dwh_create_date") for n in LAYER_TABLES}
-    rows = []
     dims = {
-        "dim_customers": gold.dim_customers(s["crm_cust_info"], s["erp_cust_az12"], s["erp_loc_a101"]),
-        "dim_products": gold.dim_products(s["crm_prd_info"], s["erp_px_cat_g1v2"]),
+        "dim_customers": lambda: gold.dim_customers(s["crm_cust_info"], s["erp_cust_az12"], s["erp_loc_a101"]),
+        "dim_products": lambda: gold.dim_products(s["crm_prd_info"], s["erp_px_cat_g1v2"]),
     }
-    for name, df in dims.items():
-        path = table_path(warehouse_dir, "gold", name)
-        secs = _write(df, path)
-        rows.append((f"gold.{name}", spark.read.parquet(path).count(), round(secs, 3)))
-    fact = gold.fact_sales(s["crm_sales_details"], read_layer(spark, warehouse_dir, "gold", "dim_products"),
-                           read_layer(spark, warehouse_dir, "gold", "dim_customers"))
-    path = table_path(warehouse_dir, "gold", "fact_sales")
-    if partition_fact_by:
-        t0 = time.perf_counter()
-        fact.hint("rebalance", *partition_fact_by).write.mode("overwrite") \
-            .partitionBy(*partition_fact_by).parquet(path)
-        secs = time.perf_counter() - t0
-    else:
-        secs = _write(fact, path)
-    rows.append(("gold.fact_sales", spark.read.parquet(path).count(), round(secs, 3)))
+
+    def fact() -> DataFrame:
+        rows = gold.fact_sales(s["crm_sales_details"], read_layer(spark, warehouse_dir, "gold", "dim_products"),
+                               read_layer(spark, warehouse_dir, "gold", "dim_customers"))
+        return rows.hint("rebalance", *partition_fact_by) if partition_fact_by else rows
+
+    rows = _load_all(spark, "gold", dims, warehouse_dir, parallel)
+    rows += _load_all(spark, "gold", {"fact_sales": fact}, warehouse_dir, False, partition_by=partition_fact_by)
     return _report(spark, rows)
 
 
+def register_views(spark: SparkSession, warehouse_dir: str, prefix: str = "",
+                   layers: Sequence[str] = ("bronze", "silver", "gold")) -> list[str]:
+    """Name the written tables for SQL: views ``{prefix}bronze.…``, ``{prefix}silver.…``, ``{prefix}gold.…``.
+
+    Each view reads its table's folder, so it shows the latest load; returns the names.
+    """
+    names = []
+    for layer in layers:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{prefix}{layer}`")
+        for table in GOLD_TABLES if layer == "gold" else LAYER_TABLES:
+            path = table_path(warehouse_dir, layer, table).replace("`", "``")
+            spark.sql(f"CREATE OR REPLACE VIEW `{prefix}{layer}`.`{table}` AS SELECT * FROM parquet.`{path}`")
+            names.append(f"{prefix}{layer}.{table}")
+    return names
+
+
 def row_counts(spark: SparkSession, warehouse_dir: str, layer: str) -> DataFrame:
     """The load report: one row per table of a layer, ``UNION ALL`` of counts."""
     parts = [read_layer(spark, warehouse_dir, layer, n).agg(F.count(F.lit(1)).alias("rows_loaded"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import cleaning as c
@@ -197,18 +197,16 @@ def dq_summary(layers: Layers) -> DataFrame:
 
 
 # ---------------------------------------------------------------- sources and sinks
-def _extracts(layers: Layers) -> str:
-    """Write the six extracts as their source systems deliver them; returns the folder."""
+def _extracts(layers: Layers, *names: str) -> str:
+    """Write extracts (by default all six) as their source systems deliver them; returns the folder."""
     folder = scratch_path(layers.spark, "sources")
-    for name in csv_ingest.SOURCES:
+    for name in names or csv_ingest.SOURCES:
         csv_ingest.write_source_csv(layers.bronze(name), folder, name)
     return folder
 
 
 def _roundtrip(layers: Layers, name: str) -> DataFrame:
-    folder = scratch_path(layers.spark, "sources")
-    csv_ingest.write_source_csv(layers.bronze(name), folder, name)
-    return csv_ingest.read_bronze(layers.spark, folder, name)
+    return csv_ingest.read_bronze(layers.spark, _extracts(layers, name), name)
 
 
 @query
@@ -231,35 +229,58 @@ def bronze_parse_dmy_date(layers: Layers) -> DataFrame:
 
 @query
 def full_refresh_idempotent(layers: Layers) -> DataFrame:
-    """Bronze loaded twice into the same warehouse: counts equal one load."""
-    src = _extracts(layers)
-    wh = scratch_path(layers.spark, "warehouse")
-    pipeline.load_bronze(layers.spark, src, wh)
-    pipeline.load_bronze(layers.spark, src, wh)
-    return pipeline.row_counts(layers.spark, wh, "bronze")
+    """A larger customer extract loaded, then the real one: the table holds the real one alone."""
+    name, wh = "crm_cust_info", scratch_path(layers.spark, "warehouse")
+    larger, rows = scratch_path(layers.spark, "sources"), layers.bronze(name)
+    csv_ingest.write_source_csv(rows.unionByName(rows.withColumn("cst_key", F.concat("cst_key", F.lit("-old")))), larger, name)
+    for src in (larger, _extracts(layers, name)):
+        pipeline.load_bronze(layers.spark, src, wh, tables=[name])
+    return pipeline.read_layer(layers.spark, wh, "bronze", name)
 
 
-def _load_to_silver(layers: Layers) -> str:
-    """CSV extracts -> bronze -> silver in a fresh warehouse folder; returns the folder."""
-    src = _extracts(layers)
+def _load_to_silver(layers: Layers, *names: str) -> str:
+    """CSV extracts -> bronze -> silver (by default all six) in a fresh warehouse folder; returns the folder."""
     wh = scratch_path(layers.spark, "warehouse")
-    pipeline.load_bronze(layers.spark, src, wh)
-    pipeline.load_silver(layers.spark, wh, layers.as_of)
+    tables = names or tuple(csv_ingest.SOURCES)
+    pipeline.load_bronze(layers.spark, _extracts(layers, *names), wh, tables=tables)
+    pipeline.load_silver(layers.spark, wh, layers.as_of, tables=tables)
     return wh
 
 
 @query
 def silver_write_read_back(layers: Layers) -> DataFrame:
     """Product history after CSV -> bronze -> silver, read back from the written table."""
-    wh = _load_to_silver(layers)
+    wh = _load_to_silver(layers, "crm_prd_info")
     return pipeline.read_layer(layers.spark, wh, "silver", "crm_prd_info").drop("dwh_create_date")
 
 
 @query
 def silver_audit_column(layers: Layers) -> DataFrame:
-    """Silver customers as written, with the load timestamp (not comparable: rows only)."""
+    """Silver customers as written; whether each is stamped, and with a time within the load."""
+    def now() -> Column:
+        at = layers.spark.range(1).select(F.localtimestamp().cast("string")).first()[0]
+        return F.lit(at).cast("timestamp_ntz")
+
+    start = now()
+    wh = _load_to_silver(layers, "crm_cust_info")
+    stamp = F.col("dwh_create_date")
+    return pipeline.read_layer(layers.spark, wh, "silver", "crm_cust_info").select(
+        *silver.SILVER_COLUMNS["crm_cust_info"], stamp.isNotNull().alias("stamped"),
+        F.coalesce(stamp.between(start, now()), F.lit(False)).alias("stamped_within_load"))
+
+
+@query
+def gold_read_by_name(layers: Layers) -> DataFrame:
+    """Sales per country and category from the written star, its tables read by name in SQL."""
     wh = _load_to_silver(layers)
-    return pipeline.read_layer(layers.spark, wh, "silver", "crm_cust_info")
+    pipeline.build_gold(layers.spark, wh)
+    pipeline.register_views(layers.spark, wh, prefix="strata_")
+    return layers.spark.sql("""
+        SELECT c.country, p.category_name, count(*) AS n_rows, CAST(sum(f.sales) AS DECIMAL(38,2)) AS sales
+        FROM strata_gold.fact_sales AS f
+        JOIN strata_gold.dim_customers AS c ON c.customer_key = f.customer_key
+        JOIN strata_gold.dim_products AS p ON p.product_key = f.product_key
+        GROUP BY c.country, p.category_name""")
 
 
 @query

@@ -54,7 +54,8 @@ def crm_cust_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = c.withColumn("v", F.explode(F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     return c.select(
         F.when(k % 97 == 0, F.lit(None)).otherwise(F.lit(11000) + k).cast("bigint").alias("cst_id"),
-        F.concat(F.lit("AW"), _pad(k)).alias("cst_key"),
+        # one customer in 89 carries its predecessor's key
+        F.concat(F.lit("AW"), _pad(F.when(k % 89 == 88, k - 1).otherwise(k))).alias("cst_key"),
         F.when(k % 5 == 0, F.concat(F.lit("  "), F.col("c_mktsegment"), F.lit(" ")))
         .otherwise(F.col("c_mktsegment")).alias("cst_firstname"),
         F.when(k % 7 == 0, F.concat(F.col("c_name"), F.lit("  "))).otherwise(F.col("c_name")).alias("cst_lastname"),
@@ -72,14 +73,15 @@ def crm_prd_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = p.withColumn("v", F.explode(F.sequence(F.lit(0), (k % 3).cast("int"))))
     v = F.col("v")
     start = F.date_add(F.lit("1993-01-01").cast("date"), (k % 300 + v * 1000).cast("int"))
+    key = F.concat(_pick(k % 3, ["CO-RF", "BI-MB", "AC-HE"]), F.lit("-P"), _pad(k))
     return p.select(
         F.when(k % 101 == 100, k * 10).otherwise(k * 10 + v).cast("bigint").alias("prd_id"),
-        F.concat(_pick(k % 3, ["CO-RF", "BI-MB", "AC-HE"]), F.lit("-P"), _pad(k)).alias("prd_key"),
+        F.when(k % 29 == 28, F.translate(key, "-", "_")).otherwise(key).alias("prd_key"),
         F.col("p_name").alias("prd_nm"),
         F.when(k % 13 == 0, F.lit(None)).otherwise(F.floor("p_retailprice") + v).cast("int").alias("prd_cost"),
         _pick(k % 6, ["M", "R ", "S", "t", None, "X"]).alias("prd_line"),
         start.cast("timestamp_ntz").alias("prd_start_dt"),
-        F.date_sub(start, 30).cast("timestamp_ntz").alias("prd_end_dt"),
+        F.date_add(start, F.when(k % 31 == 30, 60).otherwise(-30)).cast("timestamp_ntz").alias("prd_end_dt"),
     )
 
 
@@ -108,11 +110,16 @@ def crm_sales_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _location_id(k: Column) -> Column:
+    """Dashed ERP id; one in 37 comes without the dash."""
+    return F.concat(F.when(k % 37 == 36, F.lit("AW")).otherwise(F.lit("AW-")), _pad(k))
+
+
 def erp_loc_a101(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").select("c_custkey")
     k = F.col("c_custkey")
     return c.select(
-        F.concat(F.lit("AW-"), _pad(k)).alias("cid"),
+        _location_id(k).alias("cid"),
         _pick(k % 7, ["DE", " US ", "USA", "", None, " Australia", "de"]).alias("cntry"),
     )
 
@@ -124,7 +131,7 @@ def erp_loc_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = c.withColumn("v", F.explode(F.when(k % 31 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     first = F.col("v") == 0
     return c.select(
-        F.concat(F.lit("AW-"), _pad(k)).alias("cid"),
+        _location_id(k).alias("cid"),
         F.when(first, _pick(k % 7, ["DE", " US ", "USA", "", None, " Australia", "de"]))
         .otherwise(F.lit("USA")).alias("cntry"),
         F.when(first, k).otherwise(F.lit(1000000) + k).cast("bigint").alias("load_seq"),

@@ -20,10 +20,7 @@ from strata.plans.registry import QUERIES
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, SF_SMALL, entry.queries()[name], entry.oracle_sql().get(name))
-    if r["match"] is None:
-        assert name == "silver_audit_column" and r["spark_rows"] > 0
-    else:
-        assert r["match"], r
+    assert r["match"], r
 
 
 def test_entry_smoke(spark):
@@ -33,8 +30,8 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_but_the_timestamp_one():
-    assert set(QUERIES) - set(entry.oracle_sql()) == {"silver_audit_column"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) <= set(entry.oracle_sql())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
