@@ -125,6 +125,23 @@ def fact_sales_unkeyed(sales: DataFrame, products: DataFrame, customers: DataFra
     )
 
 
+def fact_sales_counted(sales: DataFrame, products: DataFrame, customers: DataFrame, copies: str) -> DataFrame:
+    """The sales that reach the fact, once each, with the number of fact rows they become
+    (``copies``: product versions times customer rows), for counts that need no fan-out."""
+    versions = products.groupBy("product_number").agg(F.count(F.lit(1)).alias("n_versions"))
+    people = customers.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_people"))
+    j = sales.join(versions, F.col("sls_prd_key") == F.col("product_number"), "inner") \
+        .join(people, F.col("sls_cust_id") == F.col("customer_id"), "inner")
+    return j.select(
+        F.col("sls_order_dt").alias("order_date"),
+        F.col("sls_ship_dt").alias("shipping_date"),
+        F.col("sls_sales").alias("sales"),
+        "sls_quantity",
+        F.col("sls_price").alias("price"),
+        (F.col("n_versions") * F.col("n_people")).alias(copies),
+    )
+
+
 def fact_sales_point_in_time(sales: DataFrame, versions: DataFrame) -> DataFrame:
     """Sales with the product version valid on the order date: one row per sale.
 

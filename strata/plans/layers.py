@@ -69,6 +69,11 @@ class Layers:
         return self._get("g:fact_sales_base", lambda: gold.fact_sales_unkeyed(
             self.silver("crm_sales_details"), self.dim_products_base(), self.dim_customers_base()))
 
+    def fact_sales_counted(self, copies: str) -> DataFrame:
+        """Sales of the fact once each, with their number of fact rows in column ``copies``."""
+        return gold.fact_sales_counted(
+            self.silver("crm_sales_details"), self.dim_products_base(), self.dim_customers_base(), copies)
+
     def fact_sales(self) -> DataFrame:
         return self._get("g:fact_sales", lambda: gold.fact_sales(
             self.silver("crm_sales_details"), self.dim_products(), self.dim_customers()))

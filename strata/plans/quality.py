@@ -33,6 +33,9 @@ AFFECTED_ROWS = "total_filas_afectadas"
 MISSING_PRODUCTS = "Productos Faltantes"
 MISSING_CUSTOMERS = "Clientes Faltantes"
 
+#: Column with the number of rows that one row stands for.
+COPIES = "_copies"
+
 
 def duplicates(df: DataFrame, key: str, count_name: str = "row_count") -> DataFrame:
     """``GROUP BY key HAVING COUNT(*) > 1``."""
@@ -111,15 +114,21 @@ def summarise(tables: Mapping[str, DataFrame], as_of: str | None = None) -> Data
     """(rule, table_name, violations) for every row-level rule of the given tables.
 
     ``tables`` maps ``layer.table`` names (as in ``row_rules``) to DataFrames;
-    all rules of one table are counted in a single pass with ``count_if``.
+    all rules of one table are counted in a single pass with ``count_if``.  A
+    row of a table with a column ``COPIES`` stands for that many rows.
     """
+    def violated(df: DataFrame, pred: Column) -> Column:
+        if COPIES not in df.columns:
+            return F.count_if(pred)
+        return F.coalesce(F.sum(F.when(pred, F.col(COPIES))), F.lit(0)).cast("bigint")
+
     per_table: dict[str, list[tuple[str, Column]]] = {}
     for name, table, pred in row_rules(as_of):
         if table in tables:
             per_table.setdefault(table, []).append((name, pred))
     parts = []
     for table, rules in per_table.items():
-        counts = tables[table].agg(*[F.count_if(pred).alias(name) for name, pred in rules])
+        counts = tables[table].agg(*[violated(tables[table], pred).alias(name) for name, pred in rules])
         stacked = counts.select(F.explode(F.array(*[
             F.struct(F.lit(name).alias("rule"), F.lit(table).alias("table_name"), F.col(name).alias("violations"))
             for name, _ in rules])).alias("r")).select("r.*")
@@ -131,9 +140,9 @@ def summarise(tables: Mapping[str, DataFrame], as_of: str | None = None) -> Data
 
 
 def summary(layers: Layers) -> DataFrame:
-    """``summarise`` over the tables of one build (the fact rules read no surrogate keys)."""
+    """``summarise`` over the tables of one build (the fact rules read no surrogate keys and build no fan-out)."""
     names = dict.fromkeys(table for _, table, _ in row_rules(layers.as_of))
-    tables = {t: layers.fact_sales_base() if t == "gold.fact_sales" else table_of(layers, t) for t in names}
+    tables = {t: layers.fact_sales_counted(COPIES) if t == "gold.fact_sales" else table_of(layers, t) for t in names}
     return summarise(tables, layers.as_of)
 
 

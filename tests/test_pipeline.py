@@ -66,6 +66,39 @@ def test_end_to_end_pipeline_and_invariants(spark):
     assert bad.count() == 0
 
 
+def test_tables_are_read_by_name(spark):
+    _, src = _sources(spark)
+    wh = scratch_path(spark, "warehouse")
+    pipeline.load_bronze(spark, src, wh, tables=["erp_loc_a101"])
+    pipeline.load_silver(spark, wh, "2026-01-01", tables=["erp_loc_a101"])
+    for layer in ("bronze", "silver"):
+        path = pipeline.table_path(wh, layer, "erp_loc_a101")
+        for other in pipeline.LAYER_TABLES:
+            if other != "erp_loc_a101":
+                spark.read.parquet(path).write.parquet(pipeline.table_path(wh, layer, other))
+    names = pipeline.register_views(spark, wh, "named_", layers=["bronze", "silver"])
+    assert len(names) == 12 and "named_silver.erp_loc_a101" in names
+    n = spark.sql("SELECT count(*) FROM named_silver.erp_loc_a101 AS s JOIN named_bronze.erp_loc_a101 AS b "
+                  "ON s.cid = replace(b.cid, '-', '')").first()[0]
+    assert n == pipeline.read_layer(spark, wh, "bronze", "erp_loc_a101").count() > 0
+    # a later load shows through the same name
+    pipeline.read_layer(spark, wh, "bronze", "erp_loc_a101").limit(3).write.parquet(wh + "/three")
+    spark.read.parquet(wh + "/three").write.mode("overwrite").parquet(pipeline.table_path(wh, "bronze", "erp_loc_a101"))
+    assert spark.sql("SELECT * FROM named_bronze.erp_loc_a101").count() == 3
+
+
+def test_amounts_that_do_not_fit_are_counted(spark):
+    wh = scratch_path(spark, "warehouse")
+    rows = [("a", 10, 2, 5), ("b", None, 100_000, 100_000), ("c", 999_999_999, 1, None)]
+    bronze = spark.createDataFrame(rows, "sls_ord_num string, sls_sales int, sls_quantity int, sls_price int").selectExpr(
+        "sls_ord_num", "'P1' AS sls_prd_key", "1L AS sls_cust_id", "20200101 AS sls_order_dt", "20200101 AS sls_ship_dt",
+        "20200101 AS sls_due_dt", "sls_sales", "sls_quantity", "sls_price")
+    bronze.write.parquet(pipeline.table_path(wh, "bronze", "crm_sales_details"))
+    report = pipeline.load_silver(spark, wh, tables=["crm_sales_details"]).collect()
+    # b: sales 10^10; c: sales and the price derived from it
+    assert [(r.rows_loaded, r.lost_amounts) for r in report] == [(3, 3)]
+
+
 def test_row_counts_report(spark):
     layers, src = _sources(spark)
     wh = scratch_path(spark, "warehouse")

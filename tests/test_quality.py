@@ -34,3 +34,17 @@ def test_orphan_audit_counts_literal_orphans(spark):
     dim = spark.createDataFrame([(10,), (11,)], "product_key long")
     out = quality._orphan_count(quality.MISSING_PRODUCTS, orphans(fact, dim, [("product_key", "product_key")]))
     assert [tuple(r) for r in out.collect()] == [("Productos Faltantes", 2)]
+
+
+def test_open_versions_that_fan_out_are_listed(spark):
+    class Planted:
+        """P1 has one open version, P2 two, P3 one whose category is listed twice."""
+
+        def silver(self, name):
+            if name == "crm_prd_info":
+                return spark.createDataFrame([
+                    ("P1", "A", None), ("P1", "A", dt.date(2020, 1, 1)), ("P2", "A", None), ("P2", "B", None), ("P3", "C", None)],
+                    "prd_key string, cat_id string, prd_end_dt date")
+            return spark.createDataFrame([("A",), ("C",), ("C",)], "id string")
+
+    assert sorted(tuple(r) for r in quality.dq_current_product_fanout(Planted()).collect()) == [("P2", 2), ("P3", 2)]
