@@ -2,9 +2,10 @@
 
 P(token | history) = P(class | h) * P(token | class, h), h the state of a gated
 recurrent unit carried through the whole document.  The model's vocabulary is
-the most frequent training tokens, cut into equal classes by frequency; other
-tokens share one entry and are told apart by their smoothed corpus frequency,
-so every text has a proper probability.
+the most frequent training tokens, cut into equal classes by frequency; classes
+and class size grow with the counted types.  Other tokens share one entry and
+are told apart by their smoothed corpus frequency, so every text has a proper
+probability.
 
 Training: output biases start at corpus frequencies; then every task runs
 truncated back-propagation over all of its training documents from the same
@@ -36,10 +37,11 @@ from strata.llm.common import arrow_schema, col, map_arrow, materialise, record_
 
 #: The end token; words hold no white space, so it can't be one.
 END = "\n"
-CLASSES, CLASS_SIZE, HIDDEN = 16, 24, 8
+#: Classes and class size of the smallest model; see ``side``.
+CLASSES, CLASS_SIZE, HIDDEN = 32, 32, 16
 VOCABULARY = CLASSES * CLASS_SIZE
 #: Back-propagation is cut after this many tokens; the state goes on.
-STEPS = 32
+STEPS = 64
 STREAMS = 128
 RATE = 0.1
 #: Start of the squared-gradient sums; logits are held within +-LIMIT.
@@ -50,6 +52,14 @@ BLOCK_BYTES = 16 * 1024 * 1024
 #: Distinct tokens a counting task holds before it hands them on.
 COUNT_BUFFER = 600_000
 ALPHA = 0.1
+#: Parameters travel to their average in slices of so many numbers.
+SLICE = 16_384
+
+
+def side(types: int) -> int:
+    """Classes of the model, and tokens of a class: the entries are 4 times the square root of
+    the counted types, ``VOCABULARY`` at least."""
+    return max(CLASSES, math.ceil(2 * types ** 0.25))
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -68,13 +78,14 @@ class GatedModel:
     NAMES = ("inputs", "rec", "class_w", "class_b", "word_w", "word_b")
 
     def __init__(self, frequencies: np.ndarray, seed: int = 7):
-        rng, h = np.random.default_rng(seed), HIDDEN
-        f = frequencies.reshape(CLASSES, CLASS_SIZE) + 1e-9
-        self.inputs = rng.normal(0, 0.1, (VOCABULARY, 3 * h)).astype(np.float32)
+        rng, h, size = np.random.default_rng(seed), HIDDEN, len(frequencies)
+        self.side = n = math.isqrt(size)
+        f = frequencies.reshape(n, n) + 1e-9
+        self.inputs = rng.normal(0, 0.1, (size, 3 * h)).astype(np.float32)
         self.rec = rng.normal(0, 0.3 / math.sqrt(h), (h, 3 * h)).astype(np.float32)
-        self.class_w = rng.normal(0, 0.1, (h, CLASSES)).astype(np.float32)
+        self.class_w = rng.normal(0, 0.1, (h, n)).astype(np.float32)
         self.class_b = np.log(f.sum(axis=1) / f.sum()).astype(np.float32)
-        self.word_w = rng.normal(0, 0.1, (CLASSES, h, CLASS_SIZE)).astype(np.float32)
+        self.word_w = rng.normal(0, 0.1, (n, h, n)).astype(np.float32)
         self.word_b = np.log(f / f.sum(axis=1, keepdims=True)).astype(np.float32)
 
     def pack(self) -> np.ndarray:
@@ -112,10 +123,10 @@ class GatedModel:
     def outputs(self, hidden: np.ndarray, target: np.ndarray, gradients: bool = False):
         """Natural-log probability of every target; with ``gradients`` also the output
         gradients of the summed log-probability and its gradient in ``hidden``."""
-        order = np.argsort(target // CLASS_SIZE, kind="stable")  # rows of one class lie together
+        order = np.argsort(target // self.side, kind="stable")  # rows of one class lie together
         hidden, target = hidden[order], target[order]
-        classes, within = target // CLASS_SIZE, target % CLASS_SIZE
-        bounds = np.searchsorted(classes, np.arange(CLASSES + 1)).tolist()
+        classes, within = target // self.side, target % self.side
+        bounds = np.searchsorted(classes, np.arange(self.side + 1)).tolist()
         rows = np.arange(len(target))
         p, score = _softmax(hidden @ self.class_w + self.class_b, rows, classes)
         if gradients:
@@ -124,7 +135,7 @@ class GatedModel:
             grads = {"class_w": hidden.T @ p, "class_b": p.sum(axis=0), "word_w": np.zeros_like(self.word_w),
                      "word_b": np.zeros_like(self.word_b)}
             down = p @ self.class_w.T
-        for c in range(CLASSES):
+        for c in range(self.side):
             lo, hi = bounds[c], bounds[c + 1]
             if lo == hi:
                 continue
@@ -173,15 +184,12 @@ class GatedModel:
         return {"rec": before.reshape(-1, h).T @ d_back.reshape(-1, 3 * h), "inputs": d_inputs}
 
 
-_ONES = np.ones(max(CLASSES, CLASS_SIZE), np.float32)
-
-
 def _softmax(logits: np.ndarray, rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Probabilities of each row and the log-probability at ``(rows, at)``."""
     np.clip(logits, -LIMIT, LIMIT, out=logits)
     chosen = logits[rows, at]
     p = np.exp(logits, out=logits)
-    norm = p @ _ONES[:p.shape[1]]
+    norm = p @ np.ones(p.shape[1], np.float32)
     p *= (1 / norm)[:, None]
     return p, chosen - np.log(norm)
 
@@ -304,7 +312,7 @@ class Vocabulary:
     """Model entries: 0 for all other tokens, then the most frequent ones; with the corpus totals."""
 
     def __init__(self, top: list[tuple[str, int]], tokens: int, types: int):
-        frequent = [(w, n) for w, n in top if w != END][:VOCABULARY - 2]
+        frequent = [(w, n) for w, n in top if w != END][:side(types) ** 2 - 2]
         own = dict(top).get(END, 0)
         known = sum(n for _, n in frequent) + own
         entries = sorted([(tokens - known + ALPHA, 0, None), (own + ALPHA, 0, END), *((n + ALPHA, 1, w) for w, n in frequent)],
@@ -312,7 +320,7 @@ class Vocabulary:
         self.ids = {w.encode(): i for i, (_, _, w) in enumerate(entries) if w is not None}
         self.other = next(i for i, e in enumerate(entries) if e[2] is None)
         self.end = self.ids.pop(END.encode())
-        self.frequencies = np.array([e[0] for e in entries] + [0.0] * (VOCABULARY - len(entries)))
+        self.frequencies = np.array([e[0] for e in entries] + [0.0] * (side(types) ** 2 - len(entries)))
         self.tokens, self.types = tokens, types
         in_model = len(frequent) + (own > 0)
         #: normaliser of the share of one token among the others (one more type for all unseen ones)
@@ -324,10 +332,10 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """From the rows of ``count_tokens``; at most ``VOCABULARY`` + 1 of them reach the driver."""
+    """From the rows of ``count_tokens``; as many as the model has entries, and one, reach the driver."""
     own = counts.where(F.col("first") & (F.col("n") > 0)).select("token", "n")
     tokens, types = own.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = own.orderBy(F.desc("n"), "token").limit(VOCABULARY).union(own.where(F.col("token") == END)).distinct()
+    top = own.orderBy(F.desc("n"), "token").limit(side(types) ** 2).union(own.where(F.col("token") == END)).distinct()
     return Vocabulary(sorted(((r["token"], r["n"]) for r in top.collect()), key=lambda r: (-r[1], r[0])), tokens, types)
 
 
@@ -336,7 +344,7 @@ def train(rows: DataFrame, vocab: Vocabulary) -> GatedModel:
     """One pass over every training document of ``rows(doc_id, text)``, parameters averaged over tasks."""
     start = GatedModel(vocab.frequencies)
     shared = rows.sparkSession.sparkContext.broadcast((vocab, start.pack()))
-    schema = "part int, tokens double, weights binary"
+    schema = "part int, slice int, tokens double, weights binary"
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,15 +366,17 @@ def train(rows: DataFrame, vocab: Vocabulary) -> GatedModel:
             fit(model, docs, vocab.end, squares)
             total += size
         if total:
-            yield record_batches([(TaskContext.get().partitionId(), float(total), model.pack().tobytes())], out)
+            part, flat = TaskContext.get().partitionId(), model.pack()
+            for k, lo in enumerate(range(0, len(flat), SLICE)):
+                yield record_batches([(part, k, float(total), flat[lo:lo + SLICE].tobytes())], out)
 
     parts = map_arrow(rows, run, schema)
     for share in (64, None):  # two levels: no task averages more than the square root of the parts
         key = F.lit(0) if share is None else (F.col("part") / share).cast("int")
-        parts = parts.withColumn("part", key.cast("int")).groupBy("part").applyInArrow(_average, parts.schema)
-    got = parts.first()
-    if got is not None:
-        start.unpack(np.frombuffer(got["weights"], np.float32))
+        parts = parts.withColumn("part", key.cast("int")).groupBy("part", "slice").applyInArrow(_average, parts.schema)
+    got = sorted((r["slice"], r["weights"]) for r in parts.collect())
+    if got:
+        start.unpack(np.frombuffer(b"".join(w for _, w in got), np.float32))
     return start
 
 
@@ -375,7 +385,8 @@ def _average(group: pa.Table) -> pa.Table:
     for n, weights in sorted(zip(group["tokens"].to_pylist(), group["weights"].to_pylist())):
         own = np.frombuffer(weights, np.float32).astype(np.float64) * n
         flat, total = own if flat is None else flat + own, total + n
-    return pa.table({"part": pa.array([group["part"][0].as_py()], pa.int32()), "tokens": pa.array([total], pa.float64()),
+    return pa.table({"part": pa.array([group["part"][0].as_py()], pa.int32()),
+                     "slice": pa.array([group["slice"][0].as_py()], pa.int32()), "tokens": pa.array([total], pa.float64()),
                      "weights": pa.array([(flat / total).astype(np.float32).tobytes()], pa.binary())})
 
 

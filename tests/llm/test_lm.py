@@ -135,3 +135,15 @@ def test_a_block_scored_in_chunks_gives_the_same_rows(spark, monkeypatch):
     assert whole.drop(["score"]).equals(parts.drop(["score"]))
     assert np.allclose(whole["score"].to_numpy(), parts["score"].to_numpy())
     assert whole["n_known"].to_pylist() == [4, 1, 3, 51]
+
+
+def test_the_model_grows_with_the_counted_types():
+    assert lm.VOCABULARY >= 1024 and lm.HIDDEN >= 16 and lm.side(0) ** 2 == lm.VOCABULARY
+    sizes = [len(lm.Vocabulary([(f"w{k:05}", 9) for k in range(9_000)], 10**7, types).frequencies) for types in (10**4, 4 * 10**5, 4 * 10**6)]
+    assert sizes[0] == lm.VOCABULARY < 2_500 < sizes[1] < 8_000 <= sizes[2]
+    top = [("w%05d" % k, 9) for k in range(2_000)]
+    vocab = lm.Vocabulary(top, 10**7, 4 * 10**5)
+    assert vocab.other not in vocab.encode([w.encode() for w, _ in top]).tolist()  # each has its own entry
+    model = lm.GatedModel(vocab.frequencies)
+    assert math.isclose(sum(np.exp(model.outputs(np.ones((len(vocab.frequencies), lm.HIDDEN), np.float32),
+                                                 np.arange(len(vocab.frequencies))))), 1, rel_tol=1e-4)
