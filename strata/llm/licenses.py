@@ -15,6 +15,11 @@ from strata.llm.common import col
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SENTENCE_END = r"[.!?;:]+[ \t\r\n]+|[.!?;:]+$"
+#: A line that is a copyright notice, also behind comment signs ("copyright notice" and "copyright holder" are none).
+COPYRIGHT_LINE = (r"(?dm)^[^A-Za-z0-9©\n]*(?:(?i:copyright[ \t]*(?:\(c\)|©|[0-9]{4}|by\b)|c\)[ \t]|©|all rights reserved)"
+                  r"|Copyright[ \t]+(?!notice|holder|owner|law))[^\n]*$")
+#: Blank lines, also those of a comment.
+PARAGRAPH_END = r"\n(?:[ \t\r#*/;%-]*\n)+"
 #: Every known sentence holds one of these, so texts without them need no look.
 KEYWORDS = "licen[cs]e|copyright|copyleft|redistribut|permission|public domain|warrant|free software"
 
@@ -124,9 +129,15 @@ def _normal(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(sentence, UPPER, LOWER), "[^a-z0-9]+", " "))
 
 
-def _identifiers(sentences: Column, known: dict[str, str]) -> Column:
+def _identifiers(sentences: str, known: dict[str, str]) -> Column:
+    """``(at, id)`` of the known ones in column ``sentences``; ``at`` counts the letters and digits before a
+    sentence, so readings that differ in white space and cuts agree on it."""
     lookup = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    return F.filter(F.transform(sentences, lambda s: F.try_element_at(lookup, _normal(s))), lambda i: i.isNotNull())
+    found = F.filter(F.transform(sentences, lambda s, i: F.struct(i.alias("i"), F.try_element_at(lookup, _normal(s)).alias("id"))),
+                     lambda s: s["id"].isNotNull())
+    sizes = F.transform(sentences, lambda s: F.length(F.regexp_replace(s, "[^A-Za-z0-9]+", "")))
+    return F.transform(found, lambda s: F.struct(
+        F.aggregate(F.slice(sizes, F.lit(1), s["i"]), F.lit(0), lambda n, x: n + x).alias("at"), s["id"].alias("id")))
 
 
 def _match(sequence: Column) -> Column:
@@ -145,27 +156,34 @@ def _match(sequence: Column) -> Column:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, licenses, sentence_ids)`` per document, both comma-joined.
 
-    Sentences are read twice: line by line, and with lines joined, so notices
-    broken over lines are recognised as well; ``sentence_ids`` are those of the
-    line reading followed by those that only the joined reading finds.  Null
-    and empty texts give empty strings; null and repeated ids keep their rows;
-    an empty table gives an empty result; extra columns are ignored.
+    Sentences are read line by line, with lines joined, so notices broken over
+    lines are recognised, and with the lines of a paragraph joined, copyright
+    lines apart.  The rules run on one sequence that merges the readings by
+    position.  ``sentence_ids`` are those of the line reading followed by those
+    that only the joined readings find.  Null and empty texts give empty
+    strings; null and repeated ids keep their rows; an empty table gives an
+    empty result; extra columns are ignored.
     """
     known = known_sentences()
     text = F.coalesce(col(text_col).cast("string"), F.lit(""))
     rows = docs.select(col(id_col).alias("doc_id"), text.alias("text"))
     look = F.col("text").rlike(f"(?i)({KEYWORDS})")
     none = F.array().cast("array<string>")
+    sentences = lambda part: F.split(F.replace(part, F.lit("\n"), F.lit(" ")), SENTENCE_END)
     by_line = F.flatten(F.transform(F.split("text", "\n"), lambda line: F.split(line, SENTENCE_END)))
-    joined = F.split(F.replace("text", F.lit("\n"), F.lit(" ")), SENTENCE_END)
-    rows = rows.select("doc_id", F.when(look, _identifiers(by_line, known)).otherwise(none).alias("by_line"),
-                       F.when(look, _identifiers(joined, known)).otherwise(none).alias("joined"))
-    rows = rows.select("doc_id", "by_line", F.array_except("joined", "by_line").alias("more"), "joined")
-
-    def sequence(name: str) -> Column:
-        return F.array_join(F.transform(name, lambda i: F.concat(F.lit(","), i, F.lit(","))), "")
-
-    empty = F.size("by_line") + F.size("joined") == 0
-    found = F.when(empty, none).otherwise(F.array_union(_match(sequence("by_line")), _match(sequence("joined"))))
-    return rows.select("doc_id", F.array_join(found, ",").alias("licenses"),
-                       F.array_join(F.concat("by_line", "more"), ",").alias("sentence_ids"))
+    apart = F.split(F.regexp_replace("text", COPYRIGHT_LINE, "\n\n$0\n\n"), PARAGRAPH_END)
+    readings = {"by_line": by_line, "joined": sentences(F.col("text")), "paragraphs": F.flatten(F.transform(apart, sentences))}
+    rows = rows.select("doc_id", *[F.when(look, x).otherwise(none).alias(k) for k, x in readings.items()])
+    rows = rows.select("doc_id", *[_identifiers(k, known).alias(k) for k in readings])
+
+    def found(places: Column | str) -> Column:
+        return _match(F.array_join(F.transform(places, lambda p: F.concat(F.lit(","), p["id"], F.lit(","))), ""))
+
+    merged = F.array_sort(F.array_distinct(F.concat(*readings)))
+    rows = rows.select("doc_id", *readings, merged.alias("merged"), *[F.transform(k, lambda p: p["id"]).alias(f"{k}_ids") for k in readings])
+    # licences of the merged sequence, first those that the line reading shows alone, then the joined one
+    order = F.array_union(F.array_union(found("by_line"), found("joined")), found("merged"))
+    more = F.array_except(F.array_union("joined_ids", "paragraphs_ids"), "by_line_ids")
+    return rows.select("doc_id", F.array_join(F.when(F.size("merged") == 0, none).otherwise(
+        F.array_intersect(order, found("merged"))), ",").alias("licenses"),
+        F.array_join(F.concat("by_line_ids", more), ",").alias("sentence_ids"))

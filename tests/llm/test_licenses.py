@@ -69,3 +69,37 @@ def test_query_matches_the_plain_form_and_its_sql(spark):
 def test_no_python_on_the_path(spark):
     plan = queries.op3_license_scan(spark, SF_CHECK)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+BSD = """Copyright (c) 2024, Example Holder
+All rights reserved
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above
+   copyright notice, this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+ENDORSE = """3. Neither the name of the copyright holder nor the names of its contributors may
+   be used to endorse or promote products derived from this software without specific prior written permission.
+"""
+GPL = """ * Some program
+ * Copyright (C) 2024  Some Author
+ *
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+"""
+NOTICES = {1: ("MIT License\n\nCopyright (c) 2024 X\n\n" + MIT, "MIT"), 2: ("Copyright 2024 X\n" + MIT, "MIT"),
+           3: (BSD, "BSD-2-Clause"), 4: (BSD + ENDORSE, "BSD-3-Clause"), 5: (GPL, "GPL-3.0-or-later"),
+           6: (GPL.replace(" *\n", ""), "GPL-3.0-or-later"), 7: ("Intro\n\n" + GPL.replace(" * ", "    ").replace(" *\n", "\n"), "GPL-3.0-or-later"),
+           8: (("MIT License\n\nCopyright (c) 2024 X\n\n" + MIT).replace("\n", "\r\n"), "MIT"),
+           9: (GPL + "\n" + BSD + ENDORSE + "\nMIT License\n\nCopyright (c) 2024 X\n\n" + MIT, "BSD-3-Clause,GPL-3.0-or-later,MIT")}
+
+
+def test_whole_notices_under_copyright_lines(spark, documents):  # noqa: F811
+    got = licenses.scan(documents([(i, t) for i, (t, _) in NOTICES.items()])).collect()
+    assert {r["doc_id"]: ",".join(sorted(r["licenses"].split(","))) for r in got} == {i: want for i, (_, want) in NOTICES.items()}
