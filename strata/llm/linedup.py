@@ -7,7 +7,12 @@ fingerprint.  Windows depend on their lines alone, so two documents that share
 a run of ``window_words`` words share a fingerprint (a line that long is always
 one).  Every occurrence of a fingerprint is joined with its first occurrence in
 (id, position) order, the match is extended line by line in both directions,
-and the later run is deleted.  The earliest copy of a line is never deleted.
+and the later run is deleted.  A fingerprint may stand alone in an earlier
+document than the run around it, so every window that holds a repeated
+fingerprint is also joined as a whole with its own first occurrence; windows
+reach ``window_words`` words forward from every line and back from every line,
+so they cover any repeated run of that length.  The earliest copy of a line is
+never deleted.
 """
 
 from __future__ import annotations
@@ -77,6 +82,40 @@ def extend(own: list[int], other: list[int], at: int, end: int, there: int) -> t
     return lo, hi
 
 
+def windows(sizes: list[int], marks: list[tuple[int, int]], window_words: int = WINDOW_WORDS) -> list[tuple[int, int]]:
+    """``(first line, last line)`` of the least runs of ``window_words`` words from and up to every line that hold a mark."""
+    from bisect import bisect_left
+
+    sums = [0]
+    for n in sizes:
+        sums.append(sums[-1] + n)
+    out = set()
+    for i in range(len(sizes)):
+        end = bisect_left(sums, sums[i] + window_words)
+        if end < len(sums):
+            out.add((i, end - 1))
+    at = 0
+    for j in range(len(sizes)):
+        while at < j and sums[j + 1] - sums[at + 1] >= window_words:
+            at += 1
+        if sums[j + 1] - sums[at] >= window_words:
+            out.add((at, j))
+    marks = sorted(marks)
+    starts = [m[0] for m in marks]
+    held = lambda lo, hi: (k := bisect_left(starts, lo)) < len(marks) and marks[k][1] <= hi  # noqa: E731  ends rise with starts
+    return sorted(w for w in out if held(*w))
+
+
+def _merge(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    merged: list[list[int]] = []
+    for lo, hi in sorted(runs):
+        if merged and lo <= merged[-1][1] + 1:
+            merged[-1][1] = max(merged[-1][1], hi)
+        else:
+            merged.append([lo, hi])
+    return [(lo, hi) for lo, hi in merged]
+
+
 def _runs(own, numbers, other, marks):
     """Merged ``(from, to)`` line numbers that the marks' matches cover."""
     found, done = [], {}
@@ -87,13 +126,7 @@ def _runs(own, numbers, other, marks):
         if run:
             found.append(run)
             done[there - at] = run[1]
-    merged: list[list[int]] = []
-    for lo, hi in sorted(found):
-        if merged and lo <= merged[-1][1] + 1:
-            merged[-1][1] = max(merged[-1][1], hi)
-        else:
-            merged.append([lo, hi])
-    return [(numbers[lo], numbers[hi]) for lo, hi in merged]
+    return [(numbers[lo], numbers[hi]) for lo, hi in _merge(found)]
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -116,12 +149,12 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             marks = winnow([t for _, t, _ in lines], [n for _, _, n in lines], gram_words, window_words)
             if marks:
                 hashes = [xxh3_64_intdigest(t) - (1 << 63) for _, t, _ in lines]
-                yield i, text_hash, doc, hashes, [n for n, _, _ in lines], marks
+                yield i, text_hash, doc, hashes, [n for n, _, _ in lines], [n for _, _, n in lines], marks
 
         return one
 
     lines = materialise(
-        map_rows(rows, make, f"id {id_type}, text_hash long, doc string, hashes array<long>, numbers array<int>, "
+        map_rows(rows, make, f"id {id_type}, text_hash long, doc string, hashes array<long>, numbers array<int>, sizes array<int>, "
                              "marks array<struct<at:int,end:int,gram:binary>>", batch_rows=2_000), "lines")
     grams = lines.select("id", "text_hash", "doc", F.explode("marks").alias("m")).select("id", "text_hash", "doc", "m.*")
     place = F.struct(F.isnull("id").alias("none"), "id", "text_hash", "at", "doc")
@@ -146,8 +179,38 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
         return one
 
-    found = map_rows(matched, make_runs, "doc string, runs array<struct<lo:int,hi:int>>", batch_rows=2_000)
-    return found.groupBy("doc").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("runs")))).alias("runs"))
+    run_schema = "doc string, runs array<struct<lo:int,hi:int>>"
+    found = map_rows(matched, make_runs, run_schema, batch_rows=2_000)
+
+    # whole windows around the repeated fingerprints
+    held = grams.select("gram", "doc", "at", "end").join(first.select("gram").hint("merge"), "gram").groupBy("doc").agg(
+        F.collect_set(F.struct("at", "end")).alias("held"))
+    around = once.select("id", "text_hash", "doc", "hashes", "numbers", "sizes").join(held.hint("merge"), "doc").select(
+        "id", "text_hash", "doc", "hashes", "numbers", "sizes", "held")
+
+    def make_windows():
+        from array import array
+
+        from xxhash import xxh3_128_digest
+
+        def one(i, text_hash, doc, hashes, numbers, sizes, held):
+            for lo, hi in windows(sizes, [(m["at"], m["end"]) for m in held], window_words):
+                yield i, text_hash, doc, lo, numbers[lo], numbers[hi], xxh3_128_digest(array("q", hashes[lo:hi + 1]).tobytes())
+
+        return one
+
+    whole = materialise(map_rows(around, make_windows, f"id {id_type}, text_hash long, doc string, at int, lo int, hi int, "
+                                                       "lines binary"), "windows")
+    earliest = whole.groupBy("lines").agg(F.min(place).alias("p"), F.count("*").alias("n")).where("n > 1").select(
+        "lines", F.col("p.doc").alias("doc0"), F.col("p.at").alias("at0"))
+    later = whole.join(earliest.hint("merge"), "lines").where((F.col("doc") != F.col("doc0")) | (F.col("at") != F.col("at0")))
+    cut = later.groupBy("doc").agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
+
+    def make_merged():
+        return lambda doc, runs: [(doc, _merge([(r["lo"], r["hi"]) for r in runs]))]
+
+    every = found.union(cut).groupBy("doc").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    return map_rows(every, make_merged, run_schema, batch_rows=2_000)
 
 
 def _doc(id_column: Column, text_hash: Column) -> Column:

@@ -61,3 +61,17 @@ def test_edges(spark, documents):
     got = {(r["doc_id"], r["text"]) for r in out.collect()}
     assert (1, None) in got and (70, "") in got and (9, "word " * 3000) in got
     assert linedup.drop_repeated_runs(docs.limit(0)).count() == 0
+
+
+def test_long_repeats_around_a_line_known_from_earlier_go_whole(spark, documents):
+    rng = random.Random(6)
+    rows = []
+    for k in range(0, 400, 10):  # which gram a window picks depends on its hash
+        w, x, a, y, z = (sentence(rng, n) for n in (12, 20, 30, 20, 12))
+        own = lambda *lines: "\n".join([sentence(rng, 9), *lines, sentence(rng, 9)])
+        rows += [(k, own(a)), (k + 1, own(x, a, y)), (k + 2, own(x, a, y)), (k + 3, own(w, x, a, y, z)), (k + 4, own(w, x, a, y, z))]
+    got = {r["doc_id"]: r["text"] for r in linedup.drop_repeated_runs(documents(rows)).collect()}
+    for i, text in rows:
+        lines = text.split("\n")
+        want = {2: [lines[0], lines[-1]], 3: [*lines[:2], *lines[-2:]], 4: [lines[0], lines[-1]]}.get(i % 10, lines)
+        assert got[i].split("\n") == want, i
