@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, langid, licenses, linedup, lm, packing, quality, secrets, simhash, warc
+from strata.llm import decontam, htmltext, langid, licenses, linedup, lm, packing, quality, secrets, simhash, variants, warc
 from strata.llm.common import table
 from strata.llm.oracle import ORACLE  # noqa: F401
 
@@ -67,6 +67,15 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_best_fit_packing, op3_license_scan, op4_benchmark_decontamination, op5_language_id, op6_line_dedup,
-    op7_simhash, op8_secret_scan, op9_quality_rules, op10_lm_scoring)}
+    op7_simhash, op8_secret_scan, op9_quality_rules, op10_lm_scoring,
+    op11_html_extraction, op12_spelling_variants)}
