@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, htmltext, langid, licenses, linedup, lm, packing, quality, secrets, simhash, variants, warc
+from strata.llm import alignment, decontam, htmltext, langid, licenses, linedup, lm, packing, quality, secrets, simhash, variants, warc
 from strata.llm.common import table
 from strata.llm.oracle import ORACLE  # noqa: F401
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def vocab_path(name: str = TOKENIZER) -> str:
@@ -75,7 +75,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_corpus(table(spark, sf_dir, "documents"), vocab_path(), vocab_path(PIECES))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_best_fit_packing, op3_license_scan, op4_benchmark_decontamination, op5_language_id, op6_line_dedup,
     op7_simhash, op8_secret_scan, op9_quality_rules, op10_lm_scoring,
-    op11_html_extraction, op12_spelling_variants)}
+    op11_html_extraction, op12_spelling_variants, op13_tokenizer_alignment)}
