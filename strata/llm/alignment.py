@@ -44,9 +44,9 @@ from strata.llm.common import arrow_schema, col, map_arrow, materialise, record_
 #: Distinct links of the documents of a block.
 BLOCK_LINKS = 1_000_000
 #: Chunks that a task remembers (twice as many at most), and the longest ones it does.
-HELD_CHUNKS, HELD_LENGTH = 150_000, 48
-#: Characters whose chunks are encoded in one call.
-BATCH_CHARS = 2_000_000
+HELD_CHUNKS, HELD_LENGTH = 100_000, 48
+#: Characters of the texts that are looked up together, and chunks that are encoded in one call.
+BATCH_CHARS, ENCODED = 500_000, 2_000
 
 _SPACE = "▁"
 _CUT = re.compile(r"(?<=\S)(?= )")
@@ -163,8 +163,8 @@ class Aligner:
         new = set().union(*(set(parts).difference(known) for parts in cut))
         known.update((c, old[c]) for c in new.intersection(old))
         new = [c for c in new if c not in known]
-        if new:
-            known.update(zip(new, self._encode(new)))
+        for at in range(0, len(new), ENCODED):
+            known.update(zip(new[at:at + ENCODED], self._encode(new[at:at + ENCODED])))
         for parts in cut:
             entries = list(map(known.__getitem__, parts))
             yield entries if entries and all(entries) else None

@@ -47,7 +47,7 @@ FORM_RATIO = 2
 GROUPS = 16
 STEPS = (2, 4, 7, 10, 13, 17)
 #: Words of a cell, and queries of a block, that one task takes at a time.
-CELL_WORDS = 30_000
+CELL_WORDS = 20_000
 #: Distinct words that a task counts before it hands them on.
 HELD_WORDS = 200_000
 #: Branches that the search in a task follows at a time.
@@ -136,9 +136,12 @@ def _moves(levels: int, first: bool = False) -> list[tuple[list[int], int, int]]
 def _reached(queries: DataFrame, lo: int, hi: int) -> DataFrame:
     """``queries`` moved on from trie level ``lo`` to ``hi``: one row a branch within the budget."""
     moves = F.array(*[F.struct(F.array(*map(F.lit, m)).alias("m"), F.lit(s).alias("s"), F.lit(d).alias("d")) for m, s, d in _moves(hi - lo, lo == 0)])
-    grown = queries.withColumn("move", F.explode(moves)).where("surplus >= move.s and deficit >= move.d")
-    part = F.zip_with(F.slice("vec", lo + 1, hi - lo), "move.m", lambda a, b: a + b)
-    return grown.withColumn("part", part).where(~F.exists("part", lambda x: x < 0)).select(
+    counts = F.slice("vec", lo + 1, hi - lo)
+    # only the moves that the budget and the counts allow become rows
+    allowed = F.filter(moves, lambda m: (m["s"] <= F.col("surplus")) & (m["d"] <= F.col("deficit"))
+                       & ~F.exists(F.zip_with(counts, m["m"], lambda a, b: a + b), lambda x: x < 0))
+    grown = queries.withColumn("move", F.explode(allowed))
+    return grown.withColumn("part", F.zip_with(counts, "move.m", lambda a, b: a + b)).select(
         "word", "vec", F.concat("path", "part").alias("path"),
         (F.col("surplus") - F.col("move.s")).alias("surplus"), (F.col("deficit") - F.col("move.d")).alias("deficit"))
 
