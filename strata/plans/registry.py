@@ -16,7 +16,7 @@ from strata.functions import cleaning as c
 from strata.plans import gold, pipeline, quality, silver
 from strata.plans.layers import Layers
 from strata.session import scratch_path
-from strata.sources import csv_ingest
+from strata.sources import csv_ingest, fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -217,10 +217,20 @@ def csv_ingest_roundtrip(layers: Layers) -> DataFrame:
 
 @query
 def bronze_empty_to_null(layers: Layers) -> DataFrame:
-    """Customer extract: empty text stays '', ``\\N`` is NULL, empty dates become NULL."""
+    """Customer extract: empty text stays '', ``\\N`` is NULL, empty dates and numbers become NULL."""
     return _roundtrip(layers, "crm_cust_info")
 
 
+@query
+def bronze_malformed_rows(layers: Layers) -> DataFrame:
+    """A customer extract with row ends and quotes inside fields, NULL words, empty values, short and long rows:
+    every row as loaded, with its source text where the number of fields is wrong."""
+    name = "crm_cust_info"
+    path = csv_ingest.write_lines(fixtures.customer_lines(layers.spark, layers.sf_dir), scratch_path(layers.spark, "sources"), name)
+    raw = csv_ingest.read_source_csv(layers.spark, path, csv_ingest.SOURCES[name][1])
+    return csv_ingest.to_bronze(name, raw, keep=(csv_ingest.MALFORMED,)).withColumnRenamed(csv_ingest.MALFORMED, "malformed_row")
+
+
 @query
 def bronze_parse_dmy_date(layers: Layers) -> DataFrame:
     """ERP customer extract with birth dates delivered as DD/MM/YYYY."""

@@ -1,28 +1,38 @@
 """CSV extracts -> typed bronze tables (the bronze load).
 
-Source files are comma separated, fields optionally enclosed in ``"`` (quotes
-inside are doubled), rows end in CRLF (``line_sep`` for files with another line
-end), one header row is skipped; columns are bound by position.
-Field semantics follow a MySQL ``LOAD DATA`` load:
+Source files are comma separated, fields optionally enclosed in ``"``, rows end
+in CRLF (``line_sep`` for files with another line end), one header row is
+skipped; columns are bound by position.  Field semantics follow a MySQL
+``LOAD DATA`` load with an enclosing and an escape character:
 
-* an empty field is the empty string ``''``; ``\\N`` is NULL;
-* date and timestamp columns go through ``NULLIF(x, '')`` before conversion;
+* an empty field is the empty string ``''``; ``\\N`` and an unquoted ``NULL`` are NULL;
+* inside quotes a comma or row end belongs to the field, and a quote is doubled,
+  escaped by a backslash, or not followed by a comma or row end;
+* backslash sequences are decoded everywhere;
+* date, timestamp and number columns go through ``NULLIF(x, '')`` before conversion;
 * the ERP birth date arrives as ``DD/MM/YYYY`` (one or two digit day/month);
 * CRM sales dates stay integers ``yyyymmdd`` in bronze; an ISO ``yyyy-MM-dd``
   value is accepted and stored as the same integer;
 * a value that does not convert to its column type becomes NULL; the
   conversions that failed are counted per column by ``conversion_failures``;
 * fields that a short row lacks are NULL and surplus fields are dropped; both
-  kinds of rows are counted (``malformed_rows``).  A CRLF inside quotes still
-  ends the row; both halves are then counted as malformed.
+  kinds of rows are counted (``malformed_rows``).
 
-Reading is split by file blocks (``spark.sql.files.maxPartitionBytes``) and
-is a single narrow stage per table: no shuffle.
+Files are read in splits (``spark.sql.files.maxPartitionBytes``) although a row
+end may lie inside quotes: a first pass reports for every split in which state
+it would end after either start state, these answers (two bits a split with quotes) are
+combined in file order, and the second pass cuts rows knowing each split's start.
+Only rows that cross a split are shuffled.  A quote that never closes makes
+the rest of its file one (malformed) row, which one task must hold.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from bisect import bisect_left
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,10 +40,13 @@ from strata.functions.cleaning import empty_to_null, iso_date_to_yyyymmdd, parse
 
 NULL_TOKEN = "\\N"
 CRLF = "\r\n"
+NULL_WORD = "NULL"
 MALFORMED = "_malformed"
+# What a row is read as, and the states of the reader between two of these.
+_TOKENS = r"(\\[\s\S]|[\\\",]|[^\\\",]+)"
+_START, _PLAIN, _QUOTED, _QUOTE_SEEN = range(4)
 # Escape sequences of LOAD DATA (a code that is not listed stands for itself).
 ESCAPES = [("n", "\n"), ("t", "\t"), ("r", "\r"), ("0", "\0"), ("b", "\b"), ("Z", "\x1a")]
-_BACKSLASH = "\ue000"  # stands for a decoded backslash meanwhile
 
 # Delivered file per bronze table and its positional column list.
 SOURCES: dict[str, tuple[str, list[str]]] = {
@@ -74,38 +87,164 @@ def bronze_schema(name: str) -> T.StructType:
 
 def _unescape(value: Column) -> Column:
     """Backslash sequences as LOAD DATA decodes them (``\\n`` is a line feed, ``\\x`` any other ``x``)."""
-    v = F.replace(value, F.lit("\\\\"), F.lit(_BACKSLASH))
-    for code, char in ESCAPES:
-        v = F.replace(v, F.lit("\\" + code), F.lit(char))
-    v = F.replace(F.regexp_replace(v, r"\\(.)", "$1"), F.lit(_BACKSLASH), F.lit("\\"))
-    return F.when(F.contains(value, F.lit("\\")), v).otherwise(value)
+    decode = F.create_map(*[F.lit(x) for code, char in ESCAPES for x in ("\\" + code, char)])
+    parts = F.transform(F.regexp_extract_all(value, F.lit(r"(\\[\s\S]|\\|[^\\]+)"), 1), lambda t: F.when(
+        t.startswith("\\") & (F.length(t) == 2), F.coalesce(F.try_element_at(decode, t), F.substring(t, 2, 1))).otherwise(t))
+    return F.when(F.contains(value, F.lit("\\")), F.array_join(parts, "")).otherwise(value)
+
+
+def _next_state(state: Column, token: Column) -> Column:
+    """The reader's state after a token: quotes open at a field's start and close before a comma or row end."""
+    quote, comma = token == '"', token == ","
+    return (F.when(state == _START, F.when(quote, _QUOTED).when(comma, _START).otherwise(_PLAIN))
+            .when(state == _PLAIN, F.when(comma, _START).otherwise(_PLAIN))
+            .when(state == _QUOTED, F.when(quote, _QUOTE_SEEN).otherwise(_QUOTED))
+            .otherwise(F.when(comma, _START).otherwise(_QUOTED)))
+
+
+def _tokens(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(_TOKENS), 1)
+
+
+def _ends_quoted(text: Column, start: int) -> Column:
+    """Whether a quoted field is open at the end of ``text`` when it is read from state ``start``."""
+    return F.aggregate(_tokens(text), F.lit(start), _next_state) == _QUOTED
+
+
+def _fields(row: Column) -> Column:
+    """The fields of a row: array of ``(value, quoted)``, values without their quotes, backslashes not yet decoded."""
+    start = F.struct(F.array().cast("array<struct<value:string,quoted:boolean>>").alias("done"), F.lit("").alias("value"),
+                     F.lit(False).alias("quoted"), F.lit(_START).alias("state"))
+
+    def closed(acc: Column) -> Column:
+        return F.concat(acc["done"], F.array(F.struct(acc["value"].alias("value"), acc["quoted"].alias("quoted"))))
+
+    def step(acc: Column, token: Column) -> Column:
+        state = acc["state"]
+        after = _next_state(state, token)
+        ends = (token == ",") & (after == _START)
+        silent = ((state == _START) | (state == _QUOTED)) & (token == '"')  # opens or may close the field
+        lone = (state == _QUOTE_SEEN) & (token != '"')                     # it did not: that quote was text
+        return F.when(ends, F.struct(closed(acc).alias("done"), F.lit("").alias("value"), F.lit(False).alias("quoted"), after.alias("state"))) \
+            .otherwise(F.struct(acc["done"].alias("done"),
+                                F.when(silent, acc["value"]).when(lone, F.concat(acc["value"], F.lit('"'), token))
+                                .otherwise(F.concat(acc["value"], token)).alias("value"),
+                                (acc["quoted"] | (after == _QUOTED)).alias("quoted"), after.alias("state")))
+
+    parsed = F.aggregate(_tokens(row), start, step, closed)
+    plain = F.transform(F.split(row, ","), lambda v: F.struct(v.alias("value"), F.lit(False).alias("quoted")))
+    return F.when(F.contains(row, F.lit('"')) | F.contains(row, F.lit("\\")), parsed).otherwise(plain)
+
+
+def _pieces(spark: SparkSession, path: str, line_sep: str) -> DataFrame:
+    """What lies between two row ends, quoted or not, with its split and the state it ends in after either start state."""
+    text = spark.read.option("lineSep", line_sep).text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"))
+    has_quote = F.contains("value", F.lit('"'))
+    return text.select("value", "file", "split",
+                       F.when(has_quote, _ends_quoted(F.col("value"), _START)).otherwise(False).alias("opens"),
+                       F.when(has_quote, _ends_quoted(F.col("value"), _QUOTED)).otherwise(True).alias("stays"))
+
+
+def _split_starts(pieces: DataFrame) -> dict[str, tuple[list[int], list[bool]]]:
+    """Per file its splits (byte offsets) and whether each starts inside quotes.
+
+    Every split is read from both start states at once and answers with two
+    bits; one row a split reaches the driver.
+    """
+    turns = pieces.withColumn("at", F.monotonically_increasing_id()).groupBy("file", "split").agg(
+        F.sort_array(F.collect_list(F.when(F.col("opens") | ~F.col("stays"), F.struct("at", "opens", "stays")))).alias("turns"))
+
+    def after(start: bool) -> Column:
+        return F.aggregate("turns", F.lit(start), lambda quoted, t: F.when(quoted, t["stays"]).otherwise(t["opens"]))
+
+    starts: dict[str, tuple[list[int], list[bool]]] = {}
+    quoted = False
+    for r in turns.select("file", "split", after(False).alias("opens"), after(True).alias("stays")).orderBy("file", "split").collect():
+        if r["file"] not in starts:
+            quoted = False
+        splits, states = starts.setdefault(r["file"], ([], []))
+        splits.append(r["split"])
+        states.append(quoted)
+        quoted = r["stays"] if quoted else r["opens"]
+    return starts
+
+
+def read_rows(spark: SparkSession, path: str, line_sep: str = CRLF) -> DataFrame:
+    """The data rows of CSV files as text (column ``row``), without each file's header row."""
+    pieces = _pieces(spark, path, line_sep)
+    starts = _split_starts(pieces)
+    out = T.StructType.fromDDL("row string, file string, split long, opens boolean")
+    schema = pa.schema([("row", pa.string()), ("file", pa.string()), ("split", pa.int64()), ("opens", pa.bool_())])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, split, quoted, held, crossed, header = None, -1, False, [], False, False
+
+        def parts(rows: list, last: tuple | None = None) -> pa.RecordBatch:
+            # whole rows carry no file; parts of rows that cross a split say whether they begin one
+            rows = [(r, None, None, None) if isinstance(r, str) else r for r in [*rows, *([last] if last else [])]]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)] if rows else
+                                              [pa.array([], f.type) for f in schema], schema=schema)
+
+        def rest() -> tuple | None:
+            # what is open at the end of a split goes on in the next one (a header that does is NULL)
+            return (None if header else line_sep.join(held), file, split, not crossed) if held else None
+
+        for batch in batches:
+            rows: list = []
+            for value, f, at, opens, stays in zip(*(c.to_pylist() for c in batch.columns)):
+                if (f, at) != (file, split):
+                    if (last := rest()) is not None:
+                        rows.append(last)
+                    splits, states = starts.get(f, ([], []))
+                    k = bisect_left(splits, at)
+                    if k == len(splits) or splits[k] != at:
+                        raise RuntimeError(f"{f} was split otherwise in the first pass; run the load again")
+                    file, split, quoted, held, crossed, header = f, at, states[k], [], states[k], at == 0
+                if quoted or opens:
+                    held.append(value)
+                    quoted = stays if quoted else opens
+                    if quoted:
+                        continue
+                    value = line_sep.join(held)
+                    held = []
+                if crossed:
+                    rows.append((value, file, split, False))
+                elif not header:
+                    rows.append(value)
+                crossed = header = False
+            yield parts(rows)
+        if (last := rest()) is not None:
+            yield parts([], last)
+
+    read = pieces.mapInArrow(cut, out)
+    if not any(any(states) for _, states in starts.values()):
+        # no row crosses a split; one that is open at the end of its file ends there
+        return read.where("row is not null").select("row")
+    part = read.where("file is not null").select(
+        "*", F.sum(F.col("opens").cast("long")).over(Window.partitionBy("file").orderBy("split", "opens")).alias("number"))
+    # the end of the row before comes first in its split, the beginning of the next one last
+    joined = part.groupBy("file", "number").agg(F.sort_array(F.collect_list(F.struct("split", "opens", "row"))).alias("p")).where(
+        ~F.exists("p", lambda p: p["row"].isNull())).select(F.array_join(F.col("p.row"), line_sep).alias("row"))
+    return read.where("file is null").select("row").unionByName(joined)
 
 
 def read_source_csv(spark: SparkSession, path: str, columns: list[str], line_sep: str = CRLF) -> DataFrame:
     """Raw fields as strings with LOAD DATA semantics, plus ``MALFORMED``.
 
-    Empty -> ``''``, ``\\N`` -> NULL, fields that a short row lacks -> NULL.
+    Empty -> ``''``; ``\\N`` and unquoted ``NULL`` -> NULL; fields that a short row lacks -> NULL.
     ``MALFORMED`` holds the source text of rows with too few or too many fields
     (surplus fields are dropped), else NULL.
     """
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*columns, MALFORMED]])
-    raw = (spark.read.schema(schema)
-           .option("header", True)          # skip one row; columns bound by position
-           .option("enforceSchema", True)
-           .option("lineSep", line_sep)     # a line feed inside quotes does not end a row of a CRLF file
-           .option("quote", '"')
-           .option("escape", '"')           # doubled quotes; backslashes are decoded below
-           .option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", MALFORMED)
-           .option("columnPruning", False)  # whole rows are parsed, else short and long ones go unseen
-           .option("ignoreLeadingWhiteSpace", False)
-           .option("ignoreTrailingWhiteSpace", False)
-           .csv(path))
-    # Spark reads an unquoted empty field as NULL, like a field the row does not have
-    present = F.size(F.split(F.regexp_replace(MALFORMED, '"([^"]|"")*"', ""), ","))
-    return raw.select(*[
-        F.when(F.col(c).isNull() & (F.col(MALFORMED).isNull() | (present > i)), F.lit(""))
-        .when(F.col(c) != NULL_TOKEN, _unescape(F.col(c))).alias(c) for i, c in enumerate(columns)], MALFORMED)
+    rows = read_rows(spark, path, line_sep).select("row", _fields(F.col("row")).alias("fields"))
+
+    def field(i: int) -> Column:
+        f = F.get("fields", F.lit(i))
+        v = f["value"]
+        return F.when((v == NULL_TOKEN) | ((v == NULL_WORD) & ~f["quoted"]), F.lit(None)).otherwise(_unescape(v))
+
+    return rows.select(*[field(i).alias(c) for i, c in enumerate(columns)],
+                       F.when(F.size("fields") != len(columns), F.col("row")).alias(MALFORMED))
 
 
 def _convert(c: str, kind: str) -> Column:
@@ -124,10 +263,10 @@ def _convert(c: str, kind: str) -> Column:
     return v
 
 
-def to_bronze(name: str, raw: DataFrame) -> DataFrame:
-    """Typed bronze table from the raw string fields of its extract."""
+def to_bronze(name: str, raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed bronze table from the raw string fields of its extract, with the columns ``keep`` as they are."""
     types = BRONZE_TYPES[name]
-    return raw.select(*[_convert(c, types.get(c, "string")).alias(c) for c in SOURCES[name][1]])
+    return raw.select(*[_convert(c, types.get(c, "string")).alias(c) for c in SOURCES[name][1]], *keep)
 
 
 def conversion_failures(name: str, raw: DataFrame) -> DataFrame:
@@ -173,8 +312,11 @@ def _as_text(c: str, dtype: T.DataType, dmy: bool) -> Column:
         return F.coalesce(text, F.lit(""))            # missing dates are delivered empty
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
         return F.coalesce(F.date_format(v, "yyyy-MM-dd HH:mm:ss"), F.lit(""))
-    # NULL is written as \N, so backslashes of the text are doubled
-    return F.replace(v.cast("string"), F.lit("\\"), F.lit("\\\\"))
+    if isinstance(dtype, T.NumericType):
+        return F.coalesce(v.cast("string"), F.lit(""))  # missing numbers are delivered empty
+    # NULL is written as \N, so backslashes of the text are doubled and its word NULL is escaped
+    text = F.replace(v.cast("string"), F.lit("\\"), F.lit("\\\\"))
+    return F.when(text == NULL_WORD, F.lit("\\" + NULL_WORD)).otherwise(text)
 
 
 def write_source_csv(df: DataFrame, source_dir: str, name: str) -> str:
@@ -189,3 +331,14 @@ def write_source_csv(df: DataFrame, source_dir: str, name: str) -> str:
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)  # keep padding as delivered
      .csv(path))
     return path
+
+
+def write_lines(lines: DataFrame, source_dir: str, name: str) -> str:
+    """Write rows that are text already (one column) as the extract of ``name``, each file with its header row."""
+    rel, cols = SOURCES[name]
+    text = F.col(lines.columns[0])
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    path = f"{source_dir.rstrip('/')}/{rel}"
+    lines.select(F.when(first, F.concat(F.lit(",".join(cols) + CRLF), text)).otherwise(text).alias("line")) \
+        .write.mode("overwrite").option("lineSep", CRLF).text(path)
+    return path

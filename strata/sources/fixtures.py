@@ -20,9 +20,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -61,19 +58,20 @@ def crm_cust_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 7 == 0, F.concat(F.col("c_name"), F.lit("  "))).otherwise(F.col("c_name")).alias("cst_lastname"),
         _pick(k % 4, ["S", " m ", "M", None]).alias("cst_marital_status"),
         _pick(k % 5, ["F", "m ", "M", "", None]).alias("cst_gndr"),
-        F.date_add(F.lit("2020-01-01").cast("date"), ((k * 7) % 3000 + F.col("v") * 3000).cast("int"))
-        .alias("cst_create_date"),
+        # one customer in 83 has no first date
+        F.when((k % 83 != 1) | (F.col("v") == 1), F.date_add(
+            F.lit("2020-01-01").cast("date"), ((k * 7) % 3000 + F.col("v") * 3000).cast("int"))).alias("cst_create_date"),
     )
 
 
 def crm_prd_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice", "p_brand", "p_type")
     k = F.col("p_partkey")
     # one to three history versions per part
     p = p.withColumn("v", F.explode(F.sequence(F.lit(0), (k % 3).cast("int"))))
     v = F.col("v")
     start = F.date_add(F.lit("1993-01-01").cast("date"), (k % 300 + v * 1000).cast("int"))
-    key = F.concat(_pick(k % 3, ["CO-RF", "BI-MB", "AC-HE"]), F.lit("-P"), _pad(k))
+    key = F.concat(F.replace(_category_id(), F.lit("_"), F.lit("-")), F.lit("-P"), _pad(k))
     return p.select(
         F.when(k % 101 == 100, k * 10).otherwise(k * 10 + v).cast("bigint").alias("prd_id"),
         F.when(k % 29 == 28, F.translate(key, "-", "_")).otherwise(key).alias("prd_key"),
@@ -151,23 +149,57 @@ def erp_cust_az12(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# The ERP category master rows, indexed by p_partkey % 5.
-# (id, cat, subcat, maintenance); CL_CA has no products, AC_HE is missing,
-# one row has no id and one has no category on purpose.
-CATEGORY_ROWS = [
-    ("CO_RF", "Components", "Road Frames", "Yes"),
-    ("BI_MB", "Bikes", "Mountain Bikes", "Yes"),
-    ("CL_CA", "Clothing", "Caps", "No"),
-    (None, "Accessories", "Helmets", "No"),
-    ("XX_YY", None, "Unknown", "No"),
-]
+def _brand_number() -> Column:
+    return F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
+
+
+def _category_id() -> Column:
+    """Five characters: two of the part type, two digits of the brand (``EC_07``)."""
+    return F.concat(F.upper(F.substring("p_type", 1, 2)), F.lit("_"), F.lpad(_brand_number().cast("string"), 2, "0"))
 
 
 def erp_px_cat_g1v2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Category master: the distinct category rows the part table maps to."""
-    p = read_table(spark, sf_dir, "part").select((F.col("p_partkey") % 5).cast("int").alias("b"))
-    cols = ["id", "cat", "subcat", "maintenance"]
-    return p.select(*[_pick(F.col("b"), [r[i] for r in CATEGORY_ROWS]).alias(n) for i, n in enumerate(cols)]).distinct()
+    """Category master: one row for each type and brand of the parts.
+
+    Brands 7, 14, 21 are missing on purpose, brand 5 has no id, brand 10 no
+    category, and brands 11 and 22 are listed twice.
+    """
+    p = read_table(spark, sf_dir, "part").select("p_brand", "p_type", "p_size")
+    kinds = p.groupBy("p_brand", "p_type").agg(F.max("p_size").alias("size"))
+    n = _brand_number()
+    again = F.when(n % 11 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return kinds.where(n % 7 != 0).withColumn("v", F.explode(again)).select(
+        F.when(n != 5, _category_id()).alias("id"),
+        F.when(n != 10, F.initcap("p_type")).alias("cat"),
+        F.concat_ws(" ", F.initcap("p_type"), "p_brand").alias("subcat"),
+        F.when((F.col("size") >= 40) & (F.col("v") == 0), F.lit("Yes")).otherwise(F.lit("No")).alias("maintenance"))
+
+
+def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``line``: the customer extract as a source system might deliver it, each way to write a field planted
+    (row ends, quotes and commas inside quotes, escapes, NULL words, empty dates and numbers, short and long rows)."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    k, name, segment = F.col("c_custkey"), F.col("c_name"), F.col("c_mktsegment")
+    row = F.concat_ws(",", k.cast("string"), F.concat(F.lit("AW"), _pad(k)))
+
+    def line(*parts) -> Column:
+        return F.concat(row, *[x if isinstance(x, Column) else F.lit(x) for x in parts])
+
+    forms = [
+        line(",", name, ",", segment, ",M,F,2020-01-02"),
+        line(',"first\r\n', name, '",', segment, ",M,F,2020-01-02"),
+        line(',"', name, ' \\"Jr\\"","', segment, '",S,M,2021-02-03'),
+        line(',"""', name, '"", x",a\\tb\\\\c,S,M,2021-02-03'),
+        line(",", name, ',"NULL",NULL,\\N,2021-02-03'),
+        F.concat(F.lit(",AW"), _pad(k), F.lit(","), name, F.lit(","), segment, F.lit(",M,F,")),
+        line(",", name),
+        line(",", name, ",", segment, ",M,F,2020-01-02,surplus,\"and, more\""),
+        F.concat(F.lit("x"), row, F.lit(",5\" "), name, F.lit(",\"a \"b\" c\",M,\"\",2020-13-45")),
+    ]
+    pick = None
+    for i, form in enumerate(forms):
+        pick = F.when(k % len(forms) == i, form) if pick is None else pick.when(k % len(forms) == i, form)
+    return c.select(pick.alias("line"))
 
 
 BRONZE = {
@@ -178,8 +210,3 @@ BRONZE = {
     "erp_cust_az12": erp_cust_az12,
     "erp_px_cat_g1v2": erp_px_cat_g1v2,
 }
-
-
-def bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All six bronze extracts, lazily."""
-    return {name: fn(spark, sf_dir) for name, fn in BRONZE.items()}

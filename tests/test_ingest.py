@@ -94,3 +94,67 @@ def test_extract_roundtrip_property(spark, rows):
     csv_ingest.write_source_csv(df, folder, "erp_loc_a101")
     back = csv_ingest.read_bronze(spark, folder, "erp_loc_a101")
     assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
+
+
+def test_row_ends_inside_quotes_escapes_and_null_words(spark, tmp_folder):
+    _write(tmp_folder, "source_erp/PX_CAT_G1V2.csv",
+           '"ID\r\nnumber",CAT,SUBCAT,MAINTENANCE\r\n'
+           'A,"x\r\ny","a\\"b",NULL\r\n'
+           'B,"NULL",\\N,"\r\n\r\n"\r\n'
+           'C,5" pipe,"a "b" c","end\\\\"\r\n'
+           'D,\\\\,"",""""\r\n'
+           'E,"open\r\nto the end')
+    raw = csv_ingest.read_source_csv(spark, tmp_folder + "/source_erp/PX_CAT_G1V2.csv", ["a", "b", "c", "d"])
+    assert sorted(tuple(r) for r in raw.collect()) == [
+        ("A", "x\r\ny", 'a"b', None, None), ("B", "NULL", None, "\r\n\r\n", None), ("C", '5" pipe', 'a "b" c', "end\\", None),
+        ("D", "\\", "", '"', None), ("E", "open\r\nto the end", None, None, 'E,"open\r\nto the end')]
+
+
+def _brute_rows(text):
+    """Rows of a CSV text read character by character."""
+    rows, start, state, i = [], 0, "start", 0
+    while i < len(text):
+        c = text[i]
+        if state != "quoted" and text.startswith("\r\n", i):
+            rows.append(text[start:i])
+            start, state, i = i + 2, "start", i + 2
+            continue
+        if c == "\\" and i + 1 < len(text) and not text.startswith("\r\n", i + 1):
+            i, state = i + 2, "quoted" if state in ("quoted", "seen") else "plain"
+            continue
+        if state == "start":
+            state = "quoted" if c == '"' else "start" if c == "," else "plain"
+        elif state == "plain":
+            state = "start" if c == "," else "plain"
+        elif state == "quoted":
+            state = "seen" if c == '"' else "quoted"
+        else:
+            state = "start" if c == "," else "quoted"
+        i += 1
+    # a quote that never closes: the row lasts to the end, without the last row end
+    return rows + [text[start:].removesuffix("\r\n")] if start < len(text) else rows
+
+
+_FIELDS = st.one_of(st.text(st.sampled_from(list('ab"\\ ')), max_size=5),
+                    st.lists(st.sampled_from(["a", ",", "\r\n", '""', '\\"', "\\\\", "bcdefgh"]), max_size=6).map(
+                        lambda t: '"' + "".join(t) + '"'))
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(_FIELDS, min_size=1, max_size=4), min_size=1, max_size=12))
+def test_rows_are_the_same_however_files_are_split(spark, rows):
+    """A quote-aware reading of the whole text gives the rows that splits of a few bytes give."""
+    text = "head\r\n" + "".join(",".join(r) + "\r\n" for r in rows)
+    folder = scratch_path(spark, "splits")
+    _write(folder, "rows.csv", text)
+    _write(folder, "more.csv", 'h\r\nplain,"x\r\ny"\r\n')
+    expected = sorted(_brute_rows(text)[1:] + ['plain,"x\r\ny"'])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        for size in (7, 50):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            assert sorted(r[0] for r in csv_ingest.read_rows(spark, folder).collect()) == expected
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
