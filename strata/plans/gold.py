@@ -30,6 +30,12 @@ PRODUCT_COLUMNS = ["product_key", "product_id", "product_number", "product_name"
 FACT_COLUMNS = ["order_number", "product_key", "customer_key", "order_date", "shipping_date", "due_date", "sales",
                 "sls_quantity", "price"]
 
+# Names and values of the sales written by outcome.
+OUTCOME, REASON, ONCE = "outcome", "reason", "counts_once"
+ACCEPTED, REJECTED = "accepted", "rejected"
+REJECTED_COLUMNS = ["order_number", "sls_prd_key", "sls_cust_id", "order_date", "shipping_date", "due_date", "sales", "sls_quantity",
+                    "price", REASON]
+
 
 def customers_joined(cust: DataFrame, az12: DataFrame, loc: DataFrame) -> DataFrame:
     """CRM customers with ERP demographics and location (two left joins on the business key)."""
@@ -106,6 +112,47 @@ def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> D
     )
 
 
+def _with_first(dim: DataFrame, key: str, by: str, flag: str) -> DataFrame:
+    """``key`` and ``by`` of the rows with a business key, and whether the surrogate key is the first of its business key."""
+    rows = dim.select(key, by).where(F.col(by).isNotNull())
+    first = rows.groupBy(by).agg(F.min(key).alias("_first"))
+    return rows.join(first, by).select(key, by, (F.col(key) == F.col("_first")).alias(flag))
+
+
+def fact_sales_outcomes(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+    """Every sale in one pass: the rows of ``fact_sales`` as accepted, and each sale without a product
+    or customer once as rejected, with its reason.
+
+    Left joins keep the unmatched sales; a sale that matches several versions of
+    a product but no customer (or the reverse) is rejected once, at the first of
+    them.  ``counts_once`` is true for one row a sale, so accepted and rejected
+    rows with it add up to the sales.  Rejected rows keep the keys that were looked up.
+    """
+    product = _with_first(products, "product_key", "product_number", "_first_product")
+    customer = _with_first(customers, "customer_key", "customer_id", "_first_customer")
+    j = sales.join(product, F.col("sls_prd_key") == F.col("product_number"), "left") \
+        .join(customer, F.col("sls_cust_id") == F.col("customer_id"), "left")
+    found_p, found_c = F.col("product_key").isNotNull(), F.col("customer_key").isNotNull()
+    first = F.coalesce("_first_product", F.lit(True)) & F.coalesce("_first_customer", F.lit(True))
+    accepted = found_p & found_c
+    return j.where(accepted | first).select(
+        F.col("sls_ord_num").alias("order_number"),
+        F.when(accepted, F.col("product_key")).alias("product_key"),
+        F.when(accepted, F.col("customer_key")).alias("customer_key"),
+        F.col("sls_order_dt").alias("order_date"),
+        F.col("sls_ship_dt").alias("shipping_date"),
+        F.col("sls_due_dt").alias("due_date"),
+        F.col("sls_sales").alias("sales"),
+        "sls_quantity",
+        F.col("sls_price").alias("price"),
+        F.when(~accepted, F.col("sls_prd_key")).alias("sls_prd_key"),
+        F.when(~accepted, F.col("sls_cust_id")).alias("sls_cust_id"),
+        F.when(accepted, F.lit(None)).when(found_p, F.lit("no customer")).when(found_c, F.lit("no product"))
+        .otherwise(F.lit("no product, no customer")).alias(REASON),
+        first.alias(ONCE),
+        F.when(accepted, F.lit(ACCEPTED)).otherwise(F.lit(REJECTED)).alias(OUTCOME))
+
+
 def fact_sales_unkeyed(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """The fact's rows without the surrogate keys: the same joins on business keys, so the
     same rows (including the fan-out to every product version), for audits that do not use keys."""

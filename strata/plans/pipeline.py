@@ -1,73 +1,130 @@
 """The load pipeline: sources -> bronze -> silver -> gold, each a full refresh.
 
-Every layer table is written with ``mode("overwrite")`` under
-``{warehouse}/{layer}/{table}`` (parquet), so a rerun after a failure or an
-executor loss simply rebuilds the table.  An overwrite removes the old table
-first: after a failed run the table is incomplete or absent until the rerun.
-The tables of one layer are independent, so their jobs
-are submitted together from a small thread pool.  Silver tables get the audit
-column ``dwh_create_date`` at write time.  Each step returns a report DataFrame
-``(table_name, rows_loaded, seconds)``; the seconds cover building and writing
-the table, the counts are read back from the written files.
-``register_views`` names the written tables for SQL users.
+A load writes its tables to fresh version folders, reads each back and compares
+it with what was observed while it was written (row count and a digest that does
+not depend on row order), and only then switches readers to the new versions
+(``strata.plans.versions``): a reader never finds a table missing or half
+written, and a load that fails changes nothing.  Scratch folders of a load are
+removed at its end.
+
+The tables of one layer are independent, so their jobs are submitted together
+from a small thread pool.  Silver tables get the audit column
+``dwh_create_date`` at write time.  Each step returns a report DataFrame
+``(table_name, rows_loaded, seconds, ...)``; the seconds cover building and
+writing the table.  ``register_views`` names the published tables for SQL users.
+
+Gold writes the sales once, in one pass, partitioned by outcome: ``fact_sales``
+is the accepted part, ``rejected_sales`` the sales without a product or customer,
+each with its reason.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-
+from contextvars import copy_context
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.cleaning import NA, lost_amounts
-from strata.plans import gold, quality, silver
+from strata.plans import gold, quality, silver, versions
 from strata.plans.layers import Layers
+from strata.session import scratch_removed
 from strata.sources import csv_ingest
 
 LAYER_TABLES = list(csv_ingest.SOURCES)
-GOLD_TABLES = ["dim_customers", "dim_products", "fact_sales"]
+#: Tables that readers see in gold; the last two are parts of the written sales.
+GOLD_TABLES = ["dim_customers", "dim_products", "fact_sales", "rejected_sales"]
+SALES = "sales"
+_PARTS = {"fact_sales": (gold.ACCEPTED, gold.FACT_COLUMNS), "rejected_sales": (gold.REJECTED, gold.REJECTED_COLUMNS)}
 
 
-def table_path(warehouse_dir: str, layer: str, name: str) -> str:
-    return f"{warehouse_dir.rstrip('/')}/{layer}/{name}"
+class LoadError(RuntimeError):
+    """A written table differs from what was observed while it was written; nothing was published."""
 
 
-def read_layer(spark: SparkSession, warehouse_dir: str, layer: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(warehouse_dir, layer, name))
+def table_path(spark: SparkSession, warehouse_dir: str, layer: str, name: str) -> str:
+    """The folder of a table's published version."""
+    version = versions.published(spark, warehouse_dir, layer).get(name)
+    if version is None:
+        raise FileNotFoundError(f"{layer}.{name} has not been published in {warehouse_dir}")
+    return versions.version_path(warehouse_dir, layer, name, version)
 
 
-def _write(build: Callable[[], DataFrame], path: str, partition_by: Sequence[str] = ()) -> float:
-    """Build and write a table; the seconds include jobs that building it starts."""
-    t0 = time.perf_counter()
-    build().write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return time.perf_counter() - t0
+def read_layer(spark: SparkSession, warehouse_dir: str, layer: str, name: str) -> DataFrame:
+    """The published version of a table."""
+    if layer == "gold" and name in _PARTS:
+        outcome, columns = _PARTS[name]
+        return spark.read.parquet(table_path(spark, warehouse_dir, layer, SALES)).where(F.col(gold.OUTCOME) == outcome).select(*columns)
+    return spark.read.parquet(table_path(spark, warehouse_dir, layer, name))
 
 
-def _load_all(spark: SparkSession, layer: str, builds: dict[str, Callable[[], DataFrame]], warehouse_dir: str,
-              parallel: bool, observed: dict[str, Observation] | None = None, metrics: Sequence[str] = (),
-              partition_by: Sequence[str] = ()) -> list[tuple]:
-    """Write independent tables of one layer, as concurrent Spark jobs when ``parallel``; returns report rows.
+def write_version(build: Callable[[], DataFrame], path: str, partition_by: Sequence[str] = ()) -> tuple[int, float]:
+    """Build and write a table, then compare what is in its folder with what was written: ``(rows, seconds)``.
 
-    ``metrics`` are the observed counts that follow the seconds (0 for tables without an observation).
+    The seconds include jobs that building it starts.
     """
-    def one(name: str) -> tuple:
-        path = table_path(warehouse_dir, layer, name)
-        secs = _write(builds[name], path, partition_by)
+    t0 = time.perf_counter()
+    df = build()
+    written = Observation()
+    df.observe(written, *versions.table_digest(df)).write.partitionBy(*partition_by).parquet(path)
+    seconds = time.perf_counter() - t0
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    found = back.agg(*versions.table_digest(back)).first().asDict()
+    if found != {k: written.get.get(k) for k in found}:
+        raise LoadError(f"{path}: {found} read back, {written.get} written")
+    return found["digest_rows"], round(seconds, 3)
+
+
+class _Load:
+    """The fresh versions of one load: written, then published together or removed."""
+
+    def __init__(self, spark: SparkSession, warehouse_dir: str, layer: str, parallel: bool) -> None:
+        self.spark, self.warehouse_dir, self.layer, self.parallel = spark, warehouse_dir, layer, parallel
+        self.version, self.tables = versions.new_version(), {}
+        self._scratch = scratch_removed(spark)
+
+    def __enter__(self) -> _Load:
+        self._scratch.__enter__()
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        try:
+            if kind is None:
+                versions.publish(self.spark, self.warehouse_dir, self.layer, self.tables)
+            else:
+                for name in self.tables:
+                    versions.remove(self.spark, self.path(name))
+        finally:
+            self._scratch.__exit__(None, None, None)
+
+    def path(self, name: str) -> str:
+        return versions.version_path(self.warehouse_dir, self.layer, name, self.version)
+
+    def write(self, builds: Mapping[str, Callable[[], DataFrame]], partition_by: Sequence[str] = ()) -> dict[str, tuple[int, float]]:
+        """Write independent tables, as concurrent Spark jobs when ``parallel``: rows and seconds of each."""
+        self.tables |= dict.fromkeys(builds, self.version)
+
+        def one(name: str) -> tuple[int, float]:
+            return write_version(builds[name], self.path(name), partition_by)
+
+        if not self.parallel or len(builds) == 1:
+            return {n: one(n) for n in builds}
+        with ThreadPoolExecutor(max_workers=len(builds)) as pool:
+            jobs = {n: pool.submit(copy_context().run, one, n) for n in builds}
+        return {n: job.result() for n, job in jobs.items()}
+
+
+def _report(spark: SparkSession, layer: str, written: Mapping[str, tuple[int, float]], observed: Mapping[str, Observation] | None = None,
+            metrics: Sequence[str] = ()) -> DataFrame:
+    """The report rows; ``metrics`` are observed counts (0 for tables without an observation)."""
+    rows = []
+    for name, (n, seconds) in written.items():
         got = observed[name].get if observed and name in observed else {}
-        return (f"{layer}.{name}", spark.read.parquet(path).count(), round(secs, 3),
-                *[got.get(m) or 0 for m in metrics])
-
-    if not parallel:
-        return [one(n) for n in builds]
-    with ThreadPoolExecutor(max_workers=len(builds)) as pool:
-        return list(pool.map(one, builds))
-
-
-def _report(spark: SparkSession, rows: list[tuple], metrics: Sequence[str] = ()) -> DataFrame:
+        rows.append((f"{layer}.{name}", n, seconds, *[got.get(m) or 0 for m in metrics]))
     extra = "".join(f", {m} bigint" for m in metrics)
     return spark.createDataFrame(rows, f"table_name string, rows_loaded bigint, seconds double{extra}")
 
@@ -86,9 +143,9 @@ def load_bronze(spark: SparkSession, source_dir: str, warehouse_dir: str, parall
         df, observed[name] = csv_ingest.read_bronze_observed(spark, source_dir, name)
         return df
 
-    builds = {n: (lambda n=n: build(n)) for n in tables}
-    metrics = ("failed_values", "malformed_rows")
-    return _report(spark, _load_all(spark, "bronze", builds, warehouse_dir, parallel, observed, metrics), metrics)
+    with _Load(spark, warehouse_dir, "bronze", parallel) as load:
+        written = load.write({n: (lambda n=n: build(n)) for n in tables})
+    return _report(spark, "bronze", written, observed, ("failed_values", "malformed_rows"))
 
 
 def load_silver(spark: SparkSession, warehouse_dir: str, as_of: str | None = None, parallel: bool = True,
@@ -110,9 +167,9 @@ def load_silver(spark: SparkSession, warehouse_dir: str, as_of: str | None = Non
         "erp_cust_az12": lambda: silver.erp_cust_az12(bronze["erp_cust_az12"], as_of),
         "erp_px_cat_g1v2": lambda: silver.erp_px_cat_g1v2(bronze["erp_px_cat_g1v2"]),
     }
-    builds = {n: (lambda b=builders[n]: b().withColumn("dwh_create_date", F.localtimestamp())) for n in tables}
-    return _report(spark, _load_all(spark, "silver", builds, warehouse_dir, parallel, {"crm_sales_details": lost},
-                                    ("lost_amounts",)), ("lost_amounts",))
+    with _Load(spark, warehouse_dir, "silver", parallel) as load:
+        written = load.write({n: (lambda b=builders[n]: b().withColumn("dwh_create_date", F.localtimestamp())) for n in tables})
+    return _report(spark, "silver", written, {"crm_sales_details": lost}, ("lost_amounts",))
 
 
 def ingest_failures(spark: SparkSession, source_dir: str) -> DataFrame:
@@ -130,9 +187,10 @@ def ingest_failures(spark: SparkSession, source_dir: str) -> DataFrame:
 
 def build_gold(spark: SparkSession, warehouse_dir: str, partition_fact_by: Sequence[str] = (),
                parallel: bool = True) -> DataFrame:
-    """Write both dimensions (together when ``parallel``), then the fact from the written dimensions.
+    """Write both dimensions (together when ``parallel``), then the sales by outcome from the written dimensions;
+    all are published at once.
 
-    ``partition_fact_by`` (e.g. ``["order_date"]``) writes the fact in
+    ``partition_fact_by`` (e.g. ``["order_date"]``) writes the sales in
     partition folders for pruning; rows are first rebalanced on those columns
     (AQE splits a hot value over several tasks and merges small ones), so each
     task writes few, evenly sized files.
@@ -142,33 +200,73 @@ def build_gold(spark: SparkSession, warehouse_dir: str, partition_fact_by: Seque
         "dim_customers": lambda: gold.dim_customers(s["crm_cust_info"], s["erp_cust_az12"], s["erp_loc_a101"]),
         "dim_products": lambda: gold.dim_products(s["crm_prd_info"], s["erp_px_cat_g1v2"]),
     }
+    with _Load(spark, warehouse_dir, "gold", parallel) as load:
+        written = load.write(dims)
 
-    def fact() -> DataFrame:
-        rows = gold.fact_sales(s["crm_sales_details"], read_layer(spark, warehouse_dir, "gold", "dim_products"),
-                               read_layer(spark, warehouse_dir, "gold", "dim_customers"))
-        return rows.hint("rebalance", *partition_fact_by) if partition_fact_by else rows
+        def sales() -> DataFrame:
+            rows = gold.fact_sales_outcomes(s["crm_sales_details"], *(spark.read.parquet(load.path(d)) for d in ("dim_products", "dim_customers")))
+            return rows.hint("rebalance", *partition_fact_by) if partition_fact_by else rows
 
-    rows = _load_all(spark, "gold", dims, warehouse_dir, parallel)
-    rows += _load_all(spark, "gold", {"fact_sales": fact}, warehouse_dir, False, partition_by=partition_fact_by)
-    return _report(spark, rows)
+        written |= load.write({SALES: sales}, [gold.OUTCOME, *partition_fact_by])
+    _, seconds = written.pop(SALES)
+    parts = {p: (read_layer(spark, warehouse_dir, "gold", p).count(), seconds) for p in _PARTS}
+    return _report(spark, "gold", written | parts)
 
 
 def register_views(spark: SparkSession, warehouse_dir: str, prefix: str = "",
                    layers: Sequence[str] = ("bronze", "silver", "gold")) -> list[str]:
-    """Name the written tables for SQL: views ``{prefix}bronze.…``, ``{prefix}silver.…``, ``{prefix}gold.…``.
+    """Name the published tables for SQL: views ``{prefix}bronze.…``, ``{prefix}silver.…``, ``{prefix}gold.…``; returns the names.
 
-    Each view reads its table's folder, so it shows the latest load; returns the names.
+    A view reads the version that is published now; call this again after a load
+    to switch it (one ``CREATE OR REPLACE`` a view: queries see the old rows or the new ones).
     """
     names = []
     for layer in layers:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{prefix}{layer}`")
+        known = versions.published(spark, warehouse_dir, layer)
         for table in GOLD_TABLES if layer == "gold" else LAYER_TABLES:
-            path = table_path(warehouse_dir, layer, table).replace("`", "``")
-            spark.sql(f"CREATE OR REPLACE VIEW `{prefix}{layer}`.`{table}` AS SELECT * FROM parquet.`{path}`")
+            part = _PARTS.get(table) if layer == "gold" else None
+            if (SALES if part else table) not in known:
+                continue
+            path = table_path(spark, warehouse_dir, layer, SALES if part else table).replace("`", "``")
+            columns, where = (", ".join(part[1]), f" WHERE {gold.OUTCOME} = '{part[0]}'") if part else ("*", "")
+            spark.sql(f"CREATE OR REPLACE VIEW `{prefix}{layer}`.`{table}` AS SELECT {columns} FROM parquet.`{path}`{where}")
             names.append(f"{prefix}{layer}.{table}")
     return names
 
 
+def reconcile(spark: SparkSession, warehouse_dir: str) -> DataFrame:
+    """``(step, table_name, entry, n_rows)``: for every table of silver and gold what came in, what was dropped
+    or added on the way and why, and what came out; the entries of a table add up to its rows out.
+
+    The counts are taken from the published tables themselves.
+    """
+    def count(layer: str, name: str) -> int:
+        return read_layer(spark, warehouse_dir, layer, name).count()
+
+    rows: list[tuple[str, str, str, int]] = []
+    for name in LAYER_TABLES:
+        n_in, n_out = count("bronze", name), count("silver", name)
+        rows += [("bronze to silver", name, "rows in", n_in), ("bronze to silver", name, "rows out", n_out)]
+        if name == "crm_cust_info":
+            ids = read_layer(spark, warehouse_dir, "bronze", name).groupBy("cst_id").count().agg(F.sum(F.col("count") - 1)).first()[0] or 0
+            rows.append(("bronze to silver", name, "dropped: older row of the same id", -ids))
+    for name, source in (("dim_customers", "crm_cust_info"), ("dim_products", "crm_prd_info")):
+        n_in, n_out = count("silver", source), count("gold", name)
+        rows += [("silver to gold", name, "rows in", n_in), ("silver to gold", name, "rows out", n_out),
+                 ("silver to gold", name, "added: several rows to one key in a joined table", n_out - n_in)]
+    sales = spark.read.parquet(table_path(spark, warehouse_dir, "gold", SALES))
+    once = sales.groupBy(gold.OUTCOME, gold.REASON).agg(F.count(F.lit(1)).alias("n"), F.count_if(gold.ONCE).alias("once")).collect()
+    rows.append(("silver to gold", "fact_sales", "rows in", count("silver", "crm_sales_details")))
+    for r in once:
+        if r[gold.OUTCOME] == gold.REJECTED:
+            rows.append(("silver to gold", "fact_sales", f"dropped: {r[gold.REASON]}", -r["n"]))
+        else:
+            rows += [("silver to gold", "fact_sales", "added: several versions of the product or rows of the customer", r["n"] - r["once"]),
+                     ("silver to gold", "fact_sales", "rows out", r["n"])]
+    return spark.createDataFrame(rows, "step string, table_name string, entry string, n_rows bigint")
+
+
 def row_counts(spark: SparkSession, warehouse_dir: str, layer: str) -> DataFrame:
     """The load report: one row per table of a layer, ``UNION ALL`` of counts."""
     parts = [read_layer(spark, warehouse_dir, layer, n).agg(F.count(F.lit(1)).alias("rows_loaded"))

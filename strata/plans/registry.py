@@ -8,6 +8,7 @@ tables; the only ordering is the one the audit itself asks for.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -239,13 +240,21 @@ def bronze_parse_dmy_date(layers: Layers) -> DataFrame:
 
 @query
 def full_refresh_idempotent(layers: Layers) -> DataFrame:
-    """A larger customer extract loaded, then the real one: the table holds the real one alone."""
-    name, wh = "crm_cust_info", scratch_path(layers.spark, "warehouse")
-    larger, rows = scratch_path(layers.spark, "sources"), layers.bronze(name)
-    csv_ingest.write_source_csv(rows.unionByName(rows.withColumn("cst_key", F.concat("cst_key", F.lit("-old")))), larger, name)
-    for src in (larger, _extracts(layers, name)):
-        pipeline.load_bronze(layers.spark, src, wh, tables=[name])
-    return pipeline.read_layer(layers.spark, wh, "bronze", name)
+    """Larger extracts of all six tables loaded, then the real ones: every table holds the real rows alone."""
+    wh, larger = scratch_path(layers.spark, "warehouse"), scratch_path(layers.spark, "sources")
+    for name in csv_ingest.SOURCES:
+        rows = layers.bronze(name)
+        text = next(f.name for f in rows.schema.fields if f.dataType.simpleString() == "string")
+        csv_ingest.write_source_csv(rows.unionByName(rows.withColumn(text, F.concat(text, F.lit("-old")))), larger, name)
+    for src in (larger, _extracts(layers)):
+        pipeline.load_bronze(layers.spark, src, wh)
+
+    def as_text(name: str) -> DataFrame:
+        table = pipeline.read_layer(layers.spark, wh, "bronze", name)
+        cells = [F.coalesce(F.col(x).cast("string"), F.lit(csv_ingest.NULL_TOKEN)) for x in csv_ingest.SOURCES[name][1]]
+        return table.select(F.lit(name).alias("table_name"), F.concat_ws("|", *cells).alias("row_text"))
+
+    return reduce(DataFrame.unionByName, [as_text(n) for n in csv_ingest.SOURCES])
 
 
 def _load_to_silver(layers: Layers, *names: str) -> str:
@@ -293,6 +302,22 @@ def gold_read_by_name(layers: Layers) -> DataFrame:
         GROUP BY c.country, p.category_name""")
 
 
+@query
+def layer_reconciliation(layers: Layers) -> DataFrame:
+    """Bronze to silver to gold of a whole load: rows in, dropped or added with the reason, and out, table by table."""
+    wh = _load_to_silver(layers)
+    pipeline.build_gold(layers.spark, wh)
+    return pipeline.reconcile(layers.spark, wh)
+
+
+@query
+def rejected_sales(layers: Layers) -> DataFrame:
+    """The sales that the written star rejects, each with its reason."""
+    wh = _load_to_silver(layers)
+    pipeline.build_gold(layers.spark, wh)
+    return pipeline.read_layer(layers.spark, wh, "gold", "rejected_sales")
+
+
 @query
 def fact_sales_point_in_time(layers: Layers) -> DataFrame:
     """Every sale once, with the product version valid on its order date."""

@@ -99,14 +99,3 @@ def erp_cust_az12(bronze: DataFrame, as_of: str | None = None) -> DataFrame:
 
 def erp_px_cat_g1v2(bronze: DataFrame) -> DataFrame:
     return bronze.select("id", "cat", "subcat", "maintenance")
-
-
-def silver_tables(bronze: dict[str, DataFrame], as_of: str | None = None) -> dict[str, DataFrame]:
-    return {
-        "crm_cust_info": crm_cust_info(bronze["crm_cust_info"]),
-        "crm_prd_info": crm_prd_info(bronze["crm_prd_info"]),
-        "crm_sales_details": crm_sales_details(bronze["crm_sales_details"]),
-        "erp_loc_a101": erp_loc_a101(bronze["erp_loc_a101"]),
-        "erp_cust_az12": erp_cust_az12(bronze["erp_cust_az12"], as_of),
-        "erp_px_cat_g1v2": erp_px_cat_g1v2(bronze["erp_px_cat_g1v2"]),
-    }

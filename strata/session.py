@@ -12,9 +12,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+#: The scratch folders of the job that runs now, if it removes them at its end.
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
@@ -60,4 +65,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    if (used := _SCRATCH.get()) is not None:
+        used.append(path)
+    return path
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch folders made inside (also by threads started with a copied context) at the end.
+
+    For jobs that write their result: a DataFrame handed out may still read its scratch folders.
+    """
+    used: list[str] = []
+    token = _SCRATCH.set(used)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in used:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
