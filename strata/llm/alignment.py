@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from collections.abc import Iterator
 from itertools import accumulate
@@ -42,11 +43,11 @@ from pyspark.sql import functions as F
 from strata.llm.common import arrow_schema, col, map_arrow, materialise, record_batches, ship_package
 
 #: Distinct links of the documents of a block.
-BLOCK_LINKS = 1_000_000
+BLOCK_LINKS = 500_000
 #: Chunks that a task remembers (twice as many at most), and the longest ones it does.
-HELD_CHUNKS, HELD_LENGTH = 100_000, 48
-#: Characters of the texts that are looked up together, and chunks that are encoded in one call.
-BATCH_CHARS, ENCODED = 500_000, 2_000
+HELD_CHUNKS, HELD_LENGTH = 80_000, 48
+#: Texts whose chunks are looked up together, and chunks that are encoded in one call.
+LOOKED_UP, ENCODED = 256, 1_000
 
 _SPACE = "▁"
 _CUT = re.compile(r"(?<=\S)(?= )")
@@ -101,6 +102,7 @@ class Aligner:
     """Tokens, groups and links of texts, chunk by chunk."""
 
     def __init__(self, tokenizer: str, model: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs as many tasks as there are cores
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -232,19 +234,13 @@ def _pass_over(docs: DataFrame, tokenizer: str, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, block, number = _aligner(tokenizer, model), _Block(), TaskContext.get().partitionId() << 32
         for batch in batches:
-            ids, texts = (c.to_pylist() for c in batch.columns)
-            at = 0
-            while at < len(texts):
-                end, chars = at, 0
-                while end < len(texts) and chars < BATCH_CHARS:
-                    chars += len(texts[end] or "")
-                    end += 1
-                for doc_id, entries in zip(ids[at:end], aligner.read(texts[at:end])):
+            for at in range(0, batch.num_rows, LOOKED_UP):
+                ids, texts = (c.to_pylist() for c in batch.slice(at, LOOKED_UP).columns)
+                for doc_id, entries in zip(ids, aligner.read(texts)):
                     block.add(doc_id, entries)
                     if block.size >= BLOCK_LINKS:
                         yield block.rows(number, out)
                         block, number = _Block(), number + 1
-                at = end
         if block.docs:
             yield block.rows(number, out)
 
