@@ -16,7 +16,7 @@ The product dimension column ``cateegory_id`` keeps the source spelling.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.cleaning import NA, prefer
@@ -30,6 +30,8 @@ PRODUCT_COLUMNS = ["product_key", "product_id", "product_number", "product_name"
 FACT_COLUMNS = ["order_number", "product_key", "customer_key", "order_date", "shipping_date", "due_date", "sales",
                 "sls_quantity", "price"]
 
+#: The source model's comparison of text (case and spaces at the end do not count) as a collation.
+SOURCE_COLLATION = "UTF8_LCASE_RTRIM"
 # Names and values of the sales written by outcome.
 OUTCOME, REASON, ONCE = "outcome", "reason", "counts_once"
 ACCEPTED, REJECTED = "accepted", "rejected"
@@ -37,15 +39,20 @@ REJECTED_COLUMNS = ["order_number", "sls_prd_key", "sls_cust_id", "order_date",
                     "price", REASON]
 
 
-def customers_joined(cust: DataFrame, az12: DataFrame, loc: DataFrame) -> DataFrame:
-    """CRM customers with ERP demographics and location (two left joins on the business key)."""
+def collated(c: Column, collation: str | None) -> Column:
+    """The column under a collation; None compares bytes."""
+    return c if collation is None else F.collate(c, collation)
+
+
+def customers_joined(cust: DataFrame, az12: DataFrame, loc: DataFrame, collation: str | None = None) -> DataFrame:
+    """CRM customers with ERP demographics and location (two left joins on the business key, compared under ``collation``)."""
     crm, person, place = cust.alias("crm"), az12.alias("person"), loc.alias("place")
-    return crm.join(person, F.col("crm.cst_key") == F.col("person.cid"), "left") \
-        .join(place, F.col("crm.cst_key") == F.col("place.cid"), "left")
+    key, p_key, l_key = (collated(F.col(c), collation) for c in ("crm.cst_key", "person.cid", "place.cid"))
+    return crm.join(person, key == p_key, "left").join(place, key == l_key, "left")
 
 
-def dim_customers_unkeyed(cust: DataFrame, az12: DataFrame, loc: DataFrame, unknown: str = NA) -> DataFrame:
-    j = customers_joined(cust, az12, loc)
+def dim_customers_unkeyed(cust: DataFrame, az12: DataFrame, loc: DataFrame, unknown: str = NA, collation: str | None = None) -> DataFrame:
+    j = customers_joined(cust, az12, loc, collation)
     return j.select(
         F.col("crm.cst_id").alias("customer_id"),
         F.col("crm.cst_key").alias("customer_number"),
@@ -59,9 +66,9 @@ def dim_customers_unkeyed(cust: DataFrame, az12: DataFrame, loc: DataFrame, unkn
     )
 
 
-def dim_customers(cust: DataFrame, az12: DataFrame, loc: DataFrame, unknown: str = NA) -> DataFrame:
+def dim_customers(cust: DataFrame, az12: DataFrame, loc: DataFrame, unknown: str = NA, collation: str | None = None) -> DataFrame:
     """Customer dimension; ``customer_key`` numbers rows by ``customer_id`` (NULLS FIRST)."""
-    base = dim_customers_unkeyed(cust, az12, loc, unknown)
+    base = dim_customers_unkeyed(cust, az12, loc, unknown, collation)
     rest = [x for x in base.columns if x != "customer_id"]
     return dense_surrogate_key(base, ["customer_id"], "customer_key", tie_breaker=rest).select(*CUSTOMER_COLUMNS)
 
@@ -204,19 +211,3 @@ def fact_sales_point_in_time(sales: DataFrame, versions: DataFrame) -> DataFrame
         F.col("item.prd_cost").alias("cost"), F.col("sale.sls_cust_id").alias("customer_id"),
         F.col("sale.sls_order_dt").alias("order_date"), F.col("sale.sls_sales").alias("sales"),
         F.col("sale.sls_quantity"), F.col("sale.sls_price").alias("price"))
-
-
-def sales_by_month(sales: DataFrame, customers: DataFrame, categories: DataFrame) -> DataFrame:
-    """Totals per month, country and category, and the running total over the months.
-
-    ``sales`` is the point-in-time fact, so history does not multiply amounts.
-    The window runs over the aggregate: one row per month, country and category.
-    """
-    place = customers.select(F.col("customer_id").alias("c_id"), "country")
-    kind = categories.select(F.col("id").alias("k_id"), F.col("cat").alias("category"))
-    totals = sales.join(place, F.col("customer_id") == F.col("c_id"), "left") \
-        .join(kind, F.col("category_id") == F.col("k_id"), "left") \
-        .groupBy(F.trunc("order_date", "month").alias("month"), "country", "category") \
-        .agg(F.count(F.lit(1)).alias("n_sales"), F.sum("sales").cast("decimal(38,2)").alias("sales"))
-    running = Window.partitionBy("country", "category").orderBy(F.col("month").asc_nulls_first())
-    return totals.withColumn("running_sales", F.sum("sales").over(running).cast("decimal(38,2)"))

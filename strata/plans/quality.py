@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from strata.functions.cleaning import NA, prefer
 from strata.operators.dedup import keep_last_loaded
 from strata.operators.joins import orphans
-from strata.plans.gold import customers_joined
+from strata.plans.gold import collated, customers_joined
 from strata.plans.layers import Layers
 
 # Output column names and labels of the source model's audits.
@@ -46,6 +46,12 @@ def distribution(df: DataFrame, key: str, count_name: str = "row_count") -> Data
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
 
 
+def distinct_values(df: DataFrame, column: str, collation: str | None = None, count_name: str = "row_count") -> DataFrame:
+    """The values of a column that differ under ``collation``, each by its least spelling, with their rows."""
+    group = collated(F.col(column), collation).alias("_group")
+    return df.groupBy(group).agg(F.min(column).alias(column), F.count(F.lit(1)).alias(count_name)).drop("_group")
+
+
 def expected_sales(qty: Column, price: Column) -> Column:
     return qty.cast("bigint") * price
 

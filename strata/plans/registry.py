@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import cleaning as c
-from strata.plans import gold, pipeline, quality, silver
+from strata.plans import gold, history, pipeline, quality, silver, trends
 from strata.plans.layers import Layers
 from strata.session import scratch_path
 from strata.sources import csv_ingest, fixtures
@@ -324,8 +324,66 @@ def fact_sales_point_in_time(layers: Layers) -> DataFrame:
     return gold.fact_sales_point_in_time(layers.silver("crm_sales_details"), layers.silver("crm_prd_info"))
 
 
+def _monthly(layers: Layers) -> DataFrame:
+    """Monthly sales with ERP locations loaded repeatedly and categories listed twice, as delivered."""
+    fact = gold.fact_sales_point_in_time(layers.silver("crm_sales_details"), layers.silver("crm_prd_info"))
+    people = gold.dim_customers_unkeyed(layers.silver("crm_cust_info"), layers.silver("erp_cust_az12"),
+                                        layers.silver("erp_loc_loads").drop("load_seq"))
+    return trends.monthly_sales(fact, people, layers.silver("erp_px_cat_g1v2"))
+
+
 @query
 def gold_sales_by_month(layers: Layers) -> DataFrame:
-    """Sales per month, country and category with running totals."""
-    fact = gold.fact_sales_point_in_time(layers.silver("crm_sales_details"), layers.silver("crm_prd_info"))
-    return gold.sales_by_month(fact, layers.dim_customers_base(), layers.silver("erp_px_cat_g1v2"))
+    """Sales per month, country and category with running totals; repeated customers and categories do not multiply them."""
+    return trends.running_totals(_monthly(layers))
+
+
+@query
+def gold_sales_rollup(layers: Layers) -> DataFrame:
+    """Totals by month, country and category at all eight levels (GROUPING SETS)."""
+    return trends.sales_rollup(_monthly(layers))
+
+
+@query
+def gold_sales_trend(layers: Layers) -> DataFrame:
+    """Monthly sales without holes, moving average of three months and the year before."""
+    return trends.sales_trend(_monthly(layers))
+
+
+@query
+def gold_distinct_customers(layers: Layers) -> DataFrame:
+    """Different customers by month, quarter, year and in all, from bitmaps of the dense customer key."""
+    return trends.distinct_customers(layers.silver("crm_sales_details"), layers.dim_customers())
+
+
+@query
+def scd2_merge_extracts(layers: Layers) -> DataFrame:
+    """Product history after two extracts, the second merged twice (a replay changes nothing)."""
+    first, second = (fixtures.product_extract(layers.spark, layers.sf_dir, n) for n in (0, 1))
+    merged = history.merge_extract(history.start_history(first, "2024-01-01"), second, ["prd_key"], "2024-06-01")
+    return history.merge_extract(merged, second, ["prd_key"], "2024-06-01")
+
+
+@query
+def dq_history_intervals(layers: Layers) -> DataFrame:
+    """Product versions that overlap earlier ones or leave days uncovered."""
+    return history.interval_faults(fixtures.product_intervals(layers.spark, layers.sf_dir), "prd_key")
+
+
+@query
+def gold_dim_customers_collated(layers: Layers) -> DataFrame:
+    """The customer dimension with keys compared as the source model does (case and trailing spaces ignored)."""
+    return gold.dim_customers(layers.silver("crm_cust_info"), layers.silver("erp_cust_az12"), layers.silver("erp_loc_a101"),
+                              collation=gold.SOURCE_COLLATION)
+
+
+@query
+def dq_distinct_gndr_collated(layers: Layers) -> DataFrame:
+    """CRM gender codes that differ under the source model's collation."""
+    return quality.distinct_values(layers.bronze("crm_cust_info"), "cst_gndr", gold.SOURCE_COLLATION)
+
+
+@query
+def dq_distinct_country_collated(layers: Layers) -> DataFrame:
+    """Country texts that differ under the source model's collation."""
+    return quality.distinct_values(layers.bronze("erp_loc_a101"), "cntry", gold.SOURCE_COLLATION)

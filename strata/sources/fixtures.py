@@ -137,13 +137,15 @@ def erp_loc_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def erp_cust_az12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # every ninth customer is known to the ERP system by an id that no CRM key matches
+    # every ninth customer is known to the ERP system by an id that no CRM key matches; some ids are in
+    # lower case or end in spaces, which only the source model's collation takes as equal
     c = read_table(spark, sf_dir, "customer").select("c_custkey")
     k = F.col("c_custkey")
     days = F.when(k % 40 == 0, F.lit(54000)).otherwise((k * 13) % 18000).cast("int")
     return c.select(
         F.concat(F.when(k % 2 == 0, F.lit("NAS")).otherwise(F.lit("")),
-                 F.when(k % 9 == 8, F.lit("XW")).otherwise(F.lit("AW")), _pad(k)).alias("cid"),
+                 F.when(k % 9 == 8, F.lit("XW")).when(k % 41 == 40, F.lit("aw")).otherwise(F.lit("AW")), _pad(k),
+                 F.when(k % 43 == 42, F.lit("  ")).otherwise(F.lit(""))).alias("cid"),
         F.when(k % 23 != 5, F.date_add(F.lit("1950-01-01").cast("date"), days)).alias("bdate"),
         _pick(k % 6, ["F", " m", "Male", "M", "", None]).alias("gen"),
     )
@@ -175,6 +177,28 @@ def erp_px_cat_g1v2(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((F.col("size") >= 40) & (F.col("v") == 0), F.lit("Yes")).otherwise(F.lit("No")).alias("maintenance"))
 
 
+def product_extract(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
+    """The product master as extracted at a first (0) or second (1) load: parts appear, go, change price or line."""
+    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice", "p_brand")
+    k, later = F.col("p_partkey"), F.lit(load)
+    return p.where(k % 10 != (7 if load else 0)).select(
+        F.concat(F.lit("P"), _pad(k)).alias("prd_key"), F.col("p_name").alias("prd_nm"),
+        F.when(k % 13 != 5 * later, F.floor("p_retailprice") + F.when(k % 3 == 0, later).otherwise(0)).cast("int").alias("prd_cost"),
+        F.when((k % 17 == 1) & (later == 0), F.lit(None)).otherwise(F.col("p_brand")).alias("prd_line"))
+
+
+def product_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three versions of every part with their days: some end late, early or never, some begin on the same day.
+    A third of the parts belong to one product key."""
+    k, v = F.col("p_partkey"), F.col("v")
+    start = F.date_add(F.lit("1990-01-01").cast("date"), (k % 5000 + v * 400).cast("int"))
+    days = F.when((k % 10 == 1) & (v == 0), 430).when((k % 10 == 2) & (v == 1), 380).otherwise(399)
+    return read_table(spark, sf_dir, "part").select(k, F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("v")).select(
+        F.when(k % 3 == 0, F.lit("P-hot")).otherwise(F.concat(F.lit("P"), _pad(k))).alias("prd_key"),
+        F.when((k % 25 == 4) & (v == 1), F.date_sub(start, 400)).otherwise(start).alias("valid_from"),
+        F.when((v < 2) & ((k % 20 != 3) | (v == 1)), F.date_add(start, days)).alias("valid_to"))
+
+
 def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``line``: the customer extract as a source system might deliver it, each way to write a field planted
     (row ends, quotes and commas inside quotes, escapes, NULL words, empty dates and numbers, short and long rows)."""

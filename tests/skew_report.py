@@ -24,6 +24,7 @@ def main(sf_dir: str) -> dict[str, tuple[float, int, int]]:
     sys.path.insert(0, ".")
     from strata.operators.dedup import dedup_latest
     from strata.operators.ordered import dense_surrogate_key, lead_within_key
+    from strata.plans.history import interval_faults
 
     logs = tempfile.mkdtemp(prefix="strata-skew-")
     spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
@@ -45,6 +46,8 @@ def main(sf_dir: str) -> dict[str, tuple[float, int, int]]:
         "lead_within_key (slices)": lambda: lead_within_key(hot, "k", "d", "nxt", tie_breaker=["id"]),
         "  plain: lead() over partition by key": lambda: hot.withColumn("nxt", F.lead("d").over(
             Window.partitionBy("k").orderBy("d", "id"))),
+        "interval_faults (slices)": lambda: interval_faults(
+            hot.select("k", F.col("d").alias("valid_from"), F.date_add("d", 3).alias("valid_to")), "k", unit="month"),
         "dense_surrogate_key (range buckets)": lambda: dense_surrogate_key(hot, ["k", "d"], "sk",
                                                                            tie_breaker=["id"], n_buckets=16),
         "  plain: row_number() over (order by)": lambda: hot.withColumn("sk", F.row_number().over(

@@ -15,6 +15,7 @@ def test_hot_key_is_spread_over_tasks():
     share = {k: v[0] for k, v in r.items()}
     # a third of all rows share one key; 16 tasks, so the ideal share is 6.25 %
     assert share["lead_within_key (slices)"] < 0.15
+    assert share["interval_faults (slices)"] < 0.15
     assert share["dense_surrogate_key (range buckets)"] < 0.15
     assert share["dedup_latest (aggregate, partial)"] < 0.15
     assert share["left join on hot key (AQE skew split)"] < 0.15
