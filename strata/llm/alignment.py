@@ -31,6 +31,7 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -45,7 +46,7 @@ from strata.llm.common import arrow_schema, col, map_arrow, materialise, record_
 #: Distinct links of the documents of a block.
 BLOCK_LINKS = 500_000
 #: Chunks that a task remembers (twice as many at most), and the longest ones it does.
-HELD_CHUNKS, HELD_LENGTH = 80_000, 48
+HELD_CHUNKS, HELD_LENGTH = 120_000, 48
 #: Texts whose chunks are looked up together, and chunks that are encoded in one call.
 LOOKED_UP, ENCODED = 256, 1_000
 
@@ -81,6 +82,8 @@ def ends(spans: list[tuple[int, int]], tokens: list[bytes], at: list[int]) -> li
 
 def align(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> tuple[list[str], list[int]]:
     """Groups as ``a1,a2|b1`` texts and links as ``a << 32 | b`` numbers of two token sequences over the same bytes."""
+    if a_ends == b_ends:
+        return [f"{x}|{y}" for x, y in zip(a, b)], [x << 32 | y for x, y in zip(a, b)]
     groups, links = [], []
     i = j = i0 = j0 = 0
     while i < len(a):
@@ -136,16 +139,13 @@ class Aligner:
         return [p[1:] for p in parts]
 
     def _encode(self, chunks: list[str]) -> Iterator[tuple | None]:
-        """``(n_a, n_b, n_groups, groups, links)`` of each chunk; None where bytes are not kept."""
+        """``(n_a, groups, links)`` of each chunk, groups and links as they are joined; None where bytes are not kept."""
         encoded = self.a.encode_batch([" " + c for c in chunks], add_special_tokens=False)
         pieces = self.b.encode(chunks, num_threads=1, return_type="offset_mapping")
-        if isinstance(pieces, dict):  # one mapping with a list for each chunk
-            pieces = [{"ids": i, "offsets": o} for i, o in zip(pieces["ids"], pieces["offsets"])]
+        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
         for chunk, x, y in zip(chunks, encoded, pieces):
-            a, b = x.ids, y["ids"]
-            a_tokens, b_tokens = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            data = (" " + chunk).encode()
-            if not chunk or b"".join(a_tokens) != data or b"".join(b_tokens) != data:
+            a, b, data = x.ids, y["ids"], (" " + chunk).encode()
+            if not chunk or b"".join(map(a_bytes, a)) != data or b"".join(map(b_bytes, b)) != data:
                 yield None
                 continue
             a_spans, b_spans = x.offsets, y["offsets"]  # B's do not know the first space
@@ -153,10 +153,10 @@ class Aligner:
                 a_ends, b_ends = [e for _, e in a_spans], [e + 1 for _, e in b_spans]
             else:
                 at = [0, *accumulate(1 if c < "\x80" else 2 if c < "\u0800" else 3 if c < "\U00010000" else 4 for c in " " + chunk)]
-                a_ends = ends(a_spans, a_tokens, at)
-                b_ends = ends([(start + 1 if start else 0, end + 1 if end else 0) for start, end in b_spans], b_tokens, at)
+                a_ends = ends(a_spans, list(map(a_bytes, a)), at)
+                b_ends = ends([(start + 1 if start else 0, end + 1 if end else 0) for start, end in b_spans], list(map(b_bytes, b)), at)
             groups, links = align(a, a_ends, b, b_ends)
-            yield len(a), len(b), len(groups), ";".join(groups), np.array(links, np.int64).tobytes()
+            yield len(a), ";".join(groups), array("q", links).tobytes()
 
     def read(self, texts: list[str | None]) -> Iterator[list[tuple] | None]:
         """The entries of each text's chunks; None for a text without tokens."""
@@ -200,9 +200,11 @@ class _Block:
         if entries is None:
             row, links, times = (doc_id, 0, 0, 0, 0, ""), np.zeros(0, np.int64), np.zeros(0, np.int64)
         else:
-            n_a, n_b, n_groups, groups, links = zip(*entries)
-            links = np.frombuffer(b"".join(links), np.int64)
-            row = doc_id, sum(n_a), sum(n_b), sum(n_groups), len(links), hashlib.sha256(";".join(groups).encode()).hexdigest()
+            n_a, groups, links = zip(*entries)
+            groups, links, n_a = ";".join(groups), np.frombuffer(b"".join(links), np.int64), sum(n_a)
+            # every step along both sequences ends a group or links one more pair
+            n_groups = groups.count(";") + 1
+            row = doc_id, n_a, len(links) + n_groups - n_a, n_groups, len(links), hashlib.sha256(groups.encode()).hexdigest()
             links, times = np.unique(links, return_counts=True)
         self.docs.append(row)
         self.links.append(links)
@@ -266,6 +268,7 @@ def align_corpus(docs: DataFrame, tokenizer: str, model: str, id_col: str = "doc
     out = arrow_schema(schema)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        _ALIGNERS.clear()  # the first pass is over: its chunks need not wait in this worker's memory
         n, best = np.zeros(right.num_rows, np.int64), np.zeros(right.num_rows, bool)
         place = right["place"].to_numpy()
         n[place], best[place] = right["n"].to_numpy(), right["best"].to_numpy()
@@ -293,6 +296,6 @@ def groups_of(docs: DataFrame, tokenizer: str, model: str, id_col: str = "doc_id
         for batch in batches:
             ids, texts = (c.to_pylist() for c in batch.columns)
             for doc_id, entries in zip(ids, aligner.read(texts)):
-                yield record_batches([(doc_id, [g for e in entries or () for g in e[3].split(";")])], out)
+                yield record_batches([(doc_id, [g for e in entries or () for g in e[1].split(";")])], out)
 
     return map_arrow(rows, run, schema)

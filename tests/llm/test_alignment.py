@@ -63,9 +63,9 @@ def chunked(aligner, text):
     entries = next(iter(aligner.read([text])))
     if entries is None:
         return None
-    links = np.frombuffer(b"".join(e[4] for e in entries), np.int64).tolist()
-    return (sum(e[0] for e in entries), sum(e[1] for e in entries), ";".join(e[3] for e in entries).split(";"),
-            sorted((p >> 32, p & 0xFFFFFFFF) for p in links))
+    links = np.frombuffer(b"".join(e[2] for e in entries), np.int64).tolist()
+    n_a, groups = sum(e[0] for e in entries), ";".join(e[1] for e in entries).split(";")
+    return n_a, len(links) + len(groups) - n_a, groups, sorted((p >> 32, p & 0xFFFFFFFF) for p in links)
 
 
 def same(aligner, text):
