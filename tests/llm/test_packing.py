@@ -111,3 +111,13 @@ def test_edges_and_real_sequences(spark, documents):
     ids = {r["sequence_id"]: r["ids"] for r in packing.sequences(packed).collect()}
     assert all(ids[r["sequence_id"]][r["offset"]:r["offset"] + r["length"]] == r["ids"] for r in packed.collect())
     assert packing.pack(docs.limit(0), VOCAB).count() == 0
+
+
+def test_long_runs_of_white_space_are_encoded():
+    from tokenizers import Tokenizer
+
+    from strata.llm.queries import vocab_path
+
+    exact = Tokenizer.from_file(vocab_path())
+    for text in ("\n" * 10**6, " " * 10**6, "\t" * 10**6, "a" + " " * 10**6 + "a", "\u3000" * 10**6, "\r\n" * 500_000):
+        assert packing.encoder(vocab_path())(text) == exact.encode(text, add_special_tokens=False).ids
