@@ -27,6 +27,7 @@ must fit in a task's memory.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -187,6 +188,14 @@ def _aligner(tokenizer: str, model: str) -> Aligner:
     return _ALIGNERS[tokenizer, model]
 
 
+def _forget() -> None:
+    """Give the memory of this worker's tokenizers and remembered chunks back."""
+    if _ALIGNERS:
+        _ALIGNERS.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 class _Block:
     """Documents until their distinct links fill a block."""
 
@@ -245,6 +254,7 @@ def _pass_over(docs: DataFrame, tokenizer: str, model: str) -> DataFrame:
                         block, number = _Block(), number + 1
         if block.docs:
             yield block.rows(number, out)
+        pa.default_memory_pool().release_unused()
 
     return materialise(map_arrow(docs, run, schema), "alignment")
 
@@ -268,7 +278,7 @@ def align_corpus(docs: DataFrame, tokenizer: str, model: str, id_col: str = "doc
     out = arrow_schema(schema)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        _ALIGNERS.clear()  # the first pass is over: its chunks need not wait in this worker's memory
+        _forget()  # the first pass is over
         n, best = np.zeros(right.num_rows, np.int64), np.zeros(right.num_rows, bool)
         place = right["place"].to_numpy()
         n[place], best[place] = right["n"].to_numpy(), right["best"].to_numpy()
