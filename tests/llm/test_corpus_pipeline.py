@@ -46,4 +46,4 @@ def test_registered():
     import __spark_entry__
 
     names = list(__spark_entry__.queries())
-    assert "pipeline" in names and sum(n.startswith("op") and "_" in n for n in names) == 10
+    assert "pipeline" in names and sum(n.startswith("op") and "_" in n for n in names) == 13
