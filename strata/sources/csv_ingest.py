@@ -190,17 +190,35 @@ def read_rows(spark: SparkSession, path: str, line_sep: str = CRLF) -> DataFrame
             # what is open at the end of a split goes on in the next one (a header that does is NULL)
             return (None if header else line_sep.join(held), file, split, not crossed) if held else None
 
+        def begin(f: str, at: int) -> None:
+            nonlocal file, split, quoted, held, crossed, header
+            splits, states = starts.get(f, ([], []))
+            k = bisect_left(splits, at)
+            if k == len(splits) or splits[k] != at:
+                raise RuntimeError(f"{f} was split otherwise in the first pass; run the load again")
+            file, split, quoted, held, crossed, header = f, at, states[k], [], states[k], at == 0
+
         for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            ends = [(batch["file"][k].as_py(), batch["split"][k].as_py()) for k in (0, batch.num_rows - 1)]
+            if ends[0] == ends[1] and batch["opens"].true_count == 0:
+                # one split, no row end inside quotes begins here: the pieces are the rows
+                if ends[0] != (file, split):
+                    if (last := rest()) is not None:
+                        yield parts([], last)
+                    begin(*ends[0])
+                if not quoted:
+                    whole = batch["value"].slice(int(header))
+                    header = False
+                    yield pa.RecordBatch.from_arrays([whole, *(pa.nulls(len(whole), f.type) for f in list(schema)[1:])], schema=schema)
+                    continue
             rows: list = []
             for value, f, at, opens, stays in zip(*(c.to_pylist() for c in batch.columns)):
                 if (f, at) != (file, split):
                     if (last := rest()) is not None:
                         rows.append(last)
-                    splits, states = starts.get(f, ([], []))
-                    k = bisect_left(splits, at)
-                    if k == len(splits) or splits[k] != at:
-                        raise RuntimeError(f"{f} was split otherwise in the first pass; run the load again")
-                    file, split, quoted, held, crossed, header = f, at, states[k], [], states[k], at == 0
+                    begin(f, at)
                 if quoted or opens:
                     held.append(value)
                     quoted = stays if quoted else opens
