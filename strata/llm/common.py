@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -29,6 +30,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a folder below ``spark.checkpoint.dir``, for tasks that read its files themselves."""
+    return fs.FileSystem.from_uri(uri)
+
+
 def arrow_schema(schema: str | StructType) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 

@@ -1,6 +1,7 @@
 import random
+import tracemalloc
 
-import pytest
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -62,12 +63,32 @@ def test_edges_and_drop(spark, documents):
     assert decontam.contaminated(docs, bench.limit(0)).count() == 0 and decontam.drop_contaminated(docs.limit(0), bench).count() == 0
 
 
-def test_more_items_than_one_index_holds(spark, documents, monkeypatch):
+def test_scores_do_not_depend_on_the_number_of_indexes(spark, documents, monkeypatch):
     rng = random.Random(8)
-    items = [(i, " ".join("t%d" % rng.randrange(5000) for _ in range(40))) for i in range(60)]
-    monkeypatch.setattr(decontam, "SHARD_CHARS", 4_000)
-    bench = spark.createDataFrame(items, "item_id long, text string")
-    assert len(decontam.indexes(bench)) > 1
-    docs = documents([(i, "x " + t + " y") for i, t in items])
-    assert {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, bench).collect()} == {(i, i) for i, _ in items}
-    assert decontam.drop_contaminated(docs, bench).count() == 0
+    items = [(i, " ".join("t%d" % min(rng.randrange(900), rng.randrange(900)) for _ in range(rng.randrange(20, 90)))) for i in range(60)]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(4)
+    docs = documents([(i, "x " + t + " y") for i, t in items] + [(100 + i, t[:int(len(t) * 0.9)]) for i, t in items])
+    found = []
+    for size in (decontam.SHARD_CHARS, 6_000, 500):
+        monkeypatch.setattr(decontam.write_indexes, "__defaults__", ("item_id", "text", size))
+        assert len(list(decontam.read_indexes(decontam.write_indexes(bench)))) > 1 or size > 6_000
+        found.append({tuple(r) for r in decontam.contaminated(docs, bench).collect()})
+    assert found[0] == found[1] == found[2] and {(i, i) for i, _ in items} <= {r[:2] for r in found[0]}
+    kept = {r["doc_id"] for r in decontam.drop_contaminated(docs, bench).collect()}
+    assert kept == set(range(100, 160)) - {r[0] for r in found[0]}
+
+
+def test_screen_of_a_very_long_text_is_bounded():
+    rng = random.Random(4)
+    items = [(i, " ".join("w%d" % min(rng.randrange(4000), rng.randrange(4000)) for _ in range(60))) for i in range(3000)]
+    index = decontam.BlockMaxIndex(items)
+    text = ["w%d" % rng.randrange(4000) for _ in range(300_000)]
+    for at, i in ((5, 7), (150_001, 2_000), (299_900, 2_999)):
+        text[at:at] = items[i][1].split()
+    ids = np.fromiter((index.terms.get(w, -1) for w in text), np.int64, len(text))
+    tracemalloc.start()
+    slots = index.screen(ids, decontam.MIN_SCORE)
+    assert tracemalloc.get_traced_memory()[1] < 200 * 1024 * 1024
+    tracemalloc.stop()
+    assert {7, 2_000, 2_999} <= set(index.matches(" ".join(text)))
+    assert slots == sorted(set(slots))
