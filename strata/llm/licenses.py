@@ -50,6 +50,9 @@ SENTENCES: list[tuple[str, str]] = [
                    "with the distribution"),
     ("BSD_ENDORSE", "Neither the name of the copyright holder nor the names of its contributors may be used to "
                     "endorse or promote products derived from this software without specific prior written permission"),
+    # what follows a holder's name that ends in a full stop
+    ("BSD_ENDORSE", "nor the names of its contributors may be used to endorse or promote products derived from this "
+                    "software without specific prior written permission"),
     ("BSD2_SHORT", "Licensed under the BSD 2-Clause License"),
     ("BSD3_SHORT", "Licensed under the BSD 3-Clause License"),
     ("GPL3_SHORT", "This work is licensed under the GNU General Public License, version 3"),
@@ -103,11 +106,16 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
 ]
 
 
+#: The slot for a holder's name in a normalised sentence, and what is read in its place.
+HOLDER = "^neither the names? of .{1,300} nor the names of (?:its|their|any) contributors may be used to endorse"
+HELD = "neither the name of the copyright holder nor the names of its contributors may be used to endorse"
+
+
 def normal(sentence: str) -> str:
-    """Lower-case A-Z; every run of other characters than a-z and 0-9 is one space."""
+    """Lower-case A-Z; every run of other characters than a-z and 0-9 is one space; any holder's name stands for all."""
     import re
 
-    return re.sub("[^a-z0-9]+", " ", sentence.translate(str.maketrans(UPPER, LOWER))).strip(" ")
+    return re.sub(HOLDER, HELD, re.sub("[^a-z0-9]+", " ", sentence.translate(str.maketrans(UPPER, LOWER))).strip(" "))
 
 
 def known_sentences() -> dict[str, str]:
@@ -126,7 +134,7 @@ def known_sentences() -> dict[str, str]:
 
 
 def _normal(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.translate(sentence, UPPER, LOWER), "[^a-z0-9]+", " "))
+    return F.regexp_replace(F.trim(F.regexp_replace(F.translate(sentence, UPPER, LOWER), "[^a-z0-9]+", " ")), HOLDER, HELD)
 
 
 def _identifiers(sentences: str, known: dict[str, str]) -> Column:

@@ -23,7 +23,8 @@ def op3() -> str:
     """Sentence look-up and rule chain of the licence scan, one CTE a rule."""
     known = ", ".join(f"{_quote(s)}: {_quote(i)}" for s, i in licenses.known_sentences().items())
     ends = r"[.!?;:]+[ \t\r\n]+|[.!?;:]+$"
-    normal = f"trim(regexp_replace(translate(s, '{licenses.UPPER}', '{licenses.LOWER}'), '[^a-z0-9]+', ' ', 'g'), ' ')"
+    plain = f"trim(regexp_replace(translate(s, '{licenses.UPPER}', '{licenses.LOWER}'), '[^a-z0-9]+', ' ', 'g'), ' ')"
+    normal = f"regexp_replace({plain}, '{licenses.HOLDER}', '{licenses.HELD}')"
 
     def ids(sentences: str) -> str:
         return f"list_filter(list_transform({sentences}, lambda s: MAP {{{known}}}[{normal}]), lambda i: i IS NOT NULL)"

@@ -100,6 +100,11 @@ NOTICES = {1: ("MIT License\n\nCopyright (c) 2024 X\n\n" + MIT, "MIT"), 2: ("Cop
            9: (GPL + "\n" + BSD + ENDORSE + "\nMIT License\n\nCopyright (c) 2024 X\n\n" + MIT, "BSD-3-Clause,GPL-3.0-or-later,MIT")}
 
 
+NOTICES[10] = (BSD + ENDORSE.replace("the copyright holder", "Example Widgets Inc"), "BSD-3-Clause")
+NOTICES[12] = (BSD + ENDORSE.replace("the copyright holder", "Example Inc."), "BSD-3-Clause")
+NOTICES[11] = (BSD + ENDORSE.replace("the copyright holder", "the\n   University of Somewhere"), "BSD-3-Clause")
+
+
 def test_whole_notices_under_copyright_lines(spark, documents):  # noqa: F811
     got = licenses.scan(documents([(i, t) for i, (t, _) in NOTICES.items()])).collect()
     assert {r["doc_id"]: ",".join(sorted(r["licenses"].split(","))) for r in got} == {i: want for i, (_, want) in NOTICES.items()}
