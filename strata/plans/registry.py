@@ -245,7 +245,8 @@ def full_refresh_idempotent(layers: Layers) -> DataFrame:
     for name in csv_ingest.SOURCES:
         rows = layers.bronze(name)
         text = next(f.name for f in rows.schema.fields if f.dataType.simpleString() == "string")
-        csv_ingest.write_source_csv(rows.unionByName(rows.withColumn(text, F.concat(text, F.lit("-old")))), larger, name)
+        both = F.explode(F.array(F.col(text), F.concat(text, F.lit("-old"))))
+        csv_ingest.write_source_csv(rows.withColumn(text, both), larger, name)
     for src in (larger, _extracts(layers)):
         pipeline.load_bronze(layers.spark, src, wh)
 

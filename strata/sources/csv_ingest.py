@@ -19,9 +19,11 @@ skipped; columns are bound by position.  Field semantics follow a MySQL
   kinds of rows are counted (``malformed_rows``).
 
 Files are read in splits (``spark.sql.files.maxPartitionBytes``) although a row
-end may lie inside quotes: a first pass reports for every split in which state
+end may lie inside quotes.  A first pass asks whether any does; if not, every line
+is a row.  Else another pass reports for every split in which state
 it would end after either start state, these answers (two bits a split with quotes) are
-combined in file order, and the second pass cuts rows knowing each split's start.
+combined in file order, and the last pass cuts rows knowing each split's start.
+Rows are read token by token only where a quote or backslash lies inside a field.
 Only rows that cross a split are shuffled.  A quote that never closes makes
 the rest of its file one (malformed) row, which one task must hold.
 """
@@ -44,6 +46,9 @@ NULL_WORD = "NULL"
 MALFORMED = "_malformed"
 # What a row is read as, and the states of the reader between two of these.
 _TOKENS = r"(\\[\s\S]|[\\\",]|[^\\\",]+)"
+# A row each of whose fields is plain, the NULL token, or enclosed in quotes and without any inside;
+# such a row without commas inside quotes.
+_SIMPLE, _SPLIT = (rf"\A{f}(?:,{f})*+\z" for f in (r'(?:"[^"\\]*+"|\\N|[^",\\]*+)', r'(?:"[^",\\]*+"|\\N|[^",\\]*+)'))
 _START, _PLAIN, _QUOTED, _QUOTE_SEEN = range(4)
 # Escape sequences of LOAD DATA (a code that is not listed stands for itself).
 ESCAPES = [("n", "\n"), ("t", "\t"), ("r", "\r"), ("0", "\0"), ("b", "\b"), ("Z", "\x1a")]
@@ -131,19 +136,32 @@ def _fields(row: Column) -> Column:
                                 .otherwise(F.concat(acc["value"], token)).alias("value"),
                                 (acc["quoted"] | (after == _QUOTED)).alias("quoted"), after.alias("state")))
 
-    parsed = F.aggregate(_tokens(row), start, step, closed)
-    plain = F.transform(F.split(row, ","), lambda v: F.struct(v.alias("value"), F.lit(False).alias("quoted")))
-    return F.when(F.contains(row, F.lit('"')) | F.contains(row, F.lit("\\")), parsed).otherwise(plain)
+    return F.aggregate(_tokens(row), start, step, closed)
 
 
-def _pieces(spark: SparkSession, path: str, line_sep: str) -> DataFrame:
-    """What lies between two row ends, quoted or not, with its split and the state it ends in after either start state."""
-    text = spark.read.option("lineSep", line_sep).text(path).select(
+def _raw_fields(row: Column) -> Column:
+    """The fields of a simple row as they stand in it, quotes included; NULL for any other row."""
+    split = F.split(row, ",")
+    return F.when(~F.contains(row, F.lit('"')) & ~F.contains(row, F.lit("\\")), split).when(row.rlike(_SPLIT), split).when(
+        row.rlike(_SIMPLE), F.regexp_extract_all(F.concat(F.lit(","), row), F.lit(r',("[^"]*+"|[^,]*+)'), F.lit(1)))
+
+
+def _lines(spark: SparkSession, path: str, line_sep: str) -> DataFrame:
+    """What lies between two row ends, quoted or not, with its split."""
+    return spark.read.option("lineSep", line_sep).text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"))
-    has_quote = F.contains("value", F.lit('"'))
-    return text.select("value", "file", "split",
-                       F.when(has_quote, _ends_quoted(F.col("value"), _START)).otherwise(False).alias("opens"),
-                       F.when(has_quote, _ends_quoted(F.col("value"), _QUOTED)).otherwise(True).alias("stays"))
+
+
+def _opens() -> Column:
+    """Whether a quoted field is open at the end of a piece that begins a row; simple rows need no reading for that."""
+    value = F.col("value")
+    return F.when(F.contains(value, F.lit('"')), F.when(value.rlike(_SIMPLE), False).otherwise(_ends_quoted(value, _START))).otherwise(False)
+
+
+def _pieces(lines: DataFrame) -> DataFrame:
+    """The lines with the state each ends in after either start state."""
+    stays = F.when(F.contains("value", F.lit('"')), _ends_quoted(F.col("value"), _QUOTED)).otherwise(True)
+    return lines.select("value", "file", "split", _opens().alias("opens"), stays.alias("stays"))
 
 
 def _split_starts(pieces: DataFrame) -> dict[str, tuple[list[int], list[bool]]]:
@@ -170,9 +188,31 @@ def _split_starts(pieces: DataFrame) -> dict[str, tuple[list[int], list[bool]]]:
     return starts
 
 
+def _without_headers(lines: DataFrame) -> DataFrame:
+    """The lines but each file's first, where every line is a row (column ``row``)."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file = None
+        for batch in batches:
+            rows, begun = batch["value"], batch["begun"]
+            if batch.num_rows and begun.null_count < batch.num_rows and not begun[0].as_py() == begun[-1].as_py() == file:
+                keep = []
+                for f in begun.to_pylist():
+                    keep.append(f is None or f == file)
+                    file = f or file
+                rows = rows.filter(pa.array(keep))
+            yield pa.RecordBatch.from_arrays([rows], names=["row"])
+
+    # ``begun`` names the file in its first split and is NULL in later ones
+    return lines.select("value", F.when(F.col("split") == 0, F.col("file")).alias("begun")).mapInArrow(cut, "row string")
+
+
 def read_rows(spark: SparkSession, path: str, line_sep: str = CRLF) -> DataFrame:
     """The data rows of CSV files as text (column ``row``), without each file's header row."""
-    pieces = _pieces(spark, path, line_sep)
+    lines = _lines(spark, path, line_sep)
+    if not lines.agg(F.bool_or(_opens())).first()[0]:
+        # no row end lies inside quotes: every line is a row, whatever split it is in
+        return _without_headers(lines)
+    pieces = _pieces(lines)
     starts = _split_starts(pieces)
     out = T.StructType.fromDDL("row string, file string, split long, opens boolean")
     schema = pa.schema([("row", pa.string()), ("file", pa.string()), ("split", pa.int64()), ("opens", pa.bool_())])
@@ -254,15 +294,20 @@ def read_source_csv(spark: SparkSession, path: str, columns: list[str], line_sep
     ``MALFORMED`` holds the source text of rows with too few or too many fields
     (surplus fields are dropped), else NULL.
     """
-    rows = read_rows(spark, path, line_sep).select("row", _fields(F.col("row")).alias("fields"))
+    raw = read_rows(spark, path, line_sep).select("row", _raw_fields(F.col("row")).alias("raw"))
+    simple = F.col("raw").isNotNull()
+    rows = raw.select("row", "raw", F.when(~simple, _fields(F.col("row"))).alias("fields"))
 
     def field(i: int) -> Column:
-        f = F.get("fields", F.lit(i))
+        r, f = F.get("raw", F.lit(i)), F.get("fields", F.lit(i))
         v = f["value"]
-        return F.when((v == NULL_TOKEN) | ((v == NULL_WORD) & ~f["quoted"]), F.lit(None)).otherwise(_unescape(v))
+        return F.when(simple, F.when((r == NULL_TOKEN) | (r == NULL_WORD), F.lit(None)).when(
+            r.startswith('"'), r.substr(F.lit(2), F.length(r) - 2)).otherwise(r)).otherwise(
+            F.when((v == NULL_TOKEN) | ((v == NULL_WORD) & ~f["quoted"]), F.lit(None)).otherwise(_unescape(v)))
 
+    n_fields = F.when(simple, F.size("raw")).otherwise(F.size("fields"))
     return rows.select(*[field(i).alias(c) for i, c in enumerate(columns)],
-                       F.when(F.size("fields") != len(columns), F.col("row")).alias(MALFORMED))
+                       F.when(n_fields != len(columns), F.col("row")).alias(MALFORMED))
 
 
 def _convert(c: str, kind: str) -> Column:
