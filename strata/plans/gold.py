@@ -104,8 +104,9 @@ def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> D
     sale = sales.alias("sale")
     product = products.select("product_key", "product_number").alias("product")
     customer = customers.select("customer_key", "customer_id").alias("customer")
-    j = sale.join(product, F.col("sale.sls_prd_key") == F.col("product.product_number"), "inner") \
-        .join(customer, F.col("sale.sls_cust_id") == F.col("customer.customer_id"), "inner")
+    # products last: their versions multiply the sales, which then cross no further exchange
+    j = sale.join(customer, F.col("sale.sls_cust_id") == F.col("customer.customer_id"), "inner") \
+        .join(product, F.col("sale.sls_prd_key") == F.col("product.product_number"), "inner")
     return j.select(
         F.col("sale.sls_ord_num").alias("order_number"),
         F.col("product.product_key"),
@@ -137,8 +138,8 @@ def fact_sales_outcomes(sales: DataFrame, products: DataFrame, customers: DataFr
     """
     product = _with_first(products, "product_key", "product_number", "_first_product")
     customer = _with_first(customers, "customer_key", "customer_id", "_first_customer")
-    j = sales.join(product, F.col("sls_prd_key") == F.col("product_number"), "left") \
-        .join(customer, F.col("sls_cust_id") == F.col("customer_id"), "left")
+    j = sales.join(customer, F.col("sls_cust_id") == F.col("customer_id"), "left") \
+        .join(product, F.col("sls_prd_key") == F.col("product_number"), "left")
     found_p, found_c = F.col("product_key").isNotNull(), F.col("customer_key").isNotNull()
     first = F.coalesce("_first_product", F.lit(True)) & F.coalesce("_first_customer", F.lit(True))
     accepted = found_p & found_c
@@ -166,8 +167,9 @@ def fact_sales_unkeyed(sales: DataFrame, products: DataFrame, customers: DataFra
     sale = sales.alias("sale")
     product = products.select("product_number").alias("product")
     customer = customers.select("customer_id").alias("customer")
-    j = sale.join(product, F.col("sale.sls_prd_key") == F.col("product.product_number"), "inner") \
-        .join(customer, F.col("sale.sls_cust_id") == F.col("customer.customer_id"), "inner")
+    # products last: their versions multiply the sales, which then cross no further exchange
+    j = sale.join(customer, F.col("sale.sls_cust_id") == F.col("customer.customer_id"), "inner") \
+        .join(product, F.col("sale.sls_prd_key") == F.col("product.product_number"), "inner")
     return j.select(
         F.col("sale.sls_ord_num").alias("order_number"),
         F.col("sale.sls_order_dt").alias("order_date"),

@@ -4,6 +4,7 @@
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from strata.operators.ordered import dense_surrogate_key, lead_within_key
+from strata.plans import gold
 from strata.plans.layers import Layers
 
 
@@ -63,3 +64,16 @@ def test_summary_merges_only_partial_counts(spark):
 
 def test_fact_has_no_single_partition(spark):
     _no_single_partition(plan(entry.queries()["gold_fact_sales"](spark, SF_SMALL)))
+
+
+def test_product_versions_multiply_sales_after_the_last_exchange(spark):
+    """Customers are looked up first: the rows that product versions multiply are not shuffled again."""
+    sales = spark.range(1).selectExpr("'a' AS sls_ord_num", "'p' AS sls_prd_key", "id AS sls_cust_id", "current_date() AS sls_order_dt",
+                                      "current_date() AS sls_ship_dt", "current_date() AS sls_due_dt", "1 AS sls_sales", "1 AS sls_quantity", "1 AS sls_price")
+    products = spark.range(2).selectExpr("id + 1 AS product_key", "'p' AS product_number")
+    customers = spark.range(1).selectExpr("id + 1 AS customer_key", "id AS customer_id")
+    for build in (gold.fact_sales, gold.fact_sales_unkeyed, gold.fact_sales_outcomes):
+        df = build(sales, products, customers)
+        assert df.count() == 2
+        joins = [x for x in plan(df).splitlines() if "Join" in x]
+        assert "sls_prd_key" in joins[0] and "sls_cust_id" not in joins[0], joins
