@@ -68,9 +68,9 @@ def test_fact_has_no_single_partition(spark):
 
 def test_product_versions_multiply_sales_after_the_last_exchange(spark):
     """Customers are looked up first: the rows that product versions multiply are not shuffled again."""
-    sales = spark.range(1).selectExpr("'a' AS sls_ord_num", "'p' AS sls_prd_key", "id AS sls_cust_id", "current_date() AS sls_order_dt",
+    sales = spark.range(1).selectExpr("'a' AS sls_ord_num", "concat('p', id % 1) AS sls_prd_key", "id AS sls_cust_id", "current_date() AS sls_order_dt",
                                       "current_date() AS sls_ship_dt", "current_date() AS sls_due_dt", "1 AS sls_sales", "1 AS sls_quantity", "1 AS sls_price")
-    products = spark.range(2).selectExpr("id + 1 AS product_key", "'p' AS product_number")
+    products = spark.range(2).selectExpr("id + 1 AS product_key", "concat('p', id % 1) AS product_number")
     customers = spark.range(1).selectExpr("id + 1 AS customer_key", "id AS customer_id")
     for build in (gold.fact_sales, gold.fact_sales_unkeyed, gold.fact_sales_outcomes):
         df = build(sales, products, customers)
