@@ -140,14 +140,13 @@ def parse_yyyymmdd(c: Column | str) -> Column:
 def int_yyyymmdd_to_date(c: Column | str) -> Column:
     """INT ``yyyymmdd`` -> DATE by integer arithmetic; invalid dates (0, 5489, 20230229) give NULL.
 
-    No text formatting or parsing per row; ``make_date`` is reached only for
-    a valid year, month and day, so it never raises under ANSI mode.
+    No text formatting or parsing per row, and the column occurs only a few times: a filter on the date
+    is pushed into the joins below, where Spark repeats whatever the column is made of.
     """
-    v = _col(c).cast("int")
-    y, m, d = F.floor(v / 10000).cast("int"), (F.floor(v / 100) % 100).cast("int"), (v % 100).cast("int")
-    month_ok = (v >= 10000101) & (v <= 99991231) & (m >= 1) & (m <= 12)
-    days_in_month = F.dayofmonth(F.last_day(F.make_date(y, m, F.lit(1))))
-    return F.when(month_ok, F.when((d >= 1) & (d <= days_in_month), F.make_date(y, m, d)))
+    v, zero = _col(c).cast("int"), F.lit(0)
+    # the timestamp checks month and day and gives NULL where the date's own constructor raises under ANSI mode
+    day = F.try_make_timestamp_ntz((v / 10000).cast("int"), (v % 10000 / 100).cast("int"), v % 100, zero, zero, zero)
+    return F.when(v.between(10000101, 99991231), day.cast("date"))
 
 
 def iso_date_to_yyyymmdd(c: Column | str) -> Column:

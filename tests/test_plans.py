@@ -77,3 +77,16 @@ def test_product_versions_multiply_sales_after_the_last_exchange(spark):
         assert df.count() == 2
         joins = [x for x in plan(df).splitlines() if "Join" in x]
         assert "sls_prd_key" in joins[0] and "sls_cust_id" not in joins[0], joins
+
+
+def test_a_filter_on_silver_dates_repeats_their_source_few_times(spark):
+    """The date filter goes into the join of lines and orders, where each occurrence of a date's column repeats its expression."""
+    rows = Layers(spark, SF_SMALL).silver("crm_sales_details").where("sls_ship_dt < sls_order_dt")
+    condition = next(x for x in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x)
+    assert condition.count("CASE WHEN") <= 8, condition.count("CASE WHEN")
+
+
+def test_lines_cross_their_exchange_without_prices_of_cents(spark):
+    p = plan(Layers(spark, SF_SMALL).bronze("crm_sales_details"))
+    joined = [x for x in p.splitlines() if x.strip(" :+-*()0123456789").startswith("Project") and "l_linenumber" in x]
+    assert any("AS unit#" in x for x in joined) and not any("sls_price" in x and "l_extendedprice" in x for x in joined)
