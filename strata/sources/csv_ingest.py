@@ -20,7 +20,7 @@ skipped; columns are bound by position.  Field semantics follow a MySQL
 
 Files are read in splits (``spark.sql.files.maxPartitionBytes``) although a row
 end may lie inside quotes.  A first pass asks whether any does; if not, every line
-is a row.  Else another pass reports for every split in which state
+is a row, and header rows with the expected names are a filter.  Else another pass reports for every split in which state
 it would end after either start state, these answers (two bits a split with quotes) are
 combined in file order, and the last pass cuts rows knowing each split's start.
 Rows are read token by token only where a quote or backslash lies inside a field.
@@ -206,12 +206,29 @@ def _without_headers(lines: DataFrame) -> DataFrame:
     return lines.select("value", F.when(F.col("split") == 0, F.col("file")).alias("begun")).mapInArrow(cut, "row string")
 
 
-def read_rows(spark: SparkSession, path: str, line_sep: str = CRLF) -> DataFrame:
-    """The data rows of CSV files as text (column ``row``), without each file's header row."""
+def _survey(lines: DataFrame, header: str | None) -> tuple[bool, bool]:
+    """Whether a row end lies inside quotes, and whether in every file ``header`` is the first line and no other.
+
+    One pass; both answers hold however the files are split later.
+    """
+    head = F.lit(False) if header is None else F.col("value") == header
+    per_file = lines.select("file", _opens().alias("opens"), head.alias("head"), F.when(F.col("split") == 0, F.monotonically_increasing_id()).alias("at")) \
+        .groupBy("file").agg(F.bool_or("opens").alias("opens"), F.count_if("head").alias("heads"), F.min("at").alias("first"),
+                             F.min(F.when(F.col("head"), F.col("at"))).alias("found"))
+    opens, plain = per_file.agg(F.bool_or("opens"), F.bool_and(F.coalesce((F.col("heads") == 1) & (F.col("first") == F.col("found")), F.lit(False)))).first()
+    return bool(opens), bool(plain)
+
+
+def read_rows(spark: SparkSession, path: str, line_sep: str = CRLF, header: str | None = None) -> DataFrame:
+    """The data rows of CSV files as text (column ``row``), without each file's header row.
+
+    ``header`` is what the header rows are likely to be; any other one is skipped as well, by a slower pass.
+    """
     lines = _lines(spark, path, line_sep)
-    if not lines.agg(F.bool_or(_opens())).first()[0]:
+    opens, plain = _survey(lines, header)
+    if not opens:
         # no row end lies inside quotes: every line is a row, whatever split it is in
-        return _without_headers(lines)
+        return lines.where(F.col("value") != header).select(F.col("value").alias("row")) if plain else _without_headers(lines)
     pieces = _pieces(lines)
     starts = _split_starts(pieces)
     out = T.StructType.fromDDL("row string, file string, split long, opens boolean")
@@ -294,7 +311,7 @@ def read_source_csv(spark: SparkSession, path: str, columns: list[str], line_sep
     ``MALFORMED`` holds the source text of rows with too few or too many fields
     (surplus fields are dropped), else NULL.
     """
-    raw = read_rows(spark, path, line_sep).select("row", _raw_fields(F.col("row")).alias("raw"))
+    raw = read_rows(spark, path, line_sep, ",".join(columns)).select("row", _raw_fields(F.col("row")).alias("raw"))
     simple = F.col("raw").isNotNull()
     rows = raw.select("row", "raw", F.when(~simple, _fields(F.col("row"))).alias("fields"))
 
@@ -369,6 +386,7 @@ def read_bronze(spark: SparkSession, source_dir: str, name: str, line_sep: str =
 
 # ---------------------------------------------------------------- extract writer
 def _as_text(c: str, dtype: T.DataType, dmy: bool) -> Column:
+    """A value as it is delivered, in quotes where it holds a quote, comma or row end or is empty text."""
     v = F.col(c)
     if isinstance(dtype, T.DateType):
         text = F.date_format(v, "dd/MM/yyyy" if dmy else "yyyy-MM-dd")
@@ -379,21 +397,17 @@ def _as_text(c: str, dtype: T.DataType, dmy: bool) -> Column:
         return F.coalesce(v.cast("string"), F.lit(""))  # missing numbers are delivered empty
     # NULL is written as \N, so backslashes of the text are doubled and its word NULL is escaped
     text = F.replace(v.cast("string"), F.lit("\\"), F.lit("\\\\"))
-    return F.when(text == NULL_WORD, F.lit("\\" + NULL_WORD)).otherwise(text)
+    enclosed = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    special = (text == "") | F.contains(text, F.lit('"')) | F.contains(text, F.lit(",")) | F.contains(text, F.lit("\r")) | F.contains(text, F.lit("\n"))
+    return F.when(v.isNull(), NULL_TOKEN).when(text == NULL_WORD, "\\" + NULL_WORD).when(special, enclosed).otherwise(text)
 
 
 def write_source_csv(df: DataFrame, source_dir: str, name: str) -> str:
     """Write a bronze-shaped table as its source system delivers it; returns the path."""
-    rel, cols = SOURCES[name]
-    dmy = BRONZE_TYPES[name]
+    cols, dmy = SOURCES[name][1], BRONZE_TYPES[name]
     types = {f.name: f.dataType for f in df.schema.fields}
-    text = df.select(*[_as_text(c, types[c], dmy.get(c) == "dmy_date").alias(c) for c in cols])
-    path = f"{source_dir.rstrip('/')}/{rel}"
-    (text.write.mode("overwrite").option("header", True).option("nullValue", NULL_TOKEN)
-     .option("quote", '"').option("escape", '"').option("lineSep", CRLF)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)  # keep padding as delivered
-     .csv(path))
-    return path
+    line = F.concat_ws(",", *[_as_text(c, types[c], dmy.get(c) == "dmy_date") for c in cols])
+    return write_lines(df.select(line.alias("line")), source_dir, name)
 
 
 def write_lines(lines: DataFrame, source_dir: str, name: str) -> str:

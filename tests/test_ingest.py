@@ -187,3 +187,19 @@ def test_raw_fields_are_those_of_the_token_reader(spark, rows):
             assert [(v[1:-1], True) if v.startswith('"') else (v, False) for v in r.raw] == [tuple(f) for f in r.read], r.row
         else:
             assert '"' in r.row or "\\" in r.row
+
+
+def test_expected_header_rows_are_a_filter_without_python(spark, tmp_folder):
+    """Header rows with the expected names go in a plain filter; a data row with the same text, or other headers, take the Python pass."""
+    df = spark.createDataFrame([("AW1", "US"), ("AW2", None), ("a,\"b\"", ""), ("NULL", " x ")], "cid string, cntry string").repartition(3)
+    expected = sorted(df.collect(), key=str)
+    path = csv_ingest.write_source_csv(df, tmp_folder, "erp_loc_a101")
+    raw = csv_ingest.read_source_csv(spark, path, ["cid", "cntry"])
+    assert "MapInArrow" not in raw._jdf.queryExecution().executedPlan().toString()
+    assert sorted(raw.select("cid", "cntry").collect(), key=str) == expected
+    repeated = csv_ingest.write_source_csv(spark.createDataFrame([("cid", "cntry"), ("AW1", "US")], df.schema).coalesce(1), tmp_folder + "/r", "erp_loc_a101")
+    raw = csv_ingest.read_source_csv(spark, repeated, ["cid", "cntry"])
+    assert "MapInArrow" in raw._jdf.queryExecution().executedPlan().toString()
+    assert sorted(raw.select("cid", "cntry").collect()) == [("AW1", "US"), ("cid", "cntry")]
+    other = csv_ingest.read_source_csv(spark, path, ["key", "country"])
+    assert sorted(other.select(F.col("key").alias("cid"), F.col("country").alias("cntry")).collect(), key=str) == expected
