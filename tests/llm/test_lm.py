@@ -147,3 +147,63 @@ def test_the_model_grows_with_the_counted_types():
     model = lm.GatedModel(vocab.frequencies)
     assert math.isclose(sum(np.exp(model.outputs(np.ones((len(vocab.frequencies), lm.HIDDEN), np.float32),
                                                  np.arange(len(vocab.frequencies))))), 1, rel_tol=1e-4)
+
+
+def zipf_model(seed=3):
+    vocab = lm.Vocabulary([(f"w{k:04}", 10**6 // (k + 1)) for k in range(1_500)] + [(lm.END, 900)], 2 * 10**7, 10**4)
+    return lm.GatedModel(vocab.frequencies, seed, vocab.bounds), vocab, np.random.default_rng(seed)
+
+
+def test_classes_follow_the_frequencies():
+    model, vocab, _ = zipf_model()
+    widths = np.diff(vocab.bounds)
+    size = len(vocab.frequencies)
+    assert len(widths) == lm.side(10**4) and widths.min() >= 1 and widths.sum() == size  # no fewer classes or entries
+    share = np.add.reduceat(vocab.frequencies, vocab.bounds[:-1]) / vocab.frequencies.sum()
+    assert (share * widths).sum() < lm.side(10**4) / 2  # entries a token is told apart from; equal classes: side
+    assert widths[model.class_of[vocab.other]] == 1
+    for frequencies in (np.zeros(1024), np.ones(1024), np.r_[10.0**9, np.zeros(1023)]):
+        bounds = lm.class_bounds(frequencies)
+        assert len(bounds) == 33 and bounds[0] == 0 and bounds[-1] == 1024 and (np.diff(bounds) > 0).all()
+
+
+def test_unequal_classes_score_as_defined_and_have_their_gradients():
+    model, vocab, rng = zipf_model()
+    size = len(vocab.frequencies)
+    hidden, target = rng.normal(size=(300, lm.HIDDEN)).astype(np.float32), np.r_[rng.integers(0, size, 250), np.full(50, vocab.other)]
+
+    def slow(h, token):
+        c = int(np.searchsorted(vocab.bounds, token, "right")) - 1
+        a, b = h @ model.class_w + model.class_b, h @ model.word_w[c] + model.word_b[c]
+        return a[c] - np.logaddexp.reduce(a) + b[token - vocab.bounds[c]] - np.logaddexp.reduce(b)
+
+    score, grads, down = model.outputs(hidden, target, True)
+    assert np.allclose(score, [slow(h, t) for h, t in zip(hidden, target)], rtol=1e-4, atol=1e-4)
+    assert np.allclose(score, model.outputs(hidden, target))
+    every = np.arange(size)
+    assert abs(np.exp(model.outputs(np.repeat(hidden[:1], size, 0), every)).sum() - 1) < 1e-3
+    for place in [np.unravel_index(k, model.out.shape) for k in np.abs(grads["out"]).ravel().argsort()[-40::8]]:
+        old, ends = model.out[place], []
+        for change in (1e-2, -1e-2):
+            model.out[place] = old + change
+            ends.append(model.outputs(hidden, target).astype(float).sum())
+        model.out[place] = old
+        assert abs((ends[0] - ends[1]) / 2e-2 - grads["out"][place]) < 1e-2 * max(1, abs(grads["out"][place]))
+    moved = hidden.copy()
+    moved[:, 2] += 1e-2
+    slope = (model.outputs(moved, target) - score).astype(float).sum() / 1e-2
+    assert abs(slope - down[:, 2].sum()) < 2e-2 * max(1, abs(slope))
+
+
+def test_words_are_split_as_before():
+    import pyarrow as pa
+
+    texts = ["  A b\x0bc\x0c\x1c d ", "", " \n", None, "Ä x Y z", "one", "\x85 e\x1fF\tg\r\n"]
+    for limit in (1, 10, 10**6):
+        got = []
+        for lo, hi, words, lengths in lm.words_of(pa.array(texts), limit):
+            ends = np.cumsum(lengths)
+            assert hi - lo == len(lengths)
+            got += [words.to_pylist()[e - n:e] for e, n in zip(ends, lengths)]
+        assert got == [(t or "").encode().lower().split() for t in texts]
+    assert [r[:2] for r in lm.words_of(pa.array([], pa.string()), 10)] == []
