@@ -70,7 +70,7 @@ def write_version(build: Callable[[], DataFrame], path: str, partition_by: Seque
     t0 = time.perf_counter()
     df = build()
     written = Observation()
-    df.observe(written, *versions.table_digest(df)).write.partitionBy(*partition_by).parquet(path)
+    df.observe(written, *versions.table_digest(df)).write.partitionBy(*partition_by).parquet(path, compression="zstd")
     seconds = time.perf_counter() - t0
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     found = back.agg(*versions.table_digest(back)).first().asDict()

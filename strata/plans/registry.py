@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from strata.functions import cleaning as c
 from strata.plans import gold, history, pipeline, quality, silver, trends
 from strata.plans.layers import Layers
-from strata.session import scratch_path
+from strata.session import drop_shuffles, scratch_path, scratch_removed
 from strata.sources import csv_ingest, fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,16 +198,11 @@ def dq_summary(layers: Layers) -> DataFrame:
 
 
 # ---------------------------------------------------------------- sources and sinks
-def _extracts(layers: Layers, *names: str) -> str:
-    """Write extracts (by default all six) as their source systems deliver them; returns the folder."""
-    folder = scratch_path(layers.spark, "sources")
-    for name in names or csv_ingest.SOURCES:
-        csv_ingest.write_source_csv(layers.bronze(name), folder, name)
-    return folder
-
-
 def _roundtrip(layers: Layers, name: str) -> DataFrame:
-    return csv_ingest.read_bronze(layers.spark, _extracts(layers, name), name)
+    """An extract written as its source system delivers it and loaded back."""
+    folder = scratch_path(layers.spark, "sources")
+    csv_ingest.write_source_csv(layers.bronze(name), folder, name)
+    return csv_ingest.read_bronze(layers.spark, folder, name)
 
 
 @query
@@ -238,17 +233,31 @@ def bronze_parse_dmy_date(layers: Layers) -> DataFrame:
     return _roundtrip(layers, "erp_cust_az12")
 
 
+def _load_extracts(layers: Layers, rows: Callable[[str], DataFrame], wh: str, tables: tuple[str, ...]) -> None:
+    """Write extracts of ``rows``, load them into the bronze tables of a warehouse and drop them.
+
+    Beside the tables only the extracts of one load are on disk, compressed.
+    """
+    with scratch_removed(layers.spark):
+        folder = scratch_path(layers.spark, "sources")
+        for name in tables:
+            csv_ingest.write_source_csv(rows(name), folder, name, compressed=True)
+        drop_shuffles(layers.spark)
+        pipeline.load_bronze(layers.spark, folder, wh, tables=tables)
+
+
 @query
 def full_refresh_idempotent(layers: Layers) -> DataFrame:
     """Larger extracts of all six tables loaded, then the real ones: every table holds the real rows alone."""
-    wh, larger = scratch_path(layers.spark, "warehouse"), scratch_path(layers.spark, "sources")
-    for name in csv_ingest.SOURCES:
+    wh = scratch_path(layers.spark, "warehouse")
+
+    def larger(name: str) -> DataFrame:
         rows = layers.bronze(name)
         text = next(f.name for f in rows.schema.fields if f.dataType.simpleString() == "string")
-        both = F.explode(F.array(F.col(text), F.concat(text, F.lit("-old"))))
-        csv_ingest.write_source_csv(rows.withColumn(text, both), larger, name)
-    for src in (larger, _extracts(layers)):
-        pipeline.load_bronze(layers.spark, src, wh)
+        return rows.withColumn(text, F.explode(F.array(F.col(text), F.concat(text, F.lit("-old")))))
+
+    for rows in (larger, layers.bronze):
+        _load_extracts(layers, rows, wh, tuple(csv_ingest.SOURCES))
 
     def as_text(name: str) -> DataFrame:
         table = pipeline.read_layer(layers.spark, wh, "bronze", name)
@@ -262,7 +271,7 @@ def _load_to_silver(layers: Layers, *names: str) -> str:
     """CSV extracts -> bronze -> silver (by default all six) in a fresh warehouse folder; returns the folder."""
     wh = scratch_path(layers.spark, "warehouse")
     tables = names or tuple(csv_ingest.SOURCES)
-    pipeline.load_bronze(layers.spark, _extracts(layers, *names), wh, tables=tables)
+    _load_extracts(layers, layers.bronze, wh, tables)
     pipeline.load_silver(layers.spark, wh, layers.as_of, tables=tables)
     return wh
 

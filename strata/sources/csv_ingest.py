@@ -26,6 +26,7 @@ combined in file order, and the last pass cuts rows knowing each split's start.
 Rows are read token by token only where a quote or backslash lies inside a field.
 Only rows that cross a split are shuffled.  A quote that never closes makes
 the rest of its file one (malformed) row, which one task must hold.
+Compressed files (``.gz``, ``.lz4``) are read as well, each by one task.
 """
 
 from __future__ import annotations
@@ -50,6 +51,8 @@ _TOKENS = r"(\\[\s\S]|[\\\",]|[^\\\",]+)"
 # such a row without commas inside quotes.
 _SIMPLE, _SPLIT = (rf"\A{f}(?:,{f})*+\z" for f in (r'(?:"[^"\\]*+"|\\N|[^",\\]*+)', r'(?:"[^",\\]*+"|\\N|[^",\\]*+)'))
 _START, _PLAIN, _QUOTED, _QUOTE_SEEN = range(4)
+# Fixed value: rows of a compressed file, which one task reads whole.
+COMPRESSED_ROWS = 250_000
 # Escape sequences of LOAD DATA (a code that is not listed stands for itself).
 ESCAPES = [("n", "\n"), ("t", "\t"), ("r", "\r"), ("0", "\0"), ("b", "\b"), ("Z", "\x1a")]
 
@@ -402,20 +405,25 @@ def _as_text(c: str, dtype: T.DataType, dmy: bool) -> Column:
     return F.when(v.isNull(), NULL_TOKEN).when(text == NULL_WORD, "\\" + NULL_WORD).when(special, enclosed).otherwise(text)
 
 
-def write_source_csv(df: DataFrame, source_dir: str, name: str) -> str:
+def write_source_csv(df: DataFrame, source_dir: str, name: str, compressed: bool = False) -> str:
     """Write a bronze-shaped table as its source system delivers it; returns the path."""
     cols, dmy = SOURCES[name][1], BRONZE_TYPES[name]
     types = {f.name: f.dataType for f in df.schema.fields}
     line = F.concat_ws(",", *[_as_text(c, types[c], dmy.get(c) == "dmy_date") for c in cols])
-    return write_lines(df.select(line.alias("line")), source_dir, name)
+    return write_lines(df.select(line.alias("line")), source_dir, name, compressed)
 
 
-def write_lines(lines: DataFrame, source_dir: str, name: str) -> str:
-    """Write rows that are text already (one column) as the extract of ``name``, each file with its header row."""
+def write_lines(lines: DataFrame, source_dir: str, name: str, compressed: bool = False) -> str:
+    """Write rows that are text already (one column) as the extract of ``name``, each file with its header row.
+
+    ``compressed`` files (LZ4) cannot be read in splits, so a task's rows go to several of them.
+    """
     rel, cols = SOURCES[name]
     text = F.col(lines.columns[0])
-    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    first = at % COMPRESSED_ROWS == 0 if compressed else at == 0
+    options = {"compression": "lz4", "maxRecordsPerFile": COMPRESSED_ROWS} if compressed else {}
     path = f"{source_dir.rstrip('/')}/{rel}"
     lines.select(F.when(first, F.concat(F.lit(",".join(cols) + CRLF), text)).otherwise(text).alias("line")) \
-        .write.mode("overwrite").option("lineSep", CRLF).text(path)
+        .write.mode("overwrite").options(lineSep=CRLF, **options).text(path)
     return path

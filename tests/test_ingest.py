@@ -1,4 +1,5 @@
 import datetime as dt
+import glob
 import os
 
 from hypothesis import HealthCheck, given, settings
@@ -203,3 +204,17 @@ def test_expected_header_rows_are_a_filter_without_python(spark, tmp_folder):
     assert sorted(raw.select("cid", "cntry").collect()) == [("AW1", "US"), ("cid", "cntry")]
     other = csv_ingest.read_source_csv(spark, path, ["key", "country"])
     assert sorted(other.select(F.col("key").alias("cid"), F.col("country").alias("cntry")).collect(), key=str) == expected
+
+
+def test_compressed_extracts_are_several_files_each_with_its_header(spark, tmp_folder, monkeypatch):
+    """A task's rows are dealt over files that one task each can read; they load like a plain extract."""
+    monkeypatch.setattr(csv_ingest, "COMPRESSED_ROWS", 3)
+    rows = [(f"AW{i}", [None, "", "US", 'a "b", c', "row\r\nend", "cid,cntry", "\\N", "NULL"][i % 8]) for i in range(26)]
+    df = spark.createDataFrame(rows, csv_ingest.bronze_schema("erp_loc_a101")).repartition(2)
+    path = csv_ingest.write_source_csv(df, tmp_folder, "erp_loc_a101", compressed=True)
+    files = glob.glob(path.replace("file:", "") + "/part-*")
+    assert len(files) >= 9 and all(f.endswith(".lz4") for f in files)
+    assert sorted(map(str, csv_ingest.read_bronze(spark, tmp_folder, "erp_loc_a101").collect())) == sorted(map(str, df.collect()))
+    plain = df.where(~F.contains(F.coalesce("cntry", F.lit("")), F.lit("\r")))  # no row end inside quotes: every line is a row
+    csv_ingest.write_source_csv(plain, tmp_folder, "erp_loc_a101", compressed=True)
+    assert sorted(map(str, csv_ingest.read_bronze(spark, tmp_folder, "erp_loc_a101").collect())) == sorted(map(str, plain.collect()))

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -5,7 +7,8 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from strata.plans import gold, pipeline, quality, versions
 from strata.plans.layers import Layers
-from strata.session import ensure_checkpoint_dir, scratch_path
+from strata.plans.registry import QUERIES
+from strata.session import drop_shuffles, ensure_checkpoint_dir, scratch_path
 from strata.sources import csv_ingest
 
 
@@ -129,6 +132,49 @@ def test_old_versions_and_scratch_are_dropped(spark):
     assert pipeline.read_layer(spark, wh, "gold", "dim_customers").count() > 0
 
 
+def test_extracts_are_on_disk_for_their_own_load_only(spark, tmp_folder, monkeypatch):
+    """A full refresh drops the extracts of one load before it writes the next; the real rows alone are left."""
+    day = "TIMESTAMP '1995-02-03'"
+    tables = {
+        "customer": "id AS c_custkey, concat('C', id) AS c_name, 'BUILDING' AS c_mktsegment",
+        "part": "id AS p_partkey, concat('part ', id) AS p_name, 'Brand#12' AS p_brand, 'ECONOMY TIN' AS p_type, 7 AS p_size, 900.5D AS p_retailprice",
+        "orders": f"id AS o_orderkey, id % 7 AS o_custkey, {day} AS o_orderdate",
+        "lineitem": f"id % 40 AS l_orderkey, id % 9 AS l_partkey, id AS l_suppkey, CAST(id / 40 AS INT) AS l_linenumber, 3D AS l_quantity, "
+                    f"10.5D AS l_extendedprice, {day} AS l_shipdate"}
+    for name, columns in tables.items():
+        spark.range(120).selectExpr(f"struct({columns}) AS r").select("r.*").write.parquet(f"{tmp_folder}/{name}.parquet")
+
+    def extracts():
+        return {n for n in versions._names(spark, f"{ensure_checkpoint_dir(spark)}/strata") if n.startswith("sources-")}
+
+    there, loads, load = extracts(), [], pipeline.load_bronze
+
+    def watched(*args, **kwargs):
+        loads.append(extracts() - there)
+        return load(*args, **kwargs)
+
+    monkeypatch.setattr(pipeline, "load_bronze", watched)
+    rows = QUERIES["full_refresh_idempotent"](spark, tmp_folder).collect()
+    assert [len(folders) for folders in loads] == [1, 1] and loads[0] != loads[1] and extracts() == there
+    assert sum(r.table_name == "crm_sales_details" for r in rows) == 120 and not any("-old" in r.row_text for r in rows)
+
+
+def test_shuffle_files_of_finished_jobs_are_dropped(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+        return {f for f in files if "shuffle_" in f and f.endswith(".data")}
+
+    there = shuffled()
+    spark.range(1000).repartition(4, "id").write.format("noop").mode("overwrite").save()
+    made = shuffled() - there
+    spark.range(1).count()  # Spark may still hold what the last job used
+    drop_shuffles(spark)
+    until = time.time() + 20
+    while shuffled() & made and time.time() < until:
+        time.sleep(0.2)
+    assert made and not shuffled() & made
+
+
 def test_published_file_counts_when_it_is_whole(spark, tmp_folder):
     versions.publish(spark, tmp_folder, "gold", {"a": "v1"})
     versions.publish(spark, tmp_folder, "gold", {"b": "v2"})
